@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from betaloom.catalog.fixtures import Fixtures
 from betaloom.catalog.registry import query
@@ -33,19 +32,18 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def _write_raw(fx: Fixtures) -> str:
-    """One tab-separated file per sample, missing values spelled NA."""
+    """Tab-separated files in one folder per project, missing values spelled NA."""
     path = fx.scratch("raw")
-    rows = fx.beta.select(
-        F.concat(F.lit("F-"), F.col("sample_id").cast("string")).alias("file_id"),
+    fx.beta.select(
+        F.col("project_id").alias("file_id"),
         F.col("probe_id").alias("Composite Element REF"),
         F.coalesce(F.col("value").cast("string"), F.lit("NA")).alias("Beta_value"),
-    )
-    rows.repartition("file_id").write.partitionBy("file_id").csv(path, sep="\t", header=True)
+    ).write.partitionBy("file_id").csv(path, sep="\t", header=True)
     return path
 
 
 @query("A1 A2", """
-SELECT 'F-' || sample_id AS file_id, probe_id, round(value, 6) AS beta_value FROM fx_beta""")
+SELECT project_id AS file_id, probe_id, round(value, 6) AS beta_value FROM fx_beta""")
 def read_raw_beta(fx: Fixtures) -> DataFrame:
     rows = store.read_raw(fx.spark, _write_raw(fx))
     return rounded(rows.select("file_id", "probe_id", "beta_value"), "beta_value")
@@ -83,27 +81,24 @@ def annotation_by_key(fx: Fixtures) -> DataFrame:
     return an.load_annotation(fx.spark, path, PLATFORMS[1], "GRCh38")
 
 
-@query("A5", "SELECT 'probes' AS \"table\", * FROM fx_annotation")
+@query("A5", "SELECT * FROM fx_annotation")
 def annotation_csv(fx: Fixtures) -> DataFrame:
     folder, target = fx.scratch("csv"), fx.scratch("parquet")
-    fx.annotation.withColumn("table", F.lit("probes")).write.csv(folder, header=True, nullValue="NA")
-    schema = T.StructType([*fx.annotation.schema.fields, T.StructField("table", T.StringType())])
-    an.csvs_to_parquet(fx.spark, folder, target, schema)
-    columns = [c for c in fx.annotation.columns]
-    stored = fx.spark.read.parquet(target)
-    return stored.select(F.lit("probes").alias("table"), *columns)
+    fx.annotation.write.csv(folder, header=True, nullValue="NA")
+    return an.csvs_to_parquet(fx.spark, folder, target, fx.annotation.schema).select(*fx.annotation.columns)
 
 
 @query("A6", """
 SELECT m.file_id, m.file_name, CAST(coalesce(s.status = 'success', false) AS INTEGER) AS downloaded, s.status AS download_status,
-       CAST(s.attempts AS INTEGER) AS download_attempts
+       CAST(s.attempts AS VARCHAR) AS download_attempts
 FROM fx_manifest m LEFT JOIN fx_status s USING (file_id)""")
 def control_table_files(fx: Fixtures) -> DataFrame:
     path = fx.scratch("audit")
     audit = control.initialize_audit_table(fx.manifest, fx.status_log)
     write_table(audit, path)
     rows = read_table(fx.spark, path, audit.schema)
-    return rows.select("file_id", "file_name", "downloaded", "download_status", "download_attempts")
+    attempts = F.col("download_attempts").cast("string").alias("download_attempts")
+    return rows.select("file_id", "file_name", "downloaded", "download_status", attempts)
 
 
 @query("A7 A8", """

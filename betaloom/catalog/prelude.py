@@ -134,6 +134,17 @@ SELECT probe_id FROM pp_probes GROUP BY probe_id
 HAVING count(*) = (SELECT count(*) FROM fx_projects)""",
     "co_matrix": """
 SELECT * FROM pp_matrix WHERE probe_id IN (SELECT probe_id FROM co_common)""",
+    "gs_scores": """
+SELECT q.*, b.batch_id, split_part(b.batch_id, '-', 1) AS portion FROM qc_stats q JOIN fx_batched b USING (project_id, sample_id)""",
+    "co_survivors": """
+SELECT project_id, sample_id FROM qc_samples WHERE passed""",
+    "co_selected": """
+SELECT * FROM co_matrix WHERE probe_id IN (SELECT probe_id FROM co_mad WHERE mad_score > 0 ORDER BY mad_score DESC, probe_id LIMIT 12)""",
+    "co_genes": """
+SELECT project_id, sample_id, gene_symbol, avg(value) AS value
+FROM co_matrix JOIN (SELECT probe_id, unnest(string_split(gene_symbol, ';')) AS gene_symbol FROM fx_annotation
+                     WHERE (TSS200 OR TSS1500) AND gene_symbol IS NOT NULL) USING (probe_id)
+GROUP BY project_id, sample_id, gene_symbol""",
     "co_mad": """
 SELECT probe_id, mad(value) AS mad_score FROM co_matrix GROUP BY probe_id""",
 }

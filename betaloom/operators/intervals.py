@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.functions.running import running_totals
+from betaloom.tables import materialize
 
 BIN = 10_000
 SALTS = 8
@@ -103,7 +104,7 @@ def difference(a: DataFrame, b: DataFrame | None = None) -> DataFrame:
     swept = running_totals(steps, ["chr"], region, ["pos"], {"kept": F.col("keep"), "dropped": F.col("drop")})
     now = (F.col("kept") > 0) & (F.col("dropped") == 0)
     before = (F.col("kept") - F.col("keep") > 0) & (F.col("dropped") - F.col("drop") == 0)
-    changes = swept.where(now != before).select("chr", "pos", now.cast("long").alias("opens"))
+    changes = materialize(swept.where(now != before).select("chr", "pos", now.cast("long").alias("opens")), "sweep")
     numbered = running_totals(changes, ["chr"], region, ["pos"], {"piece": F.col("opens")})
     pieces = numbered.groupBy("chr", "piece").agg(F.min("pos").alias("start"), (F.max("pos") - 1).alias("end"))
     return pieces.select("chr", "start", "end")
@@ -112,7 +113,7 @@ def difference(a: DataFrame, b: DataFrame | None = None) -> DataFrame:
 def shores_and_shelves(islands: DataFrame, both_ends: bool = False) -> tuple[DataFrame, DataFrame]:
     """Shores: 2000 around islands without them. Shelves: 4000 around, without islands and shores."""
     bare = islands.select("chr", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-    shores = difference(flank(bare, 2_000, both_ends), bare)
+    shores = materialize(difference(flank(bare, 2_000, both_ends), bare), "shores")
     shelves = difference(flank(bare, 4_000, both_ends), bare.unionByName(shores))
     return shores, shelves
 

@@ -13,9 +13,10 @@ def read_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
     """All ``<raw_dir>/<file_id>/<file_name>`` tables as ``(file_id, file_name, probe_id, beta_value)``.
 
     One scan over every file; header names are ignored and text that is no number becomes NULL.
+    Folders are listed by the executors when there are many.
     """
-    rows = spark.read.csv(f"{raw_dir}/*/*", sep="\t", header=True, schema=schemas.RAW_BETA, enforceSchema=True)
-    return located(rows)
+    reader = spark.read.schema(schemas.RAW_BETA).option("recursiveFileLookup", True)
+    return located(reader.csv(raw_dir, sep="\t", header=True, enforceSchema=True))
 
 
 def located(rows: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def main() -> int:
     spark = local_session()
     bad = []
     for name, query in catalog.load().items():
-        if args.only and not any(name.startswith(o) or o in query.covers.split() for o in args.only):
+        if args.only and not any(name == o or any(c == o or c[0] == o for c in query.covers.split()) for o in args.only):
             continue
         try:
             start = time.time()
