@@ -100,7 +100,7 @@ def correction_preconditions(fx: Fixtures) -> DataFrame:
     return cohort.values.groupBy("project_id").agg(missing.alias("missing"), F.count("*").alias("cells"))
 
 
-@query("F8")
+@query("F8", "SELECT project_id, sample_id, probe_id, round(value, 6) AS value FROM cb_corrected")
 def batch_corrected(fx: Fixtures) -> DataFrame:
     cohort = plan.aggregate_cohort(fx.prepared, "pancancer")
     return rounded(combat.batch_correction(cohort.values, cohort.samples), "value")

@@ -145,6 +145,85 @@ SELECT project_id, sample_id, gene_symbol, avg(value) AS value
 FROM co_matrix JOIN (SELECT probe_id, unnest(string_split(gene_symbol, ';')) AS gene_symbol FROM fx_annotation
                      WHERE (TSS200 OR TSS1500) AND gene_symbol IS NOT NULL) USING (probe_id)
 GROUP BY project_id, sample_id, gene_symbol""",
+    # empirical-Bayes batch correction of the cohort matrix
+    "cb_keys": """
+SELECT project_id, sample_id, coalesce(batch_id, 'None') AS full_key FROM fx_batched JOIN co_survivors USING (project_id, sample_id)""",
+    "cb_samples": """
+SELECT project_id, sample_id,
+       CASE WHEN (SELECT min(n) FROM (SELECT count(*) AS n FROM cb_keys GROUP BY full_key)) > 1 THEN full_key
+            WHEN (SELECT min(n) FROM (SELECT count(*) AS n FROM cb_keys GROUP BY split_part(full_key, '-', 1))) > 1 THEN split_part(full_key, '-', 1)
+            ELSE array_to_string(string_split(full_key, '-')[1:2], '-') END AS batch
+FROM cb_keys""",
+    # design columns: every batch, every project but the first
+    "cb_columns": """
+SELECT label, kind, row_number() OVER (ORDER BY kind, label) AS k
+FROM (SELECT DISTINCT batch AS label, 'batch' AS kind FROM cb_samples
+      UNION ALL SELECT DISTINCT project_id, 'project' FROM cb_samples WHERE project_id > (SELECT min(project_id) FROM cb_samples))""",
+    "cb_design": """
+SELECT s.project_id, s.sample_id, c.k FROM cb_samples s
+JOIN cb_columns c ON (c.kind = 'batch' AND c.label = s.batch) OR (c.kind = 'project' AND c.label = s.project_id)""",
+    "cb_normal": """
+SELECT list(line ORDER BY i) AS m FROM (
+  SELECT i, list(CAST(coalesce(n, 0) AS DOUBLE) ORDER BY j) AS line
+  FROM (SELECT a.k AS i, b.k AS j FROM cb_columns a CROSS JOIN cb_columns b)
+  LEFT JOIN (SELECT a.k AS i, b.k AS j, count(*) AS n FROM cb_design a JOIN cb_design b USING (project_id, sample_id) GROUP BY 1, 2) USING (i, j)
+  GROUP BY i)""",
+    # in-place Gauss-Jordan inversion, one pivot per step
+    "cb_pivots": """
+SELECT CAST(0 AS BIGINT) AS p, m FROM cb_normal
+UNION ALL
+SELECT p + 1, list_transform(range(1, len(m) + 1), lambda i: list_transform(range(1, len(m) + 1), lambda j:
+         CASE WHEN i = p + 1 AND j = p + 1 THEN 1 / m[i][j]
+              WHEN i = p + 1 THEN m[i][j] / m[i][i]
+              WHEN j = p + 1 THEN -m[i][j] / m[j][j]
+              ELSE m[i][j] - m[i][p + 1] * m[p + 1][j] / m[p + 1][p + 1] END))
+FROM cb_pivots WHERE p < len(m)""",
+    "cb_inverse": """
+SELECT a.k AS i, b.k AS j, m[a.k][b.k] AS v FROM cb_columns a CROSS JOIN cb_columns b CROSS JOIN (SELECT m FROM cb_pivots ORDER BY p DESC LIMIT 1)""",
+    "cb_coefficients": """
+SELECT probe_id, i AS k, sum(v * total) AS b
+FROM (SELECT probe_id, k AS j, sum(value) AS total FROM co_matrix JOIN cb_design USING (project_id, sample_id) GROUP BY 1, 2)
+JOIN cb_inverse USING (j) GROUP BY 1, 2""",
+    "cb_grand": """
+SELECT probe_id, sum(b * n) / (SELECT count(*) FROM cb_samples) AS grand
+FROM cb_coefficients JOIN cb_columns USING (k) JOIN (SELECT batch AS label, count(*) AS n FROM cb_samples GROUP BY 1) USING (label)
+WHERE kind = 'batch' GROUP BY 1""",
+    "cb_fitted": """
+SELECT m.project_id, m.sample_id, m.probe_id, any_value(m.value) AS y, sum(b) AS fit, coalesce(sum(b) FILTER (kind = 'project'), 0) AS effect
+FROM co_matrix m JOIN cb_design d USING (project_id, sample_id) JOIN cb_coefficients c ON c.probe_id = m.probe_id AND c.k = d.k
+JOIN cb_columns l ON l.k = d.k GROUP BY 1, 2, 3""",
+    "cb_pooled": """
+SELECT probe_id, sqrt(avg((y - fit) * (y - fit))) AS sd FROM cb_fitted GROUP BY 1""",
+    "cb_scores": """
+SELECT f.project_id, f.sample_id, f.probe_id, batch, y, sd, grand + effect AS center, (y - grand - effect) / sd AS z
+FROM cb_fitted f JOIN cb_pooled USING (probe_id) JOIN cb_grand USING (probe_id) JOIN cb_samples USING (project_id, sample_id)""",
+    "cb_stats": """
+SELECT probe_id, batch, count(*) AS n, avg(z) AS gamma, coalesce(var_samp(z), 1) AS delta, sum(z) AS total, sum(z * z) AS squares
+FROM cb_scores GROUP BY 1, 2""",
+    "cb_priors": """
+SELECT batch, avg(gamma) AS bar, var_samp(gamma) AS t2, (2 * var_samp(delta) + avg(delta) ** 2) / var_samp(delta) AS a,
+       (avg(delta) * var_samp(delta) + avg(delta) ** 3) / var_samp(delta) AS b
+FROM cb_stats GROUP BY 1""",
+    "cb_steps": """
+SELECT probe_id, batch, CAST(0 AS BIGINT) AS step, gamma AS g, delta AS d, CAST(1 AS DOUBLE) AS change FROM cb_stats
+UNION ALL
+SELECT probe_id, batch, step + 1, g2, d2, greatest(abs(g2 - g) / abs(g), abs(d2 - d) / abs(d))
+FROM (SELECT *, (b + 0.5 * (squares - 2 * g2 * total + n * g2 * g2)) / (n / 2 + a - 1) AS d2
+      FROM (SELECT *, (t2 * n * gamma + d * bar) / (t2 * n + d) AS g2
+            FROM cb_steps JOIN cb_stats USING (probe_id, batch) JOIN cb_priors USING (batch)
+            WHERE change >= 0.0001))""",
+    "cb_agreed": """
+SELECT batch, max(step) AS last FROM cb_steps GROUP BY 1""",
+    "cb_run": """
+SELECT probe_id, batch, CAST(0 AS BIGINT) AS step, gamma AS g, delta AS d FROM cb_stats
+UNION ALL
+SELECT probe_id, batch, step + 1, g2, (b + 0.5 * (squares - 2 * g2 * total + n * g2 * g2)) / (n / 2 + a - 1)
+FROM (SELECT *, (t2 * n * gamma + d * bar) / (t2 * n + d) AS g2
+      FROM cb_run JOIN cb_stats USING (probe_id, batch) JOIN cb_priors USING (batch) JOIN cb_agreed USING (batch)
+      WHERE step < last)""",
+    "cb_corrected": """
+SELECT s.project_id, s.sample_id, s.probe_id, sd * (z - g) / sqrt(d) + center AS value
+FROM cb_scores s JOIN cb_agreed USING (batch) JOIN cb_run r ON r.probe_id = s.probe_id AND r.batch = s.batch AND r.step = last""",
     "co_mad": """
 SELECT probe_id, mad(value) AS mad_score FROM co_matrix GROUP BY probe_id""",
 }
@@ -159,7 +238,7 @@ def _needed(sql: str) -> list[str]:
     def visit(text: str) -> None:
         for name in _NAME.findall(text):
             if name in VIEWS and name not in ordered:
-                visit(VIEWS[name])
+                visit(VIEWS[name].replace(name, ""))
                 if name not in ordered:
                     ordered.append(name)
 
@@ -170,11 +249,9 @@ def _needed(sql: str) -> list[str]:
 def with_views(sql: str) -> str:
     """``sql`` with the views it names as leading common table expressions."""
     body = sql.strip()
-    views = [f"{name} AS ({VIEWS[name].strip()})" for name in _needed(body)]
-    recursive = body.upper().startswith("WITH RECURSIVE ")
-    if recursive:
-        views.append(body[len("WITH RECURSIVE "):])
-        return "WITH RECURSIVE " + ",\n".join(views)
-    if not views:
+    needed = _needed(body)
+    if not needed:
         return body
-    return "WITH " + ",\n".join(views) + "\n" + body
+    recursive = any(re.search(rf"\b{name}\b", VIEWS[name]) for name in needed)
+    views = [f"{name} AS ({VIEWS[name].strip()})" for name in needed]
+    return f"WITH {'RECURSIVE ' if recursive else ''}" + ",\n".join(views) + "\n" + body

@@ -9,10 +9,12 @@ read twice and never leaves the JVM.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,9 @@ from betaloom.functions.columns import portion
 from betaloom.operators.quality import SAMPLE
 from betaloom.tables import materialize
 
+# Batch functions travel with the task, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TOLERANCE = 1e-4
 MAX_ITERATIONS = 10_000
 
