@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOLERANCE = 1e-4
 MAX_ITERATIONS = 10_000
+# residual spread below this share of the values' own size is rounding, not variance
+ROUNDING = 1e-12
 
 
 def batch_labels(samples: DataFrame, batch_key: str = "batch_id") -> DataFrame:
@@ -100,7 +102,9 @@ def _standardizer(cells: pd.DataFrame, design: np.ndarray, n_batches: int):
             grand = coefficients[:, :n_batches] @ share
             residual = mean - coefficients @ design.T
             variance = (spread + counts * residual**2).sum(axis=1) / counts.sum()
+            size_of_values = np.sqrt((spread + counts * mean**2).sum(axis=1) / counts.sum())
             sd = np.sqrt(variance)
+            sd[sd <= ROUNDING * size_of_values] = 0.0
             fitted = grand[:, None] + coefficients[:, n_batches:] @ design[:, n_batches:].T
             scale = np.where(sd > 0, sd, 1.0)[:, None]
             shift = (mean - fitted) / scale

@@ -16,15 +16,21 @@ def read_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
     Folders are listed by the executors when there are many.
     """
     reader = spark.read.schema(schemas.RAW_BETA).option("recursiveFileLookup", True)
-    return located(reader.csv(raw_dir, sep="\t", header=True, enforceSchema=True))
+    return located(reader.csv(raw_dir, sep="\t", header=True, enforceSchema=True), raw_dir)
 
 
-def located(rows: DataFrame) -> DataFrame:
-    """Take file id and name from the path a row was read from, and parse its value."""
-    path = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return rows.select(
-        F.url_decode(F.regexp_extract(path, r"([^/=]+)/[^/]+$", 1)).alias("file_id"),
-        F.url_decode(F.regexp_extract(path, r"([^/]+)$", 1)).alias("file_name"),
+def located(rows: DataFrame, raw_dir: str) -> DataFrame:
+    """Take file id and name from the path a row was read from, and parse its value.
+
+    Files deeper than ``<raw_dir>/<file_id>/`` (logs of the transfer client) are left out.
+    """
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    placed = rows.withColumn("_path", path)
+    root = raw_dir.rstrip("/").rsplit("/", 1)[-1]
+    at_depth = F.element_at(F.split("_path", "/"), -3) == root
+    return placed.where(at_depth).select(
+        F.regexp_extract("_path", r"([^/=]+)/[^/]+$", 1).alias("file_id"),
+        F.regexp_extract("_path", r"([^/]+)$", 1).alias("file_name"),
         "probe_id",
         parsed_number(F.col("beta_value")).alias("beta_value"),
     )

@@ -15,7 +15,7 @@ def read_raw_stream(spark: SparkSession, raw_dir: str, max_files: int | None = N
     reader = spark.readStream.schema(schemas.RAW_BETA).option("sep", "\t").option("header", True)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return located(reader.csv(f"{raw_dir}/*/*"))
+    return located(reader.csv(f"{raw_dir}/*/*"), raw_dir)
 
 
 def ingest_available(rows: DataFrame, store_path: str, project_id: str, checkpoint: str) -> StreamingQuery:
