@@ -221,7 +221,10 @@ def prepare_gene_cohort(fx: Fixtures) -> DataFrame:
     return rounded(placed.select(*SAMPLE, F.col("probe_id").alias("gene_symbol"), "value", "split"), "value")
 
 
-@query("F8 G1 G2 G3 G4 G5")
+@query("F8 G1 G2 G3 G4 G5", """
+SELECT 'before' AS stage, factor, round(between / total, 6) AS fraction FROM pc_before_shares CROSS JOIN pc_before_total
+UNION ALL
+SELECT 'after', factor, round(between / total, 6) FROM pc_after_shares CROSS JOIN pc_after_total""")
 def batch_report_before_after(fx: Fixtures) -> DataFrame:
     cohort = plan.aggregate_cohort(fx.prepared, "pancancer")
     values = materialize(cohort.values, "matrix")

@@ -13,7 +13,7 @@ from betaloom.operators import control
 from betaloom.settings import ManifestRequest
 from betaloom.sources.control import read_responses
 
-WANT = ManifestRequest(project_id="src7", platform="en", sample_type="Primary Tumor")
+WANT = ManifestRequest(project_id="src7", platform="en")
 
 
 def _shown(flag: str) -> Column:
@@ -218,3 +218,22 @@ SELECT file_id, file_name FROM fx_manifest JOIN fx_status USING (file_id) WHERE
 def successful_metadata(fx: Fixtures) -> DataFrame:
     metadata = fx.manifest.join(fx.status_log.select("file_id", "status"), "file_id")
     return control.successful_metadata(metadata).select("file_id", "file_name")
+
+
+@query("B1 B2 B3 B5 B6 B7 B10 B12 B17 B18", """
+SELECT m.file_id, CAST(coalesce(s.status = 'success', false) AS INTEGER) AS downloaded,
+       CAST(coalesce(s.status = 'success', false) AND h.doc_id % 2 = 0 AS INTEGER) AS metadata_fetched,
+       CASE WHEN s.status = 'success' AND h.doc_id % 2 = 0 THEN t.submitter_id END AS submitter_id,
+       CASE WHEN s.status = 'success' AND h.doc_id % 2 = 0 AND t.aliquot_id IS NOT NULL
+            THEN CASE WHEN h.doc_id % 3 = 0 THEN 'PO-' || h.doc_id ELSE 'BC-' || h.doc_id END END AS barcode
+FROM fx_manifest m JOIN fx_hits h USING (file_id) JOIN fx_metadata t USING (file_id) LEFT JOIN fx_status s USING (file_id)
+WHERE h.access = 'open' AND h.platform = 'en' AND h.has_cases AND h.has_samples AND h.first_type = 'Primary Tumor'""")
+def registered_files(fx: Fixtures) -> DataFrame:
+    from betaloom.plans.intake import register_files, verified_manifest
+
+    manifest = verified_manifest(fx.hits, WANT)
+    answered = fx.hits.where(F.expr("cast(substring(file_id, 3) AS BIGINT) % 2 = 0"))
+    cases = fx.hits.select(F.explode("cases").alias("c")).select("c.*")
+    done = register_files(manifest, answered, cases, fx.landed, F.lit(1), F.current_timestamp())
+    audit = done.audit.select("file_id", "downloaded", F.coalesce("metadata_fetched", F.lit(0)).alias("metadata_fetched"))
+    return audit.join(done.metadata.select("file_id", "submitter_id", "barcode"), "file_id", "left")

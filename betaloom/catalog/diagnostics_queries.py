@@ -7,25 +7,16 @@ from pyspark.sql import functions as F
 
 from betaloom.catalog.fixtures import Fixtures
 from betaloom.catalog.matrix_queries import CELL, rounded
+from betaloom.catalog.prelude import dispersion_sql
 from betaloom.catalog.registry import query
 from betaloom.functions.columns import portion
 from betaloom.operators import diagnostics as dg
 from betaloom.operators import quality as qc
 from betaloom.tables import materialize
 
-DISPERSION = """
-SELECT probe_id, mean, dispersion, bin,
-       (dispersion - CASE WHEN spread IS NULL THEN 0 ELSE center END) / CASE WHEN spread IS NULL THEN center ELSE spread END AS score
-FROM (SELECT *, avg(dispersion) OVER (PARTITION BY bin) AS center, stddev_samp(dispersion) OVER (PARTITION BY bin) AS spread
-      FROM (SELECT *, CAST(greatest(ceil((mean - min(mean) OVER ()) / (max(mean) OVER () - min(mean) OVER ()) * 20), 1) AS INTEGER) AS bin
-            FROM (SELECT probe_id, ln(1 + m) AS mean, CASE WHEN v / m > 0 THEN ln(v / m) END AS dispersion
-                  FROM (SELECT probe_id, CASE WHEN avg(exp(value) - 1) = 0 THEN 1e-12 ELSE avg(exp(value) - 1) END AS m, var_samp(exp(value) - 1) AS v
-                        FROM fx_m GROUP BY probe_id))))"""
-
-
 @query("G1", f"""
 SELECT probe_id, round(mean, 6) AS mean, round(dispersion, 6) AS dispersion, bin, round(score, 6) AS score
-FROM ({DISPERSION}) WHERE score IS NOT NULL ORDER BY score DESC, probe_id LIMIT 25""")
+FROM ({dispersion_sql("fx_m")}) WHERE score IS NOT NULL ORDER BY score DESC, probe_id LIMIT 25""")
 def highly_variable_probes(fx: Fixtures) -> DataFrame:
     return rounded(dg.highly_variable(fx.mvals, 25), "mean", "dispersion", "score")
 
@@ -37,7 +28,10 @@ def standardized(fx: Fixtures) -> DataFrame:
     return rounded(dg.standardize(fx.mvals).select(*CELL, "value"), "value")
 
 
-@query("G3")
+COMPONENTS = ", ".join(f"round(max(score) FILTER (k = {i}), 6) AS PC{i}" for i in range(1, 11))
+
+
+@query("G3", f"SELECT project_id, sample_id, {COMPONENTS} FROM pc_plain_scores GROUP BY project_id, sample_id")
 def principal_components(fx: Fixtures) -> DataFrame:
     from betaloom.plans.cohort import aggregate_cohort
 

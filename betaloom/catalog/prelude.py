@@ -228,7 +228,84 @@ FROM cb_scores s JOIN cb_agreed USING (batch) JOIN cb_run r ON r.probe_id = s.pr
 SELECT probe_id, mad(value) AS mad_score FROM co_matrix GROUP BY probe_id""",
 }
 
-_NAME = re.compile(r"\b(?:fx|qc|pp|co|cb|gs|iv)_[a-z0-9_]+\b")
+
+def _component_views(tag: str, source: str, sweeps: int = 8) -> dict[str, str]:
+    """Principal components of ``source`` by cyclic Jacobi rotations of its covariance."""
+    n = "range(1, len(m) + 1)"
+    return {
+        f"pc_{tag}_scaled": f"""
+SELECT project_id, sample_id, probe_id, least(greatest((value - center) / CASE WHEN spread > 0 THEN spread ELSE 1 END, -10), 10) AS x
+FROM {source} JOIN (SELECT probe_id, avg(value) AS center, stddev_samp(value) AS spread FROM {source} GROUP BY 1) USING (probe_id)""",
+        f"pc_{tag}_covariance": f"""
+SELECT list(line ORDER BY i) AS m, list(i ORDER BY i) AS probes FROM (
+  SELECT i, list(c ORDER BY j) AS line FROM (
+    SELECT a.probe_id AS i, b.probe_id AS j, covar_samp(a.x, b.x) AS c
+    FROM pc_{tag}_scaled a JOIN pc_{tag}_scaled b USING (project_id, sample_id) GROUP BY 1, 2) GROUP BY i)""",
+        f"pc_{tag}_turns": f"""
+SELECT CAST(0 AS BIGINT) AS step, m, list_transform({n}, lambda i: list_transform({n}, lambda j: CAST(i = j AS DOUBLE))) AS v,
+       flatten(list_transform({n}, lambda i: list_transform(range(i + 1, len(m) + 1), lambda j: [i, j]))) AS pairs
+FROM pc_{tag}_covariance
+UNION ALL
+SELECT step + 1, list_transform({n}, lambda i: CASE WHEN i = p THEN list_transform({n}, lambda j: c * m[p][j] - s * m[q][j])
+         WHEN i = q THEN list_transform({n}, lambda j: s * m[p][j] + c * m[q][j]) ELSE m[i] END), v, pairs
+FROM (SELECT step, pairs, p, q, c, s,
+             list_transform(m, lambda r: list_transform(range(1, len(r) + 1), lambda j: CASE WHEN j = p THEN c * r[p] - s * r[q] WHEN j = q THEN s * r[p] + c * r[q] ELSE r[j] END)) AS m,
+             list_transform(v, lambda r: list_transform(range(1, len(r) + 1), lambda j: CASE WHEN j = p THEN c * r[p] - s * r[q] WHEN j = q THEN s * r[p] + c * r[q] ELSE r[j] END)) AS v
+      FROM (SELECT *, 1 / sqrt(t * t + 1) AS c, t / sqrt(t * t + 1) AS s
+            FROM (SELECT *, CASE WHEN m[p][q] = 0 THEN 0 ELSE (CASE WHEN m[q][q] < m[p][p] THEN -1 ELSE 1 END) /
+                            (abs((m[q][q] - m[p][p]) / (2 * m[p][q])) + sqrt(((m[q][q] - m[p][p]) / (2 * m[p][q])) ** 2 + 1)) * (CASE WHEN m[p][q] < 0 THEN -1 ELSE 1 END) END AS t
+                  FROM (SELECT *, pairs[step % len(pairs) + 1][1] AS p, pairs[step % len(pairs) + 1][2] AS q
+                        FROM pc_{tag}_turns WHERE step < {sweeps} * len(pairs)))))""",
+        f"pc_{tag}_loadings": f"""
+SELECT probes[i] AS probe_id, rank AS k, v[i][j] * sign(arg_max(v[i][j], abs(v[i][j])) OVER (PARTITION BY j)) AS loading
+FROM (SELECT probes, v, m[j][j] AS strength, j, row_number() OVER (ORDER BY m[j][j] DESC) AS rank
+      FROM (SELECT probes, t.v, t.m, unnest(range(1, len(t.m) + 1)) AS j
+            FROM (SELECT m, v FROM pc_{tag}_turns ORDER BY step DESC LIMIT 1) t CROSS JOIN pc_{tag}_covariance))
+CROSS JOIN (SELECT unnest(range(1, len(m) + 1)) AS i FROM pc_{tag}_covariance)""",
+        f"pc_{tag}_scores": f"""
+SELECT project_id, sample_id, k, sum((x - middle) * loading) AS score
+FROM pc_{tag}_scaled JOIN (SELECT probe_id, avg(x) AS middle FROM pc_{tag}_scaled GROUP BY 1) USING (probe_id)
+JOIN pc_{tag}_loadings USING (probe_id) WHERE k <= 10 GROUP BY 1, 2, 3""",
+    }
+
+
+def dispersion_sql(source: str) -> str:
+    """Normalised dispersion of every probe of ``source`` in 20 bins of mean."""
+    return f"""
+SELECT probe_id, mean, dispersion, bin,
+       (dispersion - CASE WHEN spread IS NULL THEN 0 ELSE center END) / CASE WHEN spread IS NULL THEN center ELSE spread END AS score
+FROM (SELECT *, avg(dispersion) OVER (PARTITION BY bin) AS center, stddev_samp(dispersion) OVER (PARTITION BY bin) AS spread
+      FROM (SELECT *, CAST(greatest(ceil((mean - min(mean) OVER ()) / (max(mean) OVER () - min(mean) OVER ()) * 20), 1) AS INTEGER) AS bin
+            FROM (SELECT probe_id, ln(1 + m) AS mean, CASE WHEN v / m > 0 THEN ln(v / m) END AS dispersion
+                  FROM (SELECT probe_id, CASE WHEN avg(exp(value) - 1) = 0 THEN 1e-12 ELSE avg(exp(value) - 1) END AS m, var_samp(exp(value) - 1) AS v
+                        FROM {source} GROUP BY probe_id))))"""
+
+
+def _report_views(tag: str, source: str) -> dict[str, str]:
+    """Share of component variance by project and by portion, over the variable probes of ``source``."""
+    return {
+        f"hv_{tag}_matrix": f"""
+SELECT * FROM {source} WHERE probe_id IN (
+  SELECT probe_id FROM ({dispersion_sql(source)}) WHERE score IS NOT NULL ORDER BY score DESC, probe_id LIMIT 5000)""",
+        **_component_views(tag, f"hv_{tag}_matrix"),
+        f"pc_{tag}_labelled": f"""
+SELECT p.project_id, split_part(batch_id, '-', 1) AS portion, k, score FROM pc_{tag}_scores p JOIN fx_batched USING (project_id, sample_id)""",
+        f"pc_{tag}_total": f"""
+SELECT sum(v) AS total FROM (SELECT var_samp(score) AS v FROM pc_{tag}_labelled GROUP BY k)""",
+        f"pc_{tag}_shares": f"""
+SELECT 'project_id' AS factor, sum(v) AS between FROM (
+  SELECT var_samp(a) AS v FROM (SELECT k, avg(score) AS a FROM pc_{tag}_labelled GROUP BY k, project_id) GROUP BY k)
+UNION ALL
+SELECT 'portion', sum(v) FROM (
+  SELECT var_samp(a) AS v FROM (SELECT k, avg(score) AS a FROM pc_{tag}_labelled WHERE portion IS NOT NULL GROUP BY k, portion) GROUP BY k)""",
+    }
+
+
+VIEWS |= _component_views("plain", "co_matrix")
+VIEWS |= _report_views("before", "co_matrix")
+VIEWS |= _report_views("after", "cb_corrected")
+
+_NAME = re.compile(r"\b(?:fx|qc|pp|co|cb|gs|pc|hv)_[a-z0-9_]+\b")
 
 
 def _needed(sql: str) -> list[str]:

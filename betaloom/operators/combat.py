@@ -49,13 +49,14 @@ def batch_labels(samples: DataFrame, batch_key: str = "batch_id") -> DataFrame:
 
 
 def check_preconditions(values: DataFrame, samples: DataFrame, conversion: str, batch_key: str, covariates: tuple[str, ...]) -> None:
-    """Refuse input the correction is not defined for."""
+    """Refuse input the correction is not defined for. A cell without a row is missing, too."""
     if conversion != "m_value":
         raise ValueError(f"batch correction needs M-values, the data holds {conversion!r}")
     for column in (batch_key, *covariates):
         if column not in samples.columns:
             raise ValueError(f"column {column!r} is not in the samples table; batch correction needs it")
-    if values.where(F.col("value").isNull()).take(1):
+    present, probes = values.agg(F.count("value"), F.countDistinct("probe_id")).first()
+    if present != probes * samples.count():
         raise ValueError("batch correction needs a matrix without missing values; impute or drop them first")
 
 
@@ -151,9 +152,7 @@ def standardized_stats(values: DataFrame, sample_cells: DataFrame, cells: pd.Dat
         .agg(F.avg("value").alias("mean"), (F.var_pop("value") * F.count("value")).alias("spread"))
     )
     packed = per_cell.groupBy("probe_id").agg(F.array_sort(F.collect_list(F.struct("cell", "mean", "spread"))).alias("stats"))
-    packed = packed.where(F.size("stats") == len(cells)).select(
-        "probe_id", F.col("stats.mean").alias("means"), F.col("stats.spread").alias("spreads")
-    )
+    packed = packed.select("probe_id", F.col("stats.mean").alias("means"), F.col("stats.spread").alias("spreads"))
     return packed.mapInPandas(_standardizer(cells, design, n_batches), _STANDARD)
 
 

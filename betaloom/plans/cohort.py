@@ -23,7 +23,7 @@ def aggregate_cohort(projects: Dataset, cohort_id: str, order: str = "ordinal")
     members = projects.meta.select("project_id")
     values = projects.values.join(members, "project_id", "left_semi").join(common, "probe_id", "left_semi")
     samples = projects.samples.join(members, "project_id", "left_semi")
-    meta = materialize(co.cohort_row(projects.meta, cohort_id, order), "cohort-meta")
+    meta = co.cohort_row(projects.meta, cohort_id, order)
     return Dataset(values.select(*SAMPLE, "probe_id", "value"), samples, common, meta)
 
 
@@ -72,7 +72,7 @@ def clip_and_scale(ds: Dataset, options: CohortOptions = CohortOptions()) -> Dat
 
 def split(ds: Dataset, options: CohortOptions = CohortOptions()) -> Dataset:
     """Samples get unique names, then a part; the matrix follows by joining its samples."""
-    named = co.unique_names(ds.samples.drop("sample_name"))
+    named = materialize(co.unique_names(ds.samples.drop("sample_name")), "named-samples")
     placed = materialize(sp.split(named, options.fractions, options.seed, "sample_name"), "split")
     return ds.replaced(samples=placed)
 

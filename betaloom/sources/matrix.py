@@ -28,11 +28,15 @@ def load_dataset(spark: SparkSession, path: str) -> Dataset:
 
 
 def load_datasets(spark: SparkSession, paths: list[str]) -> Dataset:
-    """Several saved projects as one dataset. Companion tables may differ in extra columns."""
+    """Several saved projects as one dataset. Sample columns are those all projects have."""
     loaded = [load_dataset(spark, path) for path in paths]
 
     def stack(part: str) -> DataFrame:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [getattr(d, part) for d in loaded])
+        tables = [getattr(d, part) for d in loaded]
+        if part == "samples":
+            shared = [c for c in tables[0].columns if all(c in t.columns for t in tables)]
+            tables = [t.select(*shared) for t in tables]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
 
     return Dataset(*[stack(part) for part in PARTS])
 

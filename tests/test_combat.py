@@ -108,6 +108,8 @@ def test_refusals(spark):
     gap = values.selectExpr("project_id", "sample_id", "probe_id", "nullif(value, 1.5D) value")
     with pytest.raises(ValueError, match="missing"):
         combat.batch_correction(gap, samples)
+    with pytest.raises(ValueError, match="missing"):
+        combat.batch_correction(values.where("sample_id != 's003' or probe_id != 'p004'"), samples)
 
 
 def test_batches_nested_in_projects_are_refused(spark):
