@@ -28,11 +28,14 @@ def grouped_quantiles(
     value: str,
     probs: Mapping[str, float],
     small_group: int = SMALL_GROUP,
+    largest: int | None = None,
 ) -> DataFrame:
-    """One row per key with a column per entry of ``probs``."""
+    """One row per key with a column per entry of ``probs``.
+
+    ``largest`` is the size of the largest group where the caller has counted it already.
+    """
     present = df.select(*keys, F.col(value).alias("_x")).where(F.col("_x").isNotNull())
-    sizes = present.groupBy(*keys).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
+    largest = largest_group(df, keys, value) if largest is None else largest
     if largest <= small_group:
         cuts = F.percentile("_x", F.array(*[F.lit(p) for p in probs.values()]))
         found = present.groupBy(*keys).agg(cuts.alias("_q"))
@@ -40,6 +43,12 @@ def grouped_quantiles(
     return _narrowed(present, list(keys), probs, small_group)
 
 
+def largest_group(df: DataFrame, keys: Sequence[str], value: str) -> int:
+    """Most values any key holds."""
+    sizes = df.groupBy(*keys).agg(F.count(value).alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
+
 def _rank(n: Column, p: float) -> Column:
     return (n - 1) * F.lit(float(p))
 
@@ -77,7 +86,7 @@ def _narrowed(present: DataFrame, keys: list[str], probs: Mapping[str, float], l
         share = _rank(n, p) - F.floor(_rank(n, p))
         low, high = F.col(f"_e{i}_0"), F.col(f"_e{i}_1")
         cuts.append((low + (high - low) * share).alias(name))
-    return found.select(*keys, *cuts)
+    return materialize(found.select(*keys, *cuts), "quantiles")
 
 
 def _running(keys: list[str], order: str):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.functions.columns import clipped
-from betaloom.functions.quantiles import SMALL_GROUP, global_quantiles, grouped_quantiles
+from betaloom.functions.quantiles import SMALL_GROUP, global_quantiles, grouped_quantiles, largest_group
 from betaloom.functions.running import running_totals
 from betaloom.operators.quality import PROBE, SAMPLE
 from betaloom.settings import GENE_REGIONS, PLATFORM_PRIORITY
@@ -82,9 +82,11 @@ def mixed_fields(meta: DataFrame) -> DataFrame:
 
 def mad_scores(values: DataFrame, small_group: int = SMALL_GROUP) -> DataFrame:
     """Median absolute deviation per probe, unscaled, over the values present."""
-    middle = materialize(grouped_quantiles(values, ["probe_id"], "value", {"center": 0.5}, small_group), "medians")
+    size = largest_group(values, ["probe_id"], "value")
+    middle = grouped_quantiles(values, ["probe_id"], "value", {"center": 0.5}, small_group, size)
+    middle = materialize(middle, "medians")
     distance = values.join(middle, "probe_id").select("probe_id", F.abs(F.col("value") - F.col("center")).alias("distance"))
-    return grouped_quantiles(distance, ["probe_id"], "distance", {"mad_score": 0.5}, small_group)
+    return grouped_quantiles(distance, ["probe_id"], "distance", {"mad_score": 0.5}, small_group, size)
 
 
 def top_probes(scores: DataFrame, top_n: int = 30_000) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from betaloom.functions.columns import null_if_nan
 from betaloom.operators.quality import PROBE, SAMPLE
+from betaloom.tables import materialize
 
 CHUNKS = 512
 
@@ -38,6 +39,7 @@ def densify(values: DataFrame, samples: DataFrame, probes: DataFrame) -> DataFra
     chunk = F.pmod(F.xxhash64("probe_id"), F.lit(CHUNKS)).cast("int")
     universe = probes.select(*PROBE).distinct().withColumn("chunk", chunk)
     expected = universe.groupBy("project_id").agg(F.count("*").alias("expected"), F.collect_set("chunk").alias("chunks"))
+    expected = materialize(expected, "expected")
     held = values.groupBy(*SAMPLE).agg(F.count("*").alias("held"))
     short = (
         samples.select(*SAMPLE).distinct()

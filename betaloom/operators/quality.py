@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from betaloom.functions.quantiles import grouped_quantiles
 from betaloom.settings import ProjectOptions
+from betaloom.tables import materialize
 
 SAMPLE = ["project_id", "sample_id"]
 PROBE = ["project_id", "probe_id"]
@@ -32,9 +33,10 @@ def sample_stats(values: DataFrame, counts: DataFrame | None = None) -> DataFram
     """Missing rate and mean per sample. Absent cells count as missing.
 
     ``counts`` may name the probes per project when they are known (an array manifest), which
-    saves the distinct pass.
+    saves the distinct pass. The counts are stored before they meet the samples, so that their
+    real size decides the join and a large project need not be one join key.
     """
-    counts = probe_counts(values) if counts is None else counts
+    counts = materialize(probe_counts(values) if counts is None else counts, "probe-counts")
     per_sample = values.groupBy(*SAMPLE).agg(F.count("value").alias("n_present"), F.avg("value").alias("mean"))
     rate = 1.0 - F.col("n_present") / F.col("n_probes")
     return per_sample.join(counts, "project_id").select(*SAMPLE, "n_present", "n_probes", rate.alias("missing_rate"), "mean")

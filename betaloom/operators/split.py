@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.functions.running import hash_prefix, running_totals
+from betaloom.tables import materialize
 
 NAMES = ("training", "validation", "test")
 
@@ -64,7 +65,8 @@ def split(
     ranked = running_totals(
         keyed, ["project_id"], hash_prefix(F.col("_digest")), ["_digest", name], {"_rank": F.lit(1)}
     )
-    placed = ranked.join(quotas(samples, fractions).drop("n"), "project_id")
+    shares = materialize(quotas(samples, fractions).drop("n"), "quotas")
+    placed = ranked.join(shares, "project_id")
     in_test = F.col("_rank") <= F.col("n_test")
     in_validation = F.col("_rank") <= F.col("n_test") + F.col("n_validation")
     part = F.when(in_test, NAMES[2]).when(in_validation, NAMES[1]).otherwise(NAMES[0])

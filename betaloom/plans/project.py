@@ -20,7 +20,7 @@ from betaloom.tables import materialize
 
 
 def sample_qc(ds: Dataset, options: ProjectOptions = ProjectOptions()) -> Dataset:
-    stats = materialize(qc.sample_stats(ds.values), "sample-stats")
+    stats = materialize(qc.sample_stats(ds.values, qc.probe_counts(ds.probes)), "sample-stats")
     verdicts = materialize(
         qc.sample_verdicts(stats, options.sample_missing_threshold, options.outlier_threshold), "sample-verdicts"
     )
