@@ -193,7 +193,7 @@ def stratified_split(fx: Fixtures) -> DataFrame:
 
 
 @query("F15", f"""
-SELECT split, CASE split WHEN 'training' THEN 0.6 ELSE 0.2 END AS split_percentage, count(*) AS n_samples,
+SELECT split, CAST(CASE split WHEN 'training' THEN 0.6 ELSE 0.2 END AS DOUBLE) AS split_percentage, count(*) AS n_samples,
        round(count(*) / (SELECT count(*) FROM fx_samples), 6) AS actual_percentage
 FROM ({split_sql("fx_samples")}) GROUP BY split""")
 def split_sizes(fx: Fixtures) -> DataFrame:

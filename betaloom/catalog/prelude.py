@@ -6,7 +6,7 @@ import re
 
 VIEWS: dict[str, str] = {
     "fx_cells": """
-SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS dim
+SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS v, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS dim
 FROM embeddings""",
     "fx_beta": """
 SELECT 'PRJ-' || label AS project_id, vec_id AS sample_id,

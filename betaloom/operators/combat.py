@@ -27,6 +27,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOLERANCE = 1e-4
 MAX_ITERATIONS = 10_000
+# statistics held as dense arrays at a time, per Python worker
+CELLS_AT_ONCE = 2_000_000
 # residual spread below this share of the values' own size is rounding, not variance
 ROUNDING = 1e-12
 
@@ -95,8 +97,10 @@ def _standardizer(cells: pd.DataFrame, design: np.ndarray, n_batches: int):
     share = counts @ in_batch / counts.sum()
     members = [np.flatnonzero(in_batch[:, k]).astype(np.int32) for k in range(n_batches)]
 
+    rows = max(1, CELLS_AT_ONCE // len(cells))
+
     def standardize(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
+        for part in (whole[i : i + rows] for whole in parts for i in range(0, len(whole), rows)):
             mean = np.vstack(part["means"].to_list()).astype(float)
             spread = np.vstack(part["spreads"].to_list()).astype(float)
             coefficients = mean @ solve.T

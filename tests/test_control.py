@@ -100,3 +100,14 @@ def test_biospecimen_falls_back_and_keeps_one_row(spark):
     assert got == {("C", "A", "b"), ("C", "N", "PB")}
     joined = ct.attach_barcodes(metadata, ct.build_biospecimen(cases, metadata))
     assert {r.aliquot_id: (r.barcode, r.batch_id) for r in joined.collect()} == {"A": ("b", None), "N": ("PB", None)}
+
+
+def test_failed_manifest_checks_stop_registration(responses):
+    from betaloom.plans.intake import verified_manifest
+
+    mixed = responses(hit("ok", [case()]), hit("late", [case(kind="Blood"), case()]))
+    with pytest.raises(ValueError, match="sample_type"):
+        verified_manifest(mixed, WANT)
+    assert [r.file_id for r in verified_manifest(mixed.where("file_id = 'ok'"), WANT).collect()] == ["ok"]
+    with pytest.raises(ValueError, match="not_empty"):
+        verified_manifest(mixed.where("false"), WANT)

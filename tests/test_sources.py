@@ -111,3 +111,18 @@ def test_saved_datasets_stack(rows, spark, matrix, tmp_path):
     both = load_datasets(spark, paths)
     assert both.values.count() == 2 and both.meta.count() == 2
     assert both.samples.columns == ["project_id", "sample_id"], "only shared sample columns stay"
+
+
+def test_raw_project_from_store_and_metadata(spark, rows, raw_dir, tmp_path):
+    from betaloom import api
+
+    store = str(tmp_path / "store")
+    api.clean_data(spark, str(raw_dir), audit_of(rows), store, "P")
+    metadata = rows([("f-1", "success", "z.txt"), ("f-2", "failed", "a.txt"), ("f-9", "success", "b.txt")], "file_id string, status string, file_name string")
+    ds = api.load_raw_project(spark, store, metadata, "P", PLATFORMS[1], "GRCh38")
+    assert {(r.sample_id, r.probe_id): r.value for r in ds.values.collect()} == {("f-1", "cg1"): 0.5, ("f-1", "cg2"): None}
+    assert [r.sample_id for r in ds.samples.collect()] == ["f-1"]
+    row = ds.meta.first()
+    assert (row.platform, row.conversion, row.state, row.preprocessing_steps) == (PLATFORMS[1], "beta_value", "raw", [])
+    with pytest.raises(ValueError, match="genome"):
+        api.load_raw_project(spark, store, metadata, "P", PLATFORMS[1], "hg38")
