@@ -20,6 +20,7 @@ from betaloom.operators.control import (
     clean_metadata,
     download_status,
     initialize_audit_table,
+    landed_files,
     pending_files,
     update_metadata,
 )
@@ -59,6 +60,6 @@ from betaloom.sources.control import (
     save_metadata,
     save_status_log,
 )
-from betaloom.sources.matrix import load_datasets, load_processed_project, save_cohort, save_project
+from betaloom.sources.matrix import load_datasets, load_processed_project, save_cohort, save_project, save_split
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -58,7 +58,7 @@ def manifest_checks(fx: Fixtures) -> DataFrame:
 @query("B4", """
 SELECT file_id, file_name FROM fx_manifest WHERE file_id NOT IN (SELECT file_id FROM fx_status WHERE status = 'success')""")
 def pending_files(fx: Fixtures) -> DataFrame:
-    return control.pending_files(fx.manifest, fx.landed)
+    return control.pending_files(fx.manifest, control.landed_files(fx.landed, fx.landed))
 
 
 @query("B5", """

@@ -55,6 +55,11 @@ def manifest_checks(hits: DataFrame, want: ManifestRequest, row_limit: int = MAN
 # --- download bookkeeping ---
 
 
+def landed_files(raw: DataFrame, stored: DataFrame) -> DataFrame:
+    """Ids of files that exist, either as delivered or in the beta store."""
+    return raw.select("file_id").unionByName(stored.select("file_id")).distinct()
+
+
 def pending_files(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     """Manifest rows with neither a raw nor a stored file yet."""
     return manifest.join(landed.select("file_id"), "file_id", "left_anti")

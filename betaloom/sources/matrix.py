@@ -7,15 +7,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 from betaloom.dataset import Dataset
+from betaloom.operators.quality import SAMPLE
 
 PARTS = ("values", "samples", "probes", "meta")
 
 
 def save_dataset(ds: Dataset, path: str, partition_by: tuple[str, ...] = ("project_id",)) -> None:
-    """Write the matrix and its companions as Parquet tables below ``path``.
-
-    Pass ``partition_by=("split",)`` for a split cohort, so a reader of one part prunes the rest.
-    """
+    """Write the matrix and its companions as Parquet tables below ``path``."""
     for part in PARTS:
         writer = getattr(ds, part).write.mode("overwrite").option("compression", "zstd")
         if part == "values":
@@ -23,6 +21,12 @@ def save_dataset(ds: Dataset, path: str, partition_by: tuple[str, ...] = ("proje
         writer.parquet(f"{path}/{part}")
 
 
+def save_split(ds: Dataset, path: str) -> None:
+    """Write a split cohort, partitioned by part, so a reader of one part prunes the others."""
+    values = ds.values.join(ds.samples.select(*SAMPLE, "split"), SAMPLE)
+    save_dataset(ds.replaced(values=values), path, ("split",))
+
+
 def load_dataset(spark: SparkSession, path: str) -> Dataset:
     return Dataset(*[spark.read.parquet(f"{path}/{part}") for part in PARTS])
 

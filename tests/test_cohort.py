@@ -136,6 +136,15 @@ def test_cohort_steps_and_parts(rows, matrix):
     assert parts["test"].values.count() == 12 and parts["test"].meta.first().split_percentage == 0.2
 
 
+def test_saved_split_prunes_parts(spark, rows, matrix, tmp_path):
+    from betaloom.sources.matrix import load_dataset, save_split
+
+    save_split(plan.prepare_cohort(cohort_input(rows, matrix), options=CohortOptions(top_n=2)), str(tmp_path / "c"))
+    test = load_dataset(spark, str(tmp_path / "c")).values.where("split = 'test'")
+    assert test.count() == 8
+    assert "PartitionFilters: [isnotnull(split" in test._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cohort_without_steps_is_the_stack(rows, matrix):
     off = CohortOptions(mad_probe_filtering=False, clip_and_scale=False, split=False)
     done = plan.prepare_cohort(cohort_input(rows, matrix), options=off)
