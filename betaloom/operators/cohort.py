@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.functions.columns import clipped
@@ -14,6 +15,9 @@ from betaloom.operators.quality import PROBE, SAMPLE
 from betaloom.settings import GENE_REGIONS, PLATFORM_PRIORITY
 from betaloom.tables import materialize
 
+# values of one probe that a single task may sort (spilling, a few dozen megabytes)
+SORT_LIMIT = 1_000_000
+
 # --- cohort assembly ---
 
 
@@ -80,13 +84,31 @@ def mixed_fields(meta: DataFrame) -> DataFrame:
 # --- probe selection ---
 
 
-def mad_scores(values: DataFrame, small_group: int = SMALL_GROUP) -> DataFrame:
-    """Median absolute deviation per probe, unscaled, over the values present."""
-    size = largest_group(values, ["probe_id"], "value")
-    middle = grouped_quantiles(values, ["probe_id"], "value", {"center": 0.5}, small_group, size)
-    middle = materialize(middle, "medians")
+def mad_scores(values: DataFrame, small_group: int = SORT_LIMIT, largest: int | None = None) -> DataFrame:
+    """Median absolute deviation per probe, unscaled, over the values present.
+
+    A probe has at most one value per sample. Up to ``small_group`` of them are sorted together:
+    one scan and one shuffle give both medians. Beyond that both are found by narrowing, which
+    gathers no probe. ``largest`` is an upper bound on the values per probe, if known.
+    """
+    size = largest_group(values, ["probe_id"], "value") if largest is None else largest
+    if size <= small_group:
+        return _sorted_mad(values)
+    limit = min(small_group, SMALL_GROUP)
+    middle = materialize(grouped_quantiles(values, ["probe_id"], "value", {"center": 0.5}, limit, size), "medians")
     distance = values.join(middle, "probe_id").select("probe_id", F.abs(F.col("value") - F.col("center")).alias("distance"))
-    return grouped_quantiles(distance, ["probe_id"], "distance", {"mad_score": 0.5}, small_group, size)
+    return grouped_quantiles(distance, ["probe_id"], "distance", {"mad_score": 0.5}, limit, size)
+
+
+def _sorted_mad(values: DataFrame) -> DataFrame:
+    probe = W.partitionBy("probe_id")
+    in_middle = (F.col("rank") * 2 - F.col("n")).between(0, 2)
+    center = F.avg(F.when(in_middle, F.col("value")))
+    present = values.where(F.col("value").isNotNull()).select("probe_id", "value")
+    ranked = present.withColumns({"rank": F.row_number().over(probe.orderBy("value")), "n": F.count("*").over(probe)})
+    apart = ranked.select("probe_id", "n", F.abs(F.col("value") - center.over(probe)).alias("value"))
+    ranked = apart.withColumn("rank", F.row_number().over(probe.orderBy("value")))
+    return ranked.groupBy("probe_id").agg(center.alias("mad_score"))
 
 
 def top_probes(scores: DataFrame, top_n: int = 30_000) -> DataFrame:

@@ -28,7 +28,8 @@ def aggregate_cohort(projects: Dataset, cohort_id: str, order: str = "ordinal")
 
 
 def filter_by_mad(ds: Dataset, top_n: int = 30_000) -> Dataset:
-    chosen = materialize(co.top_probes(co.mad_scores(ds.values), top_n), "top-probes")
+    scores = co.mad_scores(ds.values, largest=ds.samples.count())
+    chosen = materialize(co.top_probes(scores, top_n), "top-probes")
     values = ds.values.join(chosen.select("probe_id"), "probe_id", "left_semi")
     meta = log_step(ds.meta, "MAD_probe_filtering", state="processed")
     return ds.replaced(values=values.select(*ds.values.columns), probes=chosen, meta=meta)
