@@ -30,7 +30,7 @@ CAPACITY = 2048
 END_ID = 0
 RANKED_TOGETHER = 100_000
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 RUNS = "length long, first_rank long, items long, first_sequence long, each long, first_offset long"
 
 
@@ -45,10 +45,11 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids), capacity), len(ids)]
                 for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     rows.append((keys[k], p, a, b - a, zlib.crc32(ids[a:b].tobytes())))
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, PIECES)
+    # ids go as strings: pandas would make a column with nulls a float
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, PIECES)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:
@@ -133,5 +134,5 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     found = materialize(pieces(docs, vocabulary or default_vocabulary(), capacity, end_id), "pieces")
     histogram = found.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most ``capacity`` rows
     counts = {r["length"]: r["n"] for r in histogram}
-    placed = ranked(found, counts, capacity).join(slots(spark, plan(counts, capacity)), ["length", "rank"])
+    placed = ranked(found, counts, capacity).join(slots(spark, plan(counts, capacity)).hint("merge"), ["length", "rank"])
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

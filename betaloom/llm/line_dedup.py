@@ -33,18 +33,22 @@ def _is_line(line: Column) -> Column:
 
 
 def windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """One row per window: owner, doc_id, pos (of its first line among the lines), window (hash)."""
-    digests = F.transform(F.filter(_lines(F.col("text")), _is_line), lambda x: F.xxhash64(F.trim(x)))
-    mixed = F.transform(F.filter(_lines(F.col("text")), _is_line), lambda x: F.hash(F.trim(x)))
-    held = docs.select("owner", "doc_id", digests.alias("a"), mixed.alias("b")).where(F.size("a") >= width)
+    """One row per window: owner, doc_id, pos (of its first line among the lines), lines (where they stand), long and short (hashes)."""
+
+    def digest(line: Column, i: Column) -> Column:
+        x = F.trim(line)
+        return F.struct(i.alias("i"), (x != "").alias("counts"), F.xxhash64(x).alias("long"), F.hash(x).alias("short"))
+
+    counted = F.filter(F.transform(_lines(F.col("text")), digest), lambda s: s["counts"])
+    held = docs.select("owner", "doc_id", counted.alias("a")).where(F.size("a") >= width)
     at = F.sequence(F.lit(0), F.size("a") - width)
 
     def window(i: Column) -> Column:
-        long = F.xxhash64(*[F.get("a", i + k) for k in range(width)])
-        short = F.hash(*[F.get("b", i + k) for k in range(width)], F.lit(7))
-        return F.struct(i.alias("pos"), long.alias("long"), short.alias("short"))
+        each = [F.get("a", i + k) for k in range(width)]
+        long, short = F.xxhash64(*[e["long"] for e in each]), F.hash(*[e["short"] for e in each], F.lit(7))
+        return F.struct(i.alias("pos"), F.array(*[e["i"] for e in each]).alias("lines"), long.alias("long"), short.alias("short"))
 
-    return held.select("owner", "doc_id", F.explode(F.transform(at, window)).alias("w")).select("owner", "doc_id", "w.pos", "w.long", "w.short")
+    return held.select("owner", "doc_id", F.explode(F.transform(at, window)).alias("w")).select("owner", "doc_id", "w.*")
 
 
 def covered(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -57,19 +61,9 @@ def covered(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     later = repeats.join(firsts, ["long", "short"]).where(place != F.col("first"))
     same = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.owner") == F.col("owner"))
     start = F.when(same, F.greatest(F.col("pos"), F.col("first.pos") + width)).otherwise(F.col("pos"))
-    spans = later.select("owner", "doc_id", start.alias("a"), (F.col("pos") + width - 1).alias("b")).where("a <= b")
-    return spans.groupBy("owner", "doc_id").agg(
-        F.array_distinct(F.flatten(F.collect_list(F.sequence("a", "b")))).alias("gone")
-    )
-
-
-def _without(text: Column, gone: Column) -> Column:
-    """The text without the lines at these positions; blank lines aren't counted and stay."""
-    lines = _lines(text)
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    counted = F.filter(every, lambda i: _is_line(F.get(lines, i)))
-    kept = F.array_except(every, F.transform(gone, lambda k: F.get(counted, k)))
-    return F.array_join(F.transform(kept, lambda i: F.get(lines, i)), LINE_BREAK)
+    lines = F.slice("lines", F.least(start - F.col("pos"), F.lit(width)) + 1, F.lit(width))
+    spans = later.select("owner", "doc_id", F.explode(lines).alias("line"))
+    return spans.groupBy("owner", "doc_id").agg(F.collect_set("line").alias("gone"))
 
 
 def deduplicated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -80,8 +74,8 @@ def deduplicated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     gone = covered(held, width).select(F.col("owner").alias("__owner"), F.col("doc_id").alias("__doc"), F.col("gone").alias("__gone"))
     source = docs.select([docs[c] for c in names])
     joined = source.join(gone, (own == gone["__owner"]) & source["doc_id"].eqNullSafe(gone["__doc"]), "left")
-    has = F.col("__gone").isNotNull()
-    text = F.when(has, _without(F.col("text"), F.col("__gone"))).otherwise(F.col("text"))
+    kept = F.filter(_lines(F.col("text")), lambda x, i: ~F.array_contains("__gone", i))
+    text = F.when(F.col("__gone").isNotNull(), F.array_join(kept, LINE_BREAK)).otherwise(F.col("text"))
     n_lines = F.coalesce(F.size(F.filter(_lines(F.col("text")), _is_line)), F.lit(0))
     return joined.select(
         *[text.alias(c) if c == "text" else F.col(c) for c in names],
