@@ -7,19 +7,38 @@ stage returns the packing plan.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from betaloom.llm import best_fit, line_dedup, secrets
+from betaloom.llm import best_fit, language, line_dedup, near_dedup, secrets
 from betaloom.tables import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: A score below this is no better than a guess between two languages.
+LEAST_SCORE = 0.5
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter and those of no recognisable language go; ``lang`` becomes the language found."""
+    found = language.identify(docs)
+    kept = found.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
+
+
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages seen before go; documents of which nothing is left go too."""
     done = line_dedup.deduplicated(docs)
     return counted(done.where("n_removed = 0 OR trim(text) <> ''"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the least id; rows that share this id stay with it."""
+    found = near_dedup.groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["kept_id"]), "left_semi")
+    return kept.select(*COLUMNS)
+
+
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found gives way to a mark; no document goes."""
     return counted(secrets.redacted(docs))
@@ -34,7 +53,9 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", known_language),
     ("line_dedup", repeated_lines),
+    ("minhash_near_dedup", near_duplicates),
     ("secret_scans", secret_spans),
     ("best_fit_packing", packing),
 ]
