@@ -29,6 +29,7 @@ BITS = 16
 BINS = 1 << BITS
 ORDERS = (1, 2, 3)
 PER_LABEL = 1500
+MOST_LABELS = 1000
 FEATURES = "lang string, place long, bins array<int>, counts array<int>"
 MODEL = "label string, bin int, weight double, temperature double"
 
@@ -102,10 +103,12 @@ def inverse_frequencies(seen: np.ndarray, documents: int) -> np.ndarray:
 
 def sample(docs: DataFrame, per_label: int) -> DataFrame:
     """About ``per_label`` documents of each label by a hash of the text, as counted n-grams."""
-    sizes = docs.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = {r["lang"]: r["n"] for r in docs.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LABELS + 1).collect()}
+    if len(sizes) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels: the weights of so many don't fit the driver")
     place = F.shiftrightunsigned(F.xxhash64(F.lit(17), "text", "doc_id"), 11)
-    share = F.least(F.lit(1.0), F.lit(float(per_label)) / F.col("n"))
-    chosen = docs.withColumn("place", place).join(F.broadcast(sizes), "lang").where(F.col("place") < share * F.lit(float(1 << 53)))
+    upto = [x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(float(1 << 53) * min(1.0, per_label / n)))]
+    chosen = docs.withColumn("place", place).where(F.col("place") < F.element_at(F.create_map(*upto), F.col("lang")) if upto else F.lit(False))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

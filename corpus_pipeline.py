@@ -15,8 +15,8 @@ from betaloom.tables import materialize
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-#: A score below this is no better than a guess between two languages.
-LEAST_SCORE = 0.5
+#: A score below this is hardly better than a guess between four languages.
+LEAST_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
