@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from betaloom.tables import materialize
 
-BLOCK = 1024
+BLOCK = 512
 COLUMNS_AT_ONCE = 4096
 
 EDGES = "a binary, b binary"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from betaloom.llm import best_fit, language, line_dedup, near_dedup, secrets
+from betaloom.llm import best_fit, embedding_dedup, language, line_dedup, near_dedup, packed_output, secrets, token_counts
+from betaloom.tables import checkpoint_root, materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -115,3 +117,47 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(b.text, '') END AS t
     coalesce(b.n_lines, 0) AS n_lines, coalesce(b.n_removed, 0) AS n_removed
 FROM documents d LEFT JOIN built b USING (doc_id)
 """
+
+
+@query
+def op8_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written matrices, each row as checksums of its ids and positions, with its segments."""
+    rows = materialize(packed_output.packed_rows(table(spark, sf_dir, "documents")), "packed-ids")
+    return rows.select(
+        F.crc32("ids").alias("ids_crc32"), F.crc32("positions").alias("positions_crc32"), "n_ids", "cu_seqlens", "segments"
+    )
+
+
+@query
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op9_embedding_near_dedup"] = """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b USING (label)
+    WHERE a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98
+), reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+    SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), degrees AS (
+    SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN degrees USING (vec_id)
+"""
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as flat token files, then the tokens of each document from the files alone."""
+    path = f"{checkpoint_root(spark)}/betaloom/tokens-{uuid.uuid4().hex}"
+    token_counts.write_token_files(table(spark, sf_dir, "documents"), path)
+    found = token_counts.counted(spark, path)
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
+    return found.select(number.alias("file_number"), "ordinal", "n_tokens")

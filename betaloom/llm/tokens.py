@@ -19,7 +19,7 @@ import pandas as pd
 
 OTHER, LETTER, NUMBER, WHITE = 0, 1, 2, 3
 CODES = 0x110000
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 # Fixed values of the vocabulary's pre-token rule: white space, and the endings cut after an apostrophe.
 WHITE_SPACE = [*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
@@ -70,7 +70,7 @@ class SpanHash:
     def _grow(self, n: int) -> None:
         if len(self.up) > n:
             return
-        size = max(n + 1, 1 << 22)
+        size = max(n + 1, 1 << 21)
         with np.errstate(over="ignore"):
             step = np.full(size, self.BASE, np.uint64)
             back = np.full(size, pow(self.BASE, -1, 1 << 64), np.uint64)
