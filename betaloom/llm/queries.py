@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from betaloom.llm import best_fit, embedding_dedup, language, line_dedup, near_dedup, packed_output, secrets, token_counts
+from betaloom.llm import (
+    best_fit,
+    embedding_dedup,
+    fingerprints,
+    language,
+    line_dedup,
+    near_dedup,
+    packed_output,
+    sampled_pieces,
+    secrets,
+    token_counts,
+)
 from betaloom.tables import checkpoint_root, materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +46,17 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sampled_pieces.encode(table(spark, sf_dir, "documents"), digests=True)
+    return found.select(F.col("key").cast("long").alias("doc_id"), "n_pieces", "ids_crc32", "lossless")
+
+
 @query
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
