@@ -62,6 +62,8 @@ class Sampler:
         hashes = self.hash(codes, ends - lengths, ends)
         weight = -alpha * np.log1p(np.array([-model.get_score(i) for i in ids]).clip(0))
         self.fallback = -alpha * np.log1p(self.size) - 1.0
+        self.maybe = np.zeros(1 << 20, bool)  # by the top bits of the hash: few spans that are no piece get past
+        self.maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
         self.tables = {}
         for n in sorted(set(lengths.tolist())):
             own = np.flatnonzero(lengths == n)
@@ -84,6 +86,8 @@ class Sampler:
             if not len(some):
                 continue
             h = self.hashed(codes, first[some], n)
+            likely = self.maybe[(h >> np.uint64(44)).astype(np.int64)]
+            some, h = some[likely], h[likely]
             place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             hit = hashes[place] == h
             some, place = some[hit], place[hit]
