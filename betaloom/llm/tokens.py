@@ -70,7 +70,7 @@ class SpanHash:
     def _grow(self, n: int) -> None:
         if len(self.up) > n:
             return
-        size = max(n + 1, 1 << 21)
+        size = max(n + 1, 1 << 20)
         with np.errstate(over="ignore"):
             step = np.full(size, self.BASE, np.uint64)
             back = np.full(size, pow(self.BASE, -1, 1 << 64), np.uint64)
@@ -143,17 +143,17 @@ def cut(codes: np.ndarray, kinds: np.ndarray, text_starts: np.ndarray) -> np.nda
 class Encoder:
     """Ids of lists of texts. ``words`` bounds the table and so the memory, not the texts."""
 
-    SLOT_BITS = 21
+    SLOT_BITS = 20
 
-    def __init__(self, path: str, words: int = 1_000_000):
+    def __init__(self, path: str, words: int = 500_000):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as source:
-            cutter = json.load(source).get("pre_tokenizer") or {}
+            content = json.load(source)
+        cutter = content.get("pre_tokenizer") or {}
         if cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space"):
             raise ValueError("the vocabulary must be byte-level, without an added prefix blank")
-        vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+        vocabulary = content["model"]["vocab"]
         letters = byte_letters()
         ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items() if all(c in letters for c in token)}
         ranks = {token: i for token, i in ranks.items() if not token.startswith(b"<|")}
