@@ -41,8 +41,9 @@ def paragraph_digests(text: Column) -> Column:
 
 
 def _place(digest: Column, function: Column, turn: int) -> Column:
-    """The cell of ``digest`` under a hash function; each turn has functions of its own."""
-    return function * WIDTH + F.xxhash64(digest, function, F.lit(turn)).bitwiseAND(F.lit(WIDTH - 1)).cast("int")
+    """The cell of ``digest`` under a hash function: three bits of the digest, other ones for each function and turn."""
+    bits = F.call_function("shiftrightunsigned", digest, function * 3 + 9 * turn)
+    return function * WIDTH + bits.bitwiseAND(F.lit(WIDTH - 1)).cast("int")
 
 
 def _check(digest: Column) -> Column:
@@ -100,14 +101,25 @@ def peeled(cells: Column, most: Column, turn: int = 0) -> Column:
 
 
 def _attempt(left: Column, right: Column, turn: int) -> Column:
-    return let(subtract(sketch(left, turn), sketch(right, turn)), lambda c: peeled(c, F.size(left) + F.size(right), turn))
+    return _recovered(sketch(left, turn), sketch(right, turn), F.size(left) + F.size(right), turn)
+
+
+def _recovered(left: Column, right: Column, most: Column, turn: int) -> Column:
+    return let(subtract(left, right), lambda c: peeled(c, most, turn))
+
+
+def _part_bits(digest: Column, turn: int) -> Column:
+    """Bits that no cell depends on: 19, then the last 18, then those of another hash."""
+    if turn == 1:
+        return F.shiftrightunsigned(digest, 27).bitwiseAND(F.lit((1 << 19) - 1).cast("long"))
+    return F.shiftrightunsigned(digest, 46) if turn == 2 else F.xxhash64(digest, F.lit(100 + turn))
 
 
 def _dealt(left: Column, right: Column, many: Column, turn: int, body: Callable[[Column, Column], Column]) -> Column:
     """The sum of ``body`` over ``many`` parts of both sets, by hash bits of the digests; null if any part is null."""
 
     def part(side: Column, i: Column) -> Column:
-        return F.filter(side, lambda d: F.pmod(F.xxhash64(d, F.lit(100 + turn)), many.cast("long")) == i)
+        return F.filter(side, lambda d: F.pmod(_part_bits(d, turn), many.cast("long")) == i)
 
     def one(i: Column) -> Column:
         return let(F.struct(part(left, i).alias("l"), part(right, i).alias("r")), lambda s: body(s["l"], s["r"]))
@@ -116,8 +128,11 @@ def _dealt(left: Column, right: Column, many: Column, turn: int, body: Callable[
     return F.aggregate(parts, F.lit(0), lambda s, x: s + x)
 
 
-def differing(left: Column, right: Column) -> Column:
-    """How many digests only one of two sets has, by peeling tables made larger until they all peel."""
+def differing(left: Column, right: Column, left_sketch: Column, right_sketch: Column) -> Column:
+    """How many digests only one of two sets has, by peeling tables made larger until they all peel.
+
+    The sketches given are those of the whole sets, turn 0.
+    """
 
     def last(a: Column, b: Column) -> Column:
         # a part that failed three times holds digests whose cells coincide for all functions
@@ -139,12 +154,12 @@ def differing(left: Column, right: Column) -> Column:
         # dealt in two steps, so that the work for n digests is n * sqrt(n)
         return let(F.ceil(F.sqrt(tables(a, b))), lambda n: _dealt(a, b, n, 1, fine))
 
-    return F.coalesce(_attempt(left, right, 0), coarse(left, right))
+    return F.coalesce(_recovered(left_sketch, right_sketch, F.size(left) + F.size(right), 0), coarse(left, right))
 
 
-def likeness(left: Column, right: Column) -> Column:
+def likeness(left: Column, right: Column, left_sketch: Column, right_sketch: Column) -> Column:
     total = F.size(left) + F.size(right)
-    return let(differing(left, right), lambda d: F.when(total == 0, 1.0).otherwise((total - d) / (total + d)))
+    return let(differing(left, right, left_sketch, right_sketch), lambda d: F.when(total == 0, 1.0).otherwise((total - d) / (total + d)))
 
 
 def as_text(cells: Column) -> Column:
@@ -175,7 +190,7 @@ def neighbours(keys: DataFrame) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
+    """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, next_id."""
     text = F.coalesce("text", F.lit(""))
     mark = F.xxhash64(text)
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), mark.cast("string"))
@@ -185,22 +200,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     whole = base.join(neighbours(keys), "key")
     lent = whole.select(
         F.col("before_key").alias("key"),
+        F.col("doc_id").alias("next_id"),
         F.substring(F.col("text"), F.lit(1), F.col("before_half").cast("int")).alias("prefix"),
         paragraph_digests(F.col("text")).alias("next_digests"),
     )
-    lent = lent.groupBy("key").agg(F.first("prefix").alias("prefix"), F.first("next_digests").alias("next_digests"))
+    # next_id goes along, so that this side reads the same columns and the shuffled texts serve both
+    lent = lent.groupBy("key").agg(F.first("next_id").alias("next_id"), F.first("prefix").alias("prefix"), F.first("next_digests").alias("next_digests"))
     n = F.char_length("text")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("prefix"))
-    joined = whole.select("key", "doc_id", "text").join(lent, "key").select("doc_id", "text", "next_digests", edited.alias("edited"))
+    joined = whole.select("key", "doc_id", "text").join(lent, "key").select("doc_id", "text", "next_id", "next_digests", edited.alias("edited"))
 
     def results(x: Column) -> Column:
         def compared(s: Column) -> Column:
-            return F.struct(
-                as_text(sketch(s["own"])).alias("fingerprint"),
-                as_text(sketch(s["edited"])).alias("edited_fingerprint"),
-                likeness(s["own"], s["edited"]).alias("near_edited"),
-                likeness(s["own"], s["next"]).alias("near_next"),
-            )
+            cells = F.struct(sketch(s["own"]).alias("own"), sketch(s["edited"]).alias("edited"), sketch(s["next"]).alias("next"))
+            return let(cells, lambda c: F.struct(
+                as_text(c["own"]).alias("fingerprint"),
+                as_text(c["edited"]).alias("edited_fingerprint"),
+                likeness(s["own"], s["edited"], c["own"], c["edited"]).alias("near_edited"),
+                likeness(s["own"], s["next"], c["own"], c["next"]).alias("near_next"),
+            ))
 
         return let(
             F.struct(paragraph_digests(x["text"]).alias("own"), paragraph_digests(x["edited"]).alias("edited"), x["next"].alias("next")), compared
@@ -208,6 +226,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     row = F.struct(F.col("text"), F.col("edited"), F.col("next_digests").alias("next"))
     out = joined.select(
-        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), let(row, results).alias("r")
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), let(row, results).alias("r"), "next_id"
     )
-    return out.select("doc_id", "n_chars", "edited_sha256", F.inline(F.array("r")))
+    return out.select("doc_id", "n_chars", "edited_sha256", F.inline(F.array("r")), "next_id")
