@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from betaloom.llm.tokens import default_vocabulary, encoded
+from betaloom.llm.tokens import default_vocabulary, encoded, release_encoders
 from betaloom.tables import materialize
 
 CAPACITY = 2048
@@ -46,6 +46,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
                 for p, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     rows.append((keys[k], p, a, b - a, zlib.crc32(ids[a:b].tobytes())))
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        release_encoders()
 
     # ids go as strings: pandas would make a column with nulls a float
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, PIECES)

@@ -222,3 +222,16 @@ def encoded(texts: pd.Series, path: str) -> Iterator[tuple[int, np.ndarray]]:
         for k in range(len(batch)):
             yield row + k, ids[bounds[k] : bounds[k + 1]]
         row += len(batch)
+
+
+def release_encoders() -> None:
+    """Give a worker's memory back after a task, for the stages of other operators that run in it next."""
+    import ctypes
+
+    import pyarrow
+
+    _encoders.clear()
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
