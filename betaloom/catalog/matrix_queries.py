@@ -224,8 +224,8 @@ def standard_probes(fx: Fixtures) -> DataFrame:
 
 
 @query("D7", """
-SELECT b.project_id, probe_id, count(value) AS n_present, any_value(n) AS n_samples, round(1 - count(value) / any_value(n), 6) AS missing_rate,
-       1 - count(value) / any_value(n) <= 0.05 AS keep
+SELECT b.project_id, probe_id, count(value) AS n_present, any_value(n) AS n_samples, round((any_value(n) - count(value)) / any_value(n), 6) AS missing_rate,
+       (any_value(n) - count(value)) / any_value(n) <= 0.05 AS keep
 FROM fx_beta b JOIN (SELECT project_id, count(*) AS n FROM fx_samples GROUP BY project_id) c USING (project_id)
 GROUP BY b.project_id, probe_id""")
 def probe_missing_rate(fx: Fixtures) -> DataFrame:
@@ -246,7 +246,7 @@ def annotation_filter(fx: Fixtures) -> DataFrame:
 @query("D9", """
 SELECT project_id, probe_id, round(missing_rate, 6) AS missing_rate, missing_rate <= 0.05 AS keep_missing, keep_annotation,
        missing_rate <= 0.05 AND keep_annotation AS passed
-FROM (SELECT b.project_id, probe_id, 1 - count(value) / any_value(n) AS missing_rate
+FROM (SELECT b.project_id, probe_id, (any_value(n) - count(value)) / any_value(n) AS missing_rate
       FROM fx_beta b JOIN (SELECT project_id, count(*) AS n FROM fx_samples GROUP BY project_id) c USING (project_id)
       GROUP BY b.project_id, probe_id) JOIN qc_flags USING (probe_id)""")
 def probe_qc(fx: Fixtures) -> DataFrame:

@@ -98,7 +98,7 @@ SELECT 'chr' || r_regionkey, 5000, 9000, 'chrUn', 5000, '+' FROM region""",
 SELECT project_id, count(DISTINCT probe_id) AS n_probes FROM fx_beta GROUP BY project_id""",
     "qc_stats": """
 SELECT project_id, sample_id, count(value) AS n_present, any_value(n_probes) AS n_probes,
-       1 - count(value) / any_value(n_probes) AS missing_rate, avg(value) AS mean
+       (any_value(n_probes) - count(value)) / any_value(n_probes) AS missing_rate, avg(value) AS mean
 FROM fx_beta JOIN qc_sizes USING (project_id) GROUP BY project_id, sample_id""",
     "qc_fences": """
 SELECT project_id, quantile_cont(mean, 0.25) AS q1, quantile_cont(mean, 0.75) AS q3,
@@ -114,7 +114,7 @@ SELECT * FROM fx_beta WHERE (project_id, sample_id) IN (SELECT (project_id, samp
 SELECT project_id, count(*) AS n_samples FROM qc_samples WHERE passed GROUP BY project_id""",
     "qc_probes": """
 SELECT project_id, probe_id, count(value) AS n_present, any_value(n_samples) AS n_samples,
-       1 - count(value) / any_value(n_samples) AS missing_rate, avg(value) AS mean, var_pop(value) AS variance
+       (any_value(n_samples) - count(value)) / any_value(n_samples) AS missing_rate, avg(value) AS mean, var_pop(value) AS variance
 FROM qc_kept JOIN qc_sample_counts USING (project_id) GROUP BY project_id, probe_id""",
     "qc_flags": """
 SELECT probe_id, NOT (is_sex_chr OR has_cpg_snp OR has_sbe_snp OR has_probe_snp OR is_cross_reactive OR is_multi_mapped) AS keep_annotation

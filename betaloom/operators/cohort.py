@@ -182,6 +182,12 @@ def unique_names(samples: DataFrame) -> DataFrame:
     """
     name = F.col("sample_id").cast("string")
     numbered = running_totals(samples, ["sample_id"], F.col("project_id"), ["file_name"], {"_seen": F.lit(1)})
-    later = F.col("_seen") > 1
-    suffixed = F.concat(name, F.lit("-"), (F.col("_seen") - 1).cast("string"))
-    return numbered.withColumn("sample_name", F.when(later, suffixed).otherwise(name)).drop("_seen")
+    # suffixes that are ids themselves are passed over: those of each repeated id, as an array
+    parts = samples.select(F.regexp_extract(name, r"^(.*)-([1-9]\d{0,8})$", 1).alias("_stem"), F.regexp_extract(name, r"-([1-9]\d{0,8})$", 1).alias("_k"))
+    taken = parts.where("_k <> ''").groupBy("_stem").agg(F.array_sort(F.collect_set(F.col("_k").cast("int"))).alias("_taken"))
+    placed = numbered.join(taken, name == F.col("_stem"), "left")
+    free = F.aggregate("_taken", F.col("_seen") - 1, lambda k, t: F.when(t <= k, k + 1).otherwise(k))
+    number = F.coalesce(free, F.col("_seen") - 1)
+    suffixed = F.concat(name, F.lit("-"), number.cast("string"))
+    named = placed.withColumn("sample_name", F.when(F.col("_seen") > 1, suffixed).otherwise(name))
+    return named.drop("_seen", "_stem", "_taken")

@@ -209,6 +209,9 @@ def _count_steps(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             steps[moving] = i
             if not moving.any():
                 break
+        else:
+            if len(part):
+                raise ArithmeticError(f"batch effects haven't converged after {MAX_ITERATIONS} steps")
         yield pd.DataFrame({"batch": part["batch"], "steps": steps + 1})
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.functions import columns as C
-from betaloom.settings import MANIFEST_ROW_LIMIT, ManifestRequest
+from betaloom.settings import ManifestRequest
 
 FILE_FIELDS = ("data_category", "experimental_strategy", "data_type", "platform")
 
@@ -35,8 +35,12 @@ def project_manifest(hits: DataFrame) -> DataFrame:
     return hits.select("file_id", "file_name")
 
 
-def manifest_checks(hits: DataFrame, want: ManifestRequest, row_limit: int = MANIFEST_ROW_LIMIT) -> DataFrame:
-    """Integrity report ``(check, violations, ok)`` from one aggregation over the hits."""
+def manifest_checks(hits: DataFrame, want: ManifestRequest, expected: int | None = None) -> DataFrame:
+    """Integrity report ``(check, violations, ok)`` from one aggregation over the hits.
+
+    ``expected`` is the total that the service reported for the request, if known: fewer hits are
+    a truncated response. Without it the number of hits is not judged.
+    """
     has_type = lambda s: s["sample_type"] == want.sample_type
     rules = {field: F.col(field) == getattr(want, field) for field in FILE_FIELDS}
     rules["sample_type"] = F.exists(F.get("cases", 0)["samples"], has_type)
@@ -45,7 +49,7 @@ def manifest_checks(hits: DataFrame, want: ManifestRequest, row_limit: int = MAN
     totals = hits.agg(F.count("*").alias("n"), *counts)
     report = [
         ("not_empty", (F.col("n") == 0).cast("long")),
-        ("not_truncated", (F.col("n") >= row_limit).cast("long")),
+        ("not_truncated", F.greatest(F.lit(expected) - F.col("n"), F.lit(0).cast("long")) if expected is not None else F.lit(0).cast("long")),
         *[(name, F.coalesce(F.col(name), F.lit(0))) for name in rules],
     ]
     rows = F.array(*[F.struct(F.lit(name).alias("check"), bad.alias("violations")) for name, bad in report])

@@ -38,7 +38,7 @@ def sample_stats(values: DataFrame, counts: DataFrame | None = None) -> DataFram
     """
     counts = materialize(probe_counts(values) if counts is None else counts, "probe-counts")
     per_sample = values.groupBy(*SAMPLE).agg(F.count("value").alias("n_present"), F.avg("value").alias("mean"))
-    rate = 1.0 - F.col("n_present") / F.col("n_probes")
+    rate = (F.col("n_probes") - F.col("n_present")) / F.col("n_probes")
     return per_sample.join(counts, "project_id").select(*SAMPLE, "n_present", "n_probes", rate.alias("missing_rate"), "mean")
 
 
@@ -104,7 +104,7 @@ def probe_stats(values: DataFrame, counts: DataFrame) -> DataFrame:
     per_probe = values.groupBy(*PROBE).agg(
         F.count("value").alias("n_present"), F.avg("value").alias("mean"), F.var_pop("value").alias("variance")
     )
-    rate = 1.0 - F.col("n_present") / F.col("n_samples")
+    rate = (F.col("n_samples") - F.col("n_present")) / F.col("n_samples")
     return per_probe.join(counts, "project_id").select(
         *PROBE, "n_present", "n_samples", rate.alias("missing_rate"), "mean", "variance"
     )

@@ -23,10 +23,13 @@ class ControlTables:
     audit: DataFrame
 
 
-def verified_manifest(hits: DataFrame, want: ManifestRequest) -> DataFrame:
-    """Manifest of the matching hits; raises when an integrity check fails."""
+def verified_manifest(hits: DataFrame, want: ManifestRequest, expected: int | None = None) -> DataFrame:
+    """Manifest of the matching hits, however many; raises when an integrity check fails.
+
+    ``expected`` is the total that the service reported, where it is known.
+    """
     chosen = hits.where(control.request_filter(want))
-    failed = [r.check for r in control.manifest_checks(chosen, want).where(~F.col("ok")).collect()]
+    failed = [r.check for r in control.manifest_checks(chosen, want, expected).where(~F.col("ok")).collect()]
     if failed:
         raise ValueError(f"manifest checks failed: {', '.join(failed)}")
     return control.project_manifest(chosen)

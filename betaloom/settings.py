@@ -20,7 +20,6 @@ PLATFORM_PRIORITY = (
 )
 REFERENCE_GENOMES = ("GRCh37", "GRCh38")
 GENE_REGIONS = ("TSS200", "TSS1500", "gene_body")
-MANIFEST_ROW_LIMIT = 10_000
 EPSILON = 1e-3
 # --- end of fixed values ---
 

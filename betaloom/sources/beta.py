@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom import schemas
 from betaloom.functions.columns import parsed_number
+from betaloom.tables import materialize
 
 
 def read_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -44,9 +46,24 @@ def pending_rows(raw: DataFrame, audit: DataFrame) -> DataFrame:
 
 def write_store(beta: DataFrame, path: str, mode: str = "append") -> None:
     """Store as a few large files per project in place of one file per sample."""
-    (
-        beta.write.mode(mode).option("compression", "zstd").partitionBy("project_id").parquet(path)
-    )
+    gathered = beta.hint("rebalance", "project_id")
+    gathered.write.mode(mode).option("compression", "zstd").partitionBy("project_id").parquet(path)
+
+
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """(project_id, file_id) of the store; none if it isn't there yet."""
+    try:
+        return read_store(spark, path).select("project_id", "file_id").distinct()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
+            raise
+        return spark.createDataFrame([], "project_id string, file_id string")
+
+
+def add_files(beta: DataFrame, path: str) -> None:
+    """Append the files that the store lacks, so that a run repeated adds nothing."""
+    held = materialize(stored_files(beta.sparkSession, path), "stored-files")
+    write_store(beta.join(held, ["project_id", "file_id"], "left_anti"), path)
 
 
 def read_store(spark: SparkSession, path: str, projects: list[str] | None = None) -> DataFrame:
@@ -61,11 +78,11 @@ def load_sample(store: DataFrame, file_id: str) -> DataFrame:
 
 
 def clean_data(spark: SparkSession, raw_dir: str, audit: DataFrame, store_path: str, project_id: str) -> DataFrame:
-    """Append pending raw files to the store and return the audit table with their paths."""
+    """Add pending raw files that the store lacks and return the audit table with their paths."""
     from betaloom.operators.control import update_paths
 
     fresh = pending_rows(read_raw(spark, raw_dir), audit)
-    write_store(fresh.drop("file_name").withColumn("project_id", F.lit(project_id)), store_path)
+    add_files(fresh.drop("file_name").withColumn("project_id", F.lit(project_id)), store_path)
     pending = audit.where((F.col("downloaded") == 1) & F.col("parquet_path").isNull())
     stored = read_store(spark, store_path, [project_id]).select("file_id").distinct()
     missing = pending.join(stored, "file_id", "left_anti").select("file_id").take(1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from betaloom import schemas
-from betaloom.sources.beta import located
+from betaloom.sources.beta import add_files, located
 
 
 def read_raw_stream(spark: SparkSession, raw_dir: str, max_files: int | None = None) -> DataFrame:
@@ -19,15 +19,11 @@ def read_raw_stream(spark: SparkSession, raw_dir: str, max_files: int | None = N
 
 
 def ingest_available(rows: DataFrame, store_path: str, project_id: str, checkpoint: str) -> StreamingQuery:
-    """Append all files not seen before to the beta store, then stop. The query checkpoint
-    records what was ingested, so a restart neither skips nor repeats a file."""
-    return (
-        rows.drop("file_name")
-        .withColumn("project_id", F.lit(project_id))
-        .writeStream.format("parquet")
-        .partitionBy("project_id")
-        .option("checkpointLocation", checkpoint)
-        .option("path", store_path)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Add all files not seen before to the beta store, then stop. The query checkpoint records
+    what was ingested; each batch goes through the batch writer, which leaves out files that the
+    store has, so a batch that is run again after a failure repeats nothing."""
+
+    def add(batch: DataFrame, _: int) -> None:
+        add_files(batch.withColumn("project_id", F.lit(project_id)), store_path)
+
+    return rows.drop("file_name").writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

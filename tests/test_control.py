@@ -41,7 +41,7 @@ def test_manifest_filter_matches_any_nested_element(responses):
 
 def test_manifest_checks_count_first_case_types(responses):
     hits = responses(hit("a", [case()]), hit("b", [case("P1", "Blood"), case("P1")]), hit("c", [case("P2")]))
-    got = {r.check: (r.violations, r.ok) for r in ct.manifest_checks(hits, WANT, row_limit=3).collect()}
+    got = {r.check: (r.violations, r.ok) for r in ct.manifest_checks(hits, WANT, expected=4).collect()}
     assert got["sample_type"] == (1, False) and got["project_id"] == (1, False)
     assert got["not_truncated"] == (1, False) and got["not_empty"] == (0, True) and got["platform"] == (0, True)
     empty = {r.check: r.ok for r in ct.manifest_checks(hits.where("false"), WANT).collect()}
