@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from betaloom.tables import materialize
 
-FUNCTIONS, WIDTH = 3, 8
+FUNCTIONS, WIDTH_BITS = 3, 3
+WIDTH = 1 << WIDTH_BITS
 CELLS = FUNCTIONS * WIDTH
 PER_TABLE = 6
 PARAGRAPH_END = r"(?<=[.!?])\s+|\n+"
@@ -40,27 +41,48 @@ def paragraph_digests(text: Column) -> Column:
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(F.trim(p))))
 
 
-def _place(digest: Column, function: Column, turn: int) -> Column:
-    """The cell of ``digest`` under a hash function: three bits of the digest, other ones for each function and turn."""
-    bits = F.call_function("shiftrightunsigned", digest, function * 3 + 9 * turn)
-    return function * WIDTH + bits.bitwiseAND(F.lit(WIDTH - 1)).cast("int")
+def _place(digest: Column, function: int, turn: int) -> Column:
+    """The cell of ``digest`` among those of a hash function: three bits of the digest, other ones for each function and turn."""
+    return F.shiftrightunsigned(digest, function * 3 + 9 * turn).bitwiseAND(F.lit(WIDTH - 1).cast("long"))
 
 
 def _check(digest: Column) -> Column:
     return F.hash(digest, F.lit(1))
 
 
+def _changed(by: int) -> Callable[[Column, Column], Column]:
+    def change(cell: Column, digest: Column) -> Column:
+        return F.struct((cell["n"] + by).alias("n"), cell["key"].bitwiseXOR(digest).alias("key"), cell["check"].bitwiseXOR(_check(digest)).alias("check"))
+
+    return change
+
+
+def _cells(turn: int, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """An array with ``body`` of every cell, given the test of a digest for being in this cell."""
+
+    def cells(function: int) -> Column:
+        places = F.array(*[F.lit(j).cast("long") for j in range(WIDTH)])
+        return F.transform(places, lambda j: body(lambda digest: _place(digest, function, turn) == j))
+
+    return F.concat(*[cells(function) for function in range(FUNCTIONS)])
+
+
+ZERO = "named_struct('n', 0, 'key', 0L, 'check', 0)"
+
+
 def sketch(digests: Column, turn: int = 0) -> Column:
     """The cells of a set of digests: array of (n, key, check)."""
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("key"), F.lit(0).alias("check"))
+    return _cells(turn, lambda inside: F.aggregate(F.filter(digests, inside), F.expr(ZERO), _changed(1)))
+
+
+def difference(left: Column, right: Column, turn: int) -> Column:
+    """``subtract`` of the sketches of two sets, in one step: cells are sums, so digests of the right set are taken away at once."""
 
-    def cell(j: Column) -> Column:
-        own = F.filter(digests, lambda d: _place(d, F.floor(j / WIDTH).cast("int"), turn) == j)
-        return F.aggregate(own, zero, lambda s, d: F.struct(
-            (s["n"] + 1).alias("n"), s["key"].bitwiseXOR(d).alias("key"), s["check"].bitwiseXOR(_check(d)).alias("check")
-        ))
+    def cell(inside: Callable[[Column], Column]) -> Column:
+        held = F.aggregate(F.filter(left, inside), F.expr(ZERO), _changed(1))
+        return F.aggregate(F.filter(right, inside), held, _changed(-1))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), cell)
+    return _cells(turn, cell)
 
 
 def subtract(left: Column, right: Column) -> Column:
@@ -77,20 +99,24 @@ def peeled(cells: Column, most: Column, turn: int = 0) -> Column:
 
     def step(state: Column, _: Column) -> Column:
         def take(out: Column) -> Column:
-            def clear(c: Column, j: Column) -> Column:
-                hit = _place(out["key"], F.floor(j / WIDTH).cast("int"), turn) == j
-                return F.when(hit, F.struct(
+            own = F.array(*[(_place(out["key"], f, turn) + f * WIDTH).cast("int") for f in range(FUNCTIONS)])
+
+            def clear(places: Column) -> Column:
+                return F.transform(state["cells"], lambda c, j: F.when(F.get(places, F.shiftright(j, WIDTH_BITS)) == j, F.struct(
                     (c["n"] - out["n"]).alias("n"),
                     c["key"].bitwiseXOR(out["key"]).alias("key"),
                     c["check"].bitwiseXOR(out["check"]).alias("check"),
-                )).otherwise(c)
+                )).otherwise(c))
 
-            left = F.transform(state["cells"], clear)
-            return F.when(out.isNull(), state).otherwise(F.struct(left.alias("cells"), (state["found"] + 1).alias("found")))
+            stuck = F.struct(state["cells"].alias("cells"), state["found"].alias("found"), F.lit(True).alias("stuck"))
+            return F.when(out.isNull(), stuck).otherwise(
+                F.struct(let(own, clear).alias("cells"), (state["found"] + 1).alias("found"), F.lit(False).alias("stuck"))
+            )
 
-        return let(F.get(F.filter(state["cells"], pure), 0), take)
+        # once no cell is pure, the steps left have nothing to do
+        return F.when(state["stuck"], state).otherwise(let(F.get(F.filter(state["cells"], pure), 0), take))
 
-    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"))
+    start = F.struct(cells.alias("cells"), F.lit(0).alias("found"), F.lit(False).alias("stuck"))
     steps = F.sequence(F.lit(0), F.least(most, F.lit(CELLS)))
 
     def end(state: Column) -> Column:
@@ -101,11 +127,7 @@ def peeled(cells: Column, most: Column, turn: int = 0) -> Column:
 
 
 def _attempt(left: Column, right: Column, turn: int) -> Column:
-    return _recovered(sketch(left, turn), sketch(right, turn), F.size(left) + F.size(right), turn)
-
-
-def _recovered(left: Column, right: Column, most: Column, turn: int) -> Column:
-    return let(subtract(left, right), lambda c: peeled(c, most, turn))
+    return let(difference(left, right, turn), lambda c: peeled(c, F.size(left) + F.size(right), turn))
 
 
 def _part_bits(digest: Column, turn: int) -> Column:
@@ -154,7 +176,8 @@ def differing(left: Column, right: Column, left_sketch: Column, right_sketch: Co
         # dealt in two steps, so that the work for n digests is n * sqrt(n)
         return let(F.ceil(F.sqrt(tables(a, b))), lambda n: _dealt(a, b, n, 1, fine))
 
-    return F.coalesce(_recovered(left_sketch, right_sketch, F.size(left) + F.size(right), 0), coarse(left, right))
+    whole = let(subtract(left_sketch, right_sketch), lambda c: peeled(c, F.size(left) + F.size(right), 0))
+    return F.coalesce(whole, coarse(left, right))
 
 
 def likeness(left: Column, right: Column, left_sketch: Column, right_sketch: Column) -> Column:
