@@ -3,12 +3,12 @@
 A text begins with a blank that stands for none, and is cut into chunks, each a run of blanks with the
 characters up to the next. The pieces that fit a chunk make a lattice. Forward filtering sums the weights of all
 paths to each position; backward sampling starts at the end and takes each piece with its share of that sum, so a
-segmentation is drawn with exactly its probability. The vocabulary is one of merges and has ranks, no probabilities, so
+segmentation is drawn with its probability. The vocabulary is one of merges and has ranks, no probabilities, so
 a piece's weight is 1 / (rank + 1) to the power ``alpha``. A character in no piece goes as its UTF-8 bytes. The draws are a
 function of the seed, the row's key and the place of the piece alone: the same row gives the same pieces in any partition.
 
-Lattices are built for all distinct chunks of a batch at once with array operations, and all chunks of the batch are
-sampled together, one piece a step. Null and empty texts have no pieces. Rows that share a key and text get the same pieces; a null key is a key like any other. An
+Lattices are built for all distinct chunks of a batch at once with array operations, and kept in a store of fixed size for
+the batches after it; all chunks of a batch are sampled together, one piece a step. Shares are rounded to 2**-40. Null and empty texts have no pieces. Rows that share a key and text get the same pieces; a null key is a key like any other. An
 empty table gives no rows. A blank sign in the text itself goes as bytes, so decoding gives back every text.
 """
 
@@ -28,6 +28,8 @@ from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches
 BLANK = 0x2581
 HIDDEN = 0x10FFFF  # stands for a blank sign in the text; in no piece
 ALPHA = 1.0
+SHARE_BITS = 40
+STORE_EDGES = 12_000_000  # a worker keeps so many edges of lattices it has built, 20 bytes each with their nodes
 
 
 def default_model() -> str:
@@ -69,10 +71,16 @@ class Sampler:
             own = np.flatnonzero(lengths == n)
             own = own[np.argsort(hashes[own])]
             self.tables[n] = hashes[own], np.array(ids)[own], weight[own]
+        sizes = np.array([len(b) for b in self.bytes_of])
+        self.byte_ends = np.cumsum(sizes)
+        self.byte_sizes = sizes
+        self.flat_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self.forget()
 
     def lattice(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """Nodes are positions 0..length of each chunk in a row. Returns each chunk's first node, and its edges by end node:
-        the sampling key (end node + cumulative share), the start node and the piece (or size + code point)."""
+        """Nodes are positions 0..length of each chunk in a row. Returns each chunk's first node, the first edge of every node,
+        and the edges by end node, longest piece first: their cumulative share in units of 2**-SHARE_BITS, start node and piece
+        (or size + code point). Shares are whole numbers, so a chunk's lattice is the same in any company."""
         lengths = ends - starts
         base = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
         owner = np.repeat(np.arange(len(starts)), lengths)
@@ -97,9 +105,11 @@ class Sampler:
         bare = np.flatnonzero(~single)
         found.append((node[bare], node[bare] + 1, at[bare] + 1, self.size + codes[first[bare]].astype(np.int64), np.full(len(bare), self.fallback)))
         start, end, local, piece, weight = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((end, local))
+        n_nodes = int((lengths + 1).sum())
+        longest = max(self.tables) + 1
+        order = np.argsort((local * n_nodes + end) * longest + (end - start))  # no two edges have the same key
         start, end, local, piece, weight = (x[order] for x in (start, end, local, piece, weight))
-        alpha = np.zeros(int((lengths + 1).sum()))
+        alpha = np.zeros(n_nodes)
         cuts = np.flatnonzero(np.append(True, local[1:] != local[:-1])) if len(local) else np.empty(0, int)
         for a, b in zip(cuts, np.append(cuts[1:], len(local)), strict=True):
             # all edges that end at this distance from their chunk's start: their starts are done
@@ -108,16 +118,50 @@ class Sampler:
             most = np.maximum.reduceat(w, new)
             total = np.add.reduceat(np.exp(w - np.repeat(most, np.diff(np.append(new, b - a)))), new)
             alpha[end[a:b][new]] = most + np.log(total)
-        order = np.argsort(end, kind="stable")
-        start, end, piece, weight = start[order], end[order], piece[order], weight[order]
-        share = np.exp(alpha[start] + weight - alpha[end])
-        new = np.flatnonzero(np.append(True, end[1:] != end[:-1]))
+        share = np.rint(np.exp(alpha[start] + weight - alpha[end]) * (1 << SHARE_BITS)).astype(np.int64)
+        order = np.argsort(end * longest + (longest - (end - start)))
+        start, end, piece, share = start[order], end[order], piece[order], share[order]
+        edge = np.cumsum(np.append(0, np.bincount(end, minlength=n_nodes)[:-1]))
         upto = np.cumsum(share)
-        before = np.repeat(upto[new] - share[new], np.diff(np.append(new, len(end))))
-        last = np.append(new[1:], len(end)) - 1
-        cumulative = np.minimum(upto - before, 1.0)
-        cumulative[last] = 1.0
-        return base, end + cumulative, start, piece
+        cumulative = upto - (upto - share)[edge[end]]
+        # the last edge of a node takes what rounding left
+        cumulative[np.append(end[1:] != end[:-1], True)] = 1 << SHARE_BITS
+        return base, edge, cumulative, start, piece
+
+    def remembered(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """The first nodes of chunks (distinct hashes, in order) in the store of lattices; those not yet in it are added.
+
+        A store of ``STORE_EDGES`` is begun anew: lattices are then built again, to the same values.
+        """
+        place = np.minimum(np.searchsorted(self.known, hashes), max(len(self.known) - 1, 0))
+        new = self.known[place] != hashes if len(self.known) else np.ones(len(hashes), bool)
+        if new.any():
+            base, edge, share, start, piece = self.lattice(codes, starts[new], ends[new])
+            if self.edges + len(share) > len(self.share):
+                if not new.all():
+                    self.forget()
+                    return self.remembered(codes, starts, ends, hashes)
+                self.forget(max(len(share), STORE_EDGES))
+            nodes, upto, edges = self.nodes, self.nodes + len(edge), self.edges
+            if upto > len(self.edge):
+                self.edge = np.concatenate([self.edge[:nodes], np.empty(max(upto, STORE_EDGES // 2), np.int64)])
+            self.edge[nodes:upto] = edge + edges
+            self.nodes, self.edges = upto, edges + len(share)
+            self.share[edges : self.edges] = share
+            self.start[edges : self.edges] = start + nodes
+            self.piece[edges : self.edges] = piece
+            known = np.concatenate([self.known, hashes[new]])
+            order = np.argsort(known)
+            self.known, self.base = known[order], np.concatenate([self.base, base + nodes])[order]
+            place = np.searchsorted(self.known, hashes)
+        return self.base[place]
+
+    def forget(self, room: int = STORE_EDGES) -> None:
+        """Begin the store anew. Its memory is used as it fills."""
+        self.nodes = self.edges = 0
+        self.known, self.base = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.edge, self.share = np.empty(room // 2, np.int64), np.empty(room, np.int64)
+        self.start, self.piece = np.empty(room, np.int32), np.empty(room, np.int32)
 
     def hashed(self, codes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
         with np.errstate(over="ignore"):
@@ -142,22 +186,25 @@ class Sampler:
         with np.errstate(over="ignore"):
             self.sums = np.zeros(len(codes) + 1, np.uint64)
             np.cumsum(self.hash.letters[codes] * self.hash.up[: len(codes)], out=self.sums[1:])
-        _, example, chunk = np.unique(hashes, return_index=True, return_inverse=True)
-        base, share, start, piece = self.lattice(codes, starts[example], ends[example])
-        size = (ends - starts)[example]
+        distinct, example, chunk = np.unique(hashes, return_index=True, return_inverse=True)
+        base = self.remembered(codes, starts[example], ends[example], distinct)[chunk]
         text = np.searchsorted(bounds, starts, side="right") - 1
         first_chunk = np.searchsorted(starts, bounds[:-1])
         with np.errstate(over="ignore"):
             state = mix64(keys[text] + (np.arange(len(starts)) - first_chunk[text]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        active, node = np.arange(len(starts)), base[chunk] + size[chunk]
+        active, node = np.arange(len(starts)), base + (ends - starts)
         taken, step = [], 0
         while len(active):
             with np.errstate(over="ignore"):
-                u = (mix64(state[active] + np.uint64(step)) >> np.uint64(12)).astype(np.float64) / float(1 << 52)
-            edge = np.minimum(np.searchsorted(share, node + u, side="right"), len(share) - 1)
-            taken.append((active, piece[edge]))
-            node = start[edge]
-            going = node > base[chunk[active]]
+                u = (mix64(state[active] + np.uint64(step)) >> np.uint64(64 - SHARE_BITS)).astype(np.int64)
+            edge = self.edge[node]
+            beyond = np.flatnonzero(self.share[edge] <= u)
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[self.share[edge[beyond]] <= u[beyond]]
+            taken.append((active, self.piece[edge]))
+            node = self.start[edge].astype(np.int64)
+            going = node > base[active]
             active, node = active[going], node[going]
             step += 1
         count = np.zeros(len(starts), np.int64)
@@ -187,6 +234,14 @@ class Sampler:
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
+    def decoded(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """``decode`` of many rows of ids, with array operations."""
+        sizes = self.byte_sizes[ids]
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        data = self.flat_bytes[np.repeat(self.byte_ends[ids] - upto[1:], sizes) + np.arange(upto[-1])].tobytes()
+        cut = upto[bounds].tolist()
+        return [data[a:b].decode("utf-8", "surrogatepass")[1:] for a, b in zip(cut, cut[1:], strict=False)]
+
 
 _samplers: dict[tuple[str, float], Sampler] = {}
 
@@ -222,7 +277,7 @@ def encode(docs: DataFrame, key: str = "doc_id", seed: int = 0, alpha: float = A
                     "key": names,
                     "n_pieces": [len(r) for r in rows],
                     "ids_crc32": [zlib.crc32(r.astype("<u4").tobytes()) for r in rows],
-                    "lossless": [own.decode(r.tolist()) == t for r, t in zip(rows, batch, strict=True)],
+                    "lossless": [back == t for back, t in zip(own.decoded(ids, bounds), batch, strict=True)],
                 }
                 if not digests:
                     out["ids"] = [r.astype(np.int32) for r in rows]

@@ -143,6 +143,18 @@ def test_sampling_follows_the_lattice():
     assert all(abs(paths[p] / total - n / 20000) < 0.02 for p, n in counts.items())
 
 
+def test_pieces_are_the_same_in_any_company():
+    texts = [prose(i, 40) for i in range(30)] + ["", "a\u2581b  \U0001f600\x00", "x" * 300]
+    keys = np.arange(len(texts)).astype(np.uint64)
+    own = sampled_pieces.Sampler(sampled_pieces.default_model())
+    together, bounds = own.encode(texts, keys)
+    assert own.decoded(together, bounds) == texts == [own.decode(together[a:b].tolist()) for a, b in zip(bounds, bounds[1:], strict=False)]
+    own.forget(8)  # a store too small for any batch
+    for i in reversed(range(len(texts))):
+        alone, _ = own.encode(texts[i : i + 1], keys[i : i + 1])
+        assert alone.tolist() == together[bounds[i] : bounds[i + 1]].tolist()
+
+
 def test_secrets_keep_base_spans_and_scan_each_blob_once(spark, nothing, tmp_path):
     texts = ['Token: "abcdef" token:abc:secret=abcdefg', "AKIA" + "A" * 16 + " " + "0a" * 12, "-----BEGIN PRIVATE KEY-----", "plain", None]
     table = spark.createDataFrame([(i, t, "en", "c", 1) for i, t in enumerate([*texts, texts[1]])], DOCS)
