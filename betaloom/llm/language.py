@@ -30,6 +30,7 @@ BINS = 1 << BITS
 ORDERS = (1, 2, 3)
 PER_LABEL = 1500
 MOST_LABELS = 1000
+BATCH = 250_000  # characters; n-grams take about 100 bytes a character while they are counted
 FEATURES = "lang string, place long, bins array<int>, counts array<int>"
 MODEL = "label string, bin int, weight double, temperature double"
 
@@ -83,7 +84,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(BINS + 1, np.int64)
         for frame in frames:
-            for batch in text_batches(strings(frame["text"])):
+            for batch in text_batches(strings(frame["text"]), BATCH):
                 _, bins, _, known = gram_counts(batch)
                 total[:BINS] += np.bincount(bins, minlength=BINS)
                 total[BINS] += known.sum()
@@ -113,7 +114,7 @@ def sample(docs: DataFrame, per_label: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             low = 0
-            for batch in text_batches(strings(frame["text"])):
+            for batch in text_batches(strings(frame["text"]), BATCH):
                 own, bins, counts, known = gram_counts(batch)
                 cuts = np.searchsorted(own, np.arange(len(batch) + 1))
                 rows = [(bins[a:b].astype(np.int32), counts[a:b].astype(np.int32)) for a, b in zip(cuts, cuts[1:], strict=False)]
@@ -244,7 +245,7 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series) -> pd.DataFrame:
         labels, scores = [], []
-        for batch in text_batches(strings(texts)):
+        for batch in text_batches(strings(texts), BATCH):
             got = shared.value.predict(batch)
             labels += got[0]
             scores.append(got[1])
