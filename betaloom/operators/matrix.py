@@ -31,29 +31,31 @@ def densify(values: DataFrame, samples: DataFrame, probes: DataFrame) -> DataFra
     """Give every (sample, probe) pair of a project a row, NULL where it had none.
 
     ``samples`` and ``probes`` list the two sides per project. Rows that exist pass through
-    untouched. Only samples with fewer rows than the project has probes are completed: their
-    missing cells are the listed pairs without a row. Probes travel in hashed chunks, so the
-    pairs of one project are spread over ``CHUNKS`` keys per project and no product is formed
-    on a single key.
+    untouched, those of unlisted probes too. Probes are dealt to hashed chunks, and the listed
+    probes a sample holds are counted per chunk: only chunks that lack one are completed, so that
+    a sample with a few missing cells costs a few chunks and no product is formed on a single key.
     """
-    chunk = F.pmod(F.xxhash64("probe_id"), F.lit(CHUNKS)).cast("int")
-    universe = probes.select(*PROBE).distinct().withColumn("chunk", chunk)
-    expected = universe.groupBy("project_id").agg(F.count("*").alias("expected"), F.collect_set("chunk").alias("chunks"))
-    expected = materialize(expected, "expected")
-    held = values.groupBy(*SAMPLE).agg(F.count("*").alias("held"))
+    def with_chunk(df: DataFrame) -> DataFrame:
+        return df.withColumn("chunk", F.pmod(F.xxhash64("probe_id"), F.lit(CHUNKS)).cast("int"))
+
+    universe = with_chunk(probes.select(*PROBE).distinct())
+    sizes = universe.groupBy("project_id", "chunk").agg(F.count("*").alias("expected"))
+    expected = sizes.groupBy("project_id").agg(F.collect_list(F.struct("chunk", "expected")).alias("chunks"))
+    expected = materialize(expected, "expected")  # one row per project, of at most CHUNKS pairs
+    cells = [*SAMPLE, "probe_id"]
+    listed = with_chunk(values.select(*cells)).join(universe, [*PROBE, "chunk"], "left_semi")
+    held = listed.groupBy(*SAMPLE, "chunk").agg(F.count_distinct("probe_id").alias("held"))
     short = (
         samples.select(*SAMPLE).distinct()
-        .join(held, SAMPLE, "left")
         .join(expected, "project_id")
+        .select(*SAMPLE, F.inline("chunks"))
+        .join(held, [*SAMPLE, "chunk"], "left")
         .where(F.coalesce("held", F.lit(0)) < F.col("expected"))
+        .select(*SAMPLE, "chunk")
     )
-    pairs = (
-        short.select(*SAMPLE, F.explode("chunks").alias("chunk"))
-        .join(universe, ["project_id", "chunk"])
-        .select(*SAMPLE, "probe_id")
-    )
-    cells = [*SAMPLE, "probe_id"]
-    present = values.select(*cells).join(short, SAMPLE, "left_semi")
+    short = materialize(short, "short")
+    pairs = short.join(universe, ["project_id", "chunk"]).select(*cells)
+    present = with_chunk(values.select(*cells)).join(short, [*SAMPLE, "chunk"], "left_semi").select(*cells)
     absent = pairs.join(present, cells, "left_anti").withColumn("value", F.lit(None).cast("double"))
     return values.select(*cells, "value").unionByName(absent)
 

@@ -103,6 +103,15 @@ def test_densify_adds_only_what_is_absent(matrix, rows):
     assert as_dict(got) == {("a", "1"): 0.1, ("a", "2"): 0.2, ("b", "1"): None, ("b", "2"): None, ("d", "1"): None, ("d", "2"): None, ("c", "9"): 0.9}
 
 
+def test_densify_counts_listed_probes_only(matrix, rows):
+    cells = matrix([("P", "a", "1", 0.1), ("P", "a", "zz", 0.5), ("P", "b", "1", 0.2), ("P", "b", "1", 0.2)])
+    listed = rows([("P", "1"), ("P", "2"), ("P", "1")], "project_id string, probe_id string")
+    got = sorted((r.sample_id, r.probe_id, r.value) for r in mx.densify(cells, samples_of(rows, "a", "b"), listed).where("value IS NOT NULL").collect())
+    assert got == [("a", "1", 0.1), ("a", "zz", 0.5), ("b", "1", 0.2), ("b", "1", 0.2)]
+    absent = mx.densify(cells, samples_of(rows, "a", "b"), listed).where("value IS NULL")
+    assert {(r.sample_id, r.probe_id) for r in absent.collect()} == {("a", "2"), ("b", "2")}
+
+
 def test_assemble_by_file_id_not_by_position(rows):
     beta = rows([("f2", "cg1", 0.2), ("f1", "cg1", 0.1), ("f3", "cg1", float("nan"))], "file_id string, probe_id string, beta_value double")
     meta = rows([("f1", "success"), ("f2", "failed"), ("f3", "success")], "file_id string, status string")
