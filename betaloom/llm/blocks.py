@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.llm.tokens import tidy
 from betaloom.tables import materialize
 
 BLOCK = 512
@@ -57,7 +58,7 @@ def by_unit(
         if held:
             yield from cut(held[0].reset_index(drop=True), True)
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(tidy(run), schema)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.llm.tokens import CODES, code_points, text_batches
+from betaloom.llm.tokens import CODES, code_points, release_memory, text_batches, tidy
 from betaloom.tables import materialize
 
 UNKNOWN = "und"
@@ -91,7 +91,7 @@ def frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         some = np.flatnonzero(total)
         yield pd.DataFrame({"bin": some, "n": total[some]})
 
-    summed = docs.select("text").mapInPandas(run, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    summed = docs.select("text").mapInPandas(tidy(run), "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     out = np.zeros(BINS + 1, np.int64)
     for row in summed.collect():  # at most BINS + 1 rows
         out[row["bin"]] = row["n"]
@@ -123,7 +123,7 @@ def sample(docs: DataFrame, per_label: int) -> DataFrame:
                 yield out[known]
                 low += len(batch)
 
-    return chosen.select("lang", "place", "text").mapInPandas(run, FEATURES)
+    return chosen.select("lang", "place", "text").mapInPandas(tidy(run), FEATURES)
 
 
 def weights_of(counts: np.ndarray, bins: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -225,7 +225,7 @@ def train(
             some = some if len(some) else np.array([0])
             yield pd.DataFrame({"label": label, "bin": some, "weight": w[k][some], "temperature": temperature})
 
-    fitted = materialize(sample(labelled, per_label).repartition(1).mapInPandas(run, MODEL), "language-model").toPandas()
+    fitted = materialize(sample(labelled, per_label).repartition(1).mapInPandas(tidy(run), MODEL), "language-model").toPandas()
     labels = sorted(set(fitted["label"]))
     weights = np.zeros((len(labels), BINS))
     weights[[labels.index(x) for x in fitted["label"]], fitted["bin"]] = fitted["weight"]
@@ -243,13 +243,15 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # labels x bins numbers
 
     @F.pandas_udf("lang_pred string, score double")
-    def predict(texts: pd.Series) -> pd.DataFrame:
-        labels, scores = [], []
-        for batch in text_batches(strings(texts), BATCH):
-            got = shared.value.predict(batch)
-            labels += got[0]
-            scores.append(got[1])
-        return pd.DataFrame({"lang_pred": labels, "score": np.concatenate([*scores, np.zeros(0)])})
+    def predict(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in columns:
+            labels, scores = [], []
+            for batch in text_batches(strings(texts), BATCH):
+                got = shared.value.predict(batch)
+                labels += got[0]
+                scores.append(got[1])
+            yield pd.DataFrame({"lang_pred": labels, "score": np.concatenate([*scores, np.zeros(0)])})
+            release_memory()
 
     out = docs.select(*names, predict("text").alias("__predicted"))
     return out.select(*names, F.col("__predicted.lang_pred").alias("lang_pred"), F.col("__predicted.score").alias("score"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.llm.blocks import EDGES, by_unit, components, forest, in_blocks, overlaps
-from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches
+from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches, tidy
 from betaloom.tables import materialize
 
 SKETCH = 48
@@ -76,7 +76,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
             yield out
 
     # ids go as strings: pandas would make a column with nulls a float
-    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, SKETCHES)
+    found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(tidy(run), SKETCHES)
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -163,7 +163,7 @@ def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100),
         own, n = overlaps(sets), np.array([len(s) for s in sets])
         return _edges(frame, (own > 0) & (own * whole >= part * (n[:, None] + n - own)))
 
-    units = in_blocks(texts.mapInPandas(full, SETS), F.col("many"), F.col("class"))
+    units = in_blocks(texts.mapInPandas(tidy(full), SETS), F.col("many"), F.col("class"))
     found = components(by_unit(units.select("cluster", "i", "j", "class", "shingles"), ["cluster", "i", "j"], same, EDGES))
 
     named = classes.join(found, classes["class"] == found["node"], "left")

@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from betaloom.llm.tokens import tidy
 from betaloom.tables import checkpoint_root
 
 # The three base kinds in order (pattern, group, least length of the group).
@@ -77,7 +78,7 @@ def scanned(blobs: DataFrame, rules=RULES) -> DataFrame:
             spans = [[{"kind": k, "start": a, "end": b} for k, a, b in spans_of(t or "", compiled)] for t in frame["text"]]
             yield pd.DataFrame({"blob": frame["blob"], "rule_version": version, "spans": spans})
 
-    return blobs.select("blob", "text").mapInPandas(run, FOUND)
+    return blobs.select("blob", "text").mapInPandas(tidy(run), FOUND)
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -224,14 +224,35 @@ def encoded(texts: pd.Series, path: str) -> Iterator[tuple[int, np.ndarray]]:
         row += len(batch)
 
 
-def release_encoders() -> None:
-    """Give a worker's memory back after a task, for the stages of other operators that run in it next."""
+def release_memory() -> None:
+    """Give back what a worker has freed: workers live on, idle or in stages of other operators, and would keep it."""
     import ctypes
 
     import pyarrow
 
-    _encoders.clear()
     pyarrow.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def release_encoders() -> None:
+    """Drop the tables of words after a task, too."""
+    _encoders.clear()
+    release_memory()
+
+
+def tidy(run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """``run`` over batches, giving memory back after each batch and at the end of the task."""
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield frame
+            del frame
+            release_memory()
+
+    def tidied(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from run(each(frames))
+        release_memory()
+
+    return tidied
