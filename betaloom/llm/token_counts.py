@@ -32,13 +32,16 @@ BLOCKS = "file string, block long, n_ids long, n_ends long, head long, tail long
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
     """Write whole texts as flat token files, one per task, in the order of the input.
 
+    The end id's string inside a text is written as ordinary text (the library's ``encode_special_tokens``): as the one id
+    it would end the document there.
+
     The text sink writes each row's bytes as they are and the end id's two bytes after each, as its line separator.
     """
     place = vocabulary or default_vocabulary()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"value": [ids.astype("<u2").tobytes() for _, ids in encoded(frame["text"], place)]})
+            yield pd.DataFrame({"value": [ids.astype("<u2").tobytes() for _, ids in encoded(frame["text"], place, added=False)]})
 
     raw = docs.select("text").mapInPandas(run, "value binary").select(F.col("value").cast("string").alias("value"))
     raw.write.option("lineSep", chr(END_ID)).option("encoding", "UTF-16LE").text(path)

@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from betaloom.llm import (
@@ -19,7 +20,7 @@ from betaloom.llm import (
     secrets,
     token_counts,
 )
-from betaloom.llm.tokens import default_vocabulary, encoder
+from betaloom.llm.tokens import default_vocabulary, encoded, encoder
 
 DOCS = "doc_id long, text string, lang string, class string, n_lines int"
 WORDS = "the of and thion ere inger whst ane with oredat éère über niño that's 123 !! tion nd".split()
@@ -62,6 +63,26 @@ def test_ids_are_those_of_the_library():
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == want
 
 
+def test_added_tokens_inside_texts_are_one_id(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(default_vocabulary())
+    mark = "<|endoftext|>"
+    rng = np.random.default_rng(6)
+    held = ["".join(rng.choice(["a", " ", "\n", "'s", "12", mark, "<|"], rng.integers(0, 9))) for _ in range(500)]
+    held += [f"a {mark} b", mark, mark * 3, "", f"{mark} ", f" {mark}", "plain"]
+    want = [e.ids for e in library.encode_batch_fast(held, add_special_tokens=False)]
+    assert want[500] == [64, 220, 50256, 275]
+    assert [ids.tolist() for _, ids in encoded(pd.Series(held), default_vocabulary())] == want
+    table = spark.createDataFrame(list(enumerate(held)), "doc_id long, text string")
+    packed = {r.doc_id: (r.length, r.ids_crc32) for r in best_fit.pack(table).collect()}
+    assert packed == {i: (len(w) + 1, zlib.crc32(np.array([*w, best_fit.END_ID], "<u4").tobytes())) for i, w in enumerate(want)}
+    library.encode_special_tokens = True
+    token_counts.write_token_files(table.coalesce(1), str(tmp_path / "flat"))
+    counts = [r.n_tokens for r in token_counts.counted(spark, str(tmp_path / "flat")).orderBy("ordinal").collect()]
+    assert sorted(counts) == sorted(len(e.ids) for e in library.encode_batch_fast(held, add_special_tokens=False))
+
+
 def test_language_is_learned_from_documents_not_held_out(spark, nothing):
     kinds = {"aa": "abeta gamo lorin", "zz": "zuxi wevy qopu"}
     rows = [(i, " ".join(np.random.default_rng(i).permutation((kinds[k] + " ").split() * 3)), k, "c", i) for i in range(120) for k in [["aa", "zz"][i % 2]]]
