@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -20,7 +22,7 @@ def running_totals(
 
     ``bucket`` must be non-decreasing in the wanted order. Buckets are summed first (with
     partial aggregation), their offsets accumulate over one row per bucket, and rows are
-    sorted only inside their own bucket.
+    sorted only inside their own bucket. Null keys are one group, a null bucket comes first.
     """
     keys = list(keys)
     staged = df.withColumn("_bucket", bucket)
@@ -29,14 +31,17 @@ def running_totals(
     earlier = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     sums = [F.sum(f"_amount{i}").alias(f"_sum{i}") for i in range(len(totals))]
     offsets = staged.groupBy(*keys, "_bucket").agg(*sums)
+    own = [*keys, "_bucket"]
     offsets = offsets.select(
-        *keys, "_bucket", *[F.coalesce(F.sum(f"_sum{i}").over(earlier), F.lit(0)).alias(f"_base{i}") for i in range(len(totals))]
+        *[F.col(c).alias(f"_own{i}") for i, c in enumerate(own)],
+        *[F.coalesce(F.sum(f"_sum{i}").over(earlier), F.lit(0)).alias(f"_base{i}") for i in range(len(totals))],
     )
     inside = W.partitionBy(*keys, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     running = [
         (F.col(f"_base{i}") + F.sum(f"_amount{i}").over(inside)).alias(name) for i, name in enumerate(totals)
     ]
-    return staged.join(offsets, [*keys, "_bucket"]).select(*df.columns, *running)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_own{i}")) for i, c in enumerate(own)])
+    return staged.join(offsets, same).select(*df.columns, *running)
 
 
 def hash_prefix(digest: Column, digits: int = 3) -> Column:

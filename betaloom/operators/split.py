@@ -59,14 +59,14 @@ def split(
 
     Every project's samples are ranked in seeded digest order; the first ``n_test`` are test,
     the next ``n_validation`` validation. Ranking counts by digest prefix first, so a project
-    with most of the samples is ranked by many tasks.
+    with most of the samples is ranked by many tasks. Samples without a project are one project more.
     """
     keyed = samples.withColumn("_digest", draw_key(F.col(name), seed))
     ranked = running_totals(
         keyed, ["project_id"], hash_prefix(F.col("_digest")), ["_digest", name], {"_rank": F.lit(1)}
     )
-    shares = materialize(quotas(samples, fractions).drop("n"), "quotas")
-    placed = ranked.join(shares, "project_id")
+    shares = materialize(quotas(samples, fractions).drop("n").withColumnRenamed("project_id", "_project"), "quotas")
+    placed = ranked.join(shares, F.col("project_id").eqNullSafe(F.col("_project")))
     in_test = F.col("_rank") <= F.col("n_test")
     in_validation = F.col("_rank") <= F.col("n_test") + F.col("n_validation")
     part = F.when(in_test, NAMES[2]).when(in_validation, NAMES[1]).otherwise(NAMES[0])

@@ -112,6 +112,18 @@ def test_split_is_exact_disjoint_and_reproducible(rows, sizes):
     assert (placed.loc[placed.split == "training", "split_percentage"] == 0.6).all()
 
 
+def test_samples_without_a_project_or_id_stay(rows):
+    data = [(p, f"{p}{i}" if i else None, f"f{i}") for p in ("A", None) for i in range(10)]
+    df = rows([*data, (None, "A3", "g"), ("A", "A3", "h")], "project_id string, sample_id string, file_name string")
+    placed = sp.split(df, (0.6, 0.2, 0.2), seed=7).toPandas()
+    assert len(placed) == 22 and placed["project_id"].isna().sum() == 11
+    assert sorted(placed.loc[placed["project_id"].isna(), "split"].value_counts()) == [2, 2, 7]
+    named = co.unique_names(df).toPandas()
+    assert len(named) == 22 and named["sample_id"].isna().sum() == 2
+    names = named["sample_name"].dropna()
+    assert len(names) == 20 and names.is_unique
+
+
 def cohort_input(rows, matrix):
     rng = np.random.default_rng(4)
     cells = [(p, f"{p}{i}", f"cg{j}", float(rng.normal(j, 1 + j))) for p in "PQ" for i in range(10) for j in range(6) if (p, j) != ("Q", 5)]
