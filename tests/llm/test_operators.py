@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
+import corpus_pipeline
 from betaloom.llm import (
     best_fit,
     embedding_dedup,
@@ -240,6 +241,16 @@ def test_repeated_windows_go_but_for_the_first(spark, nothing):
     assert line_dedup.deduplicated(nothing).count() == 0
 
 
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_copies_of_which_only_white_space_is_left_go(spark):
+    text = "one a\n\ntwo b\n \t\u00a0\nthree c\n\nfour d"
+    rows = [(1, text, "en", "s", 1), (2, text, "en", "s", 1), (3, text + "\nown", "en", "s", 1), (4, "", "en", "s", 0)]
+    left = {r.doc_id: r.text for r in corpus_pipeline.repeated_lines(spark, spark.createDataFrame(rows, COLUMNS), "").collect()}
+    assert set(left) == {1, 3, 4} and left[1] == text and left[3].strip() == "own"
+
+
 def test_packed_rows_give_every_document_back(docs, texts, nothing):
     rows = packed_output.packed_rows(docs, capacity=128).collect()
     found = {}
