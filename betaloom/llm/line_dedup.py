@@ -7,8 +7,8 @@ goes. Where a document repeats itself so closely that a later window overlaps th
 lines of the first stay.
 
 Null texts stay null and empty ones empty; documents of fewer than three lines have no window and
-stay as they are. Rows that share a doc_id are told apart by their text; of rows equal in both, all are taken as one
-and get the same text. Null ids come last. Every input column is kept, whatever its name, except that ``text`` is
+stay as they are. Every row has a key of its own, written first: rows that share a doc_id come in the order of their
+texts' hashes, and of rows equal in both the first written stays whole, later ones are repeats of it. Null ids come last. Every input column is kept, whatever its name, except that ``text`` is
 rewritten; ``n_lines`` and ``n_removed`` are added by ``deduplicated`` (which replaces input columns of
 those names).
 """
@@ -69,11 +69,11 @@ def covered(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 def deduplicated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs`` with later repeats taken out of ``text``."""
     names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    own = F.xxhash64("text")
-    held = docs.select(own.alias("owner"), "doc_id", "text")
-    gone = covered(held, width).select(F.col("owner").alias("__owner"), F.col("doc_id").alias("__doc"), F.col("gone").alias("__gone"))
-    source = docs.select([docs[c] for c in names])
-    joined = source.join(gone, (own == gone["__owner"]) & source["doc_id"].eqNullSafe(gone["__doc"]), "left")
+    source = materialize(docs.select(*[docs[c] for c in names], F.monotonically_increasing_id().alias("__row")), "keyed")
+    owner = F.struct(F.xxhash64("text").alias("hash"), F.col("__row").alias("row"))
+    held = source.select(owner.alias("owner"), "doc_id", "text")
+    gone = covered(held, width).select(F.col("owner.row").alias("__owner"), F.col("gone").alias("__gone"))
+    joined = source.join(gone, F.col("__row") == F.col("__owner"), "left")
     kept = F.filter(_lines(F.col("text")), lambda x, i: ~F.array_contains("__gone", i))
     text = F.when(F.col("__gone").isNotNull(), F.array_join(kept, LINE_BREAK)).otherwise(F.col("text"))
     n_lines = F.coalesce(F.size(F.filter(_lines(F.col("text")), _is_line)), F.lit(0))

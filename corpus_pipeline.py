@@ -33,10 +33,16 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the least id; rows that share this id stay with it."""
-    found = near_dedup.groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["kept_id"]), "left_semi")
-    return kept.select(*COLUMNS)
+    """One row of each group stays: the one of the least id, nulls last, and of rows that share it the first written.
+
+    Rows are known by a key of their own, written before they are grouped, so that repeated rows and null ids are told apart.
+    """
+    rows = materialize(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row_key")), "keyed")
+    found = near_dedup.groups(rows.select(F.col("row_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("key"), "component_id")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key")
+    named = rows.select("row_key", "doc_id").join(found, F.col("row_key") == F.col("key"))
+    kept = named.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.row_key").alias("row_key"))
+    return rows.join(kept, "row_key", "left_semi").select(*COLUMNS)
 
 
 def secret_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,6 +251,20 @@ def test_copies_of_which_only_white_space_is_left_go(spark):
     assert set(left) == {1, 3, 4} and left[1] == text and left[3].strip() == "own"
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    words = prose(11, 200).split()
+    a, b, c = (" ".join(w) for w in (words, [*words[:90], "else", *words[91:]], reversed(words)))
+    own = [prose(50 + i, 60) for i in range(3)]
+    held = [(7, a), (7, a), (5, b), (7, own[0]), (5, own[1]), (None, c), (None, c), (None, own[2]), (None, own[2]), (None, own[0]), (9, a)]
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in held], COLUMNS)
+    left = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, table, "").collect()), key=str)
+    assert left == sorted([(5, b), (7, own[0]), (5, own[1]), (None, c), (None, own[2])], key=str)
+    lines = [(4, "a\nb\nc\nd")] * 2 + [(None, "e\nf\ng")] * 3
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in lines], COLUMNS)
+    got = sorted(((r.doc_id, r.text, r.n_removed) for r in line_dedup.deduplicated(table).collect()), key=str)
+    assert got == sorted([(4, "a\nb\nc\nd", 0), (4, "", 4), (None, "e\nf\ng", 0), (None, "", 3), (None, "", 3)], key=str)
+
+
 def test_packed_rows_give_every_document_back(docs, texts, nothing):
     rows = packed_output.packed_rows(docs, capacity=128).collect()
     found = {}
