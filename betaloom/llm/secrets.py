@@ -31,9 +31,18 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]+", 0, 24),
 )
+# A private key: from BEGIN to the next marker if that is the END of one; else BEGIN with the armor headers and the lines of
+# base64 that follow. Line breaks may be written as \\n, and the body may stand on the line of BEGIN.
+_LABEL = r"(?:[A-Z0-9]+\x20)*PRIVATE\x20KEY(?:\x20BLOCK)?-----"
+_BREAK = r"[ \t]*+(?:\r\n?|\n|(?:\\r)?\\n)[ \t>]*+"
+_HEADER = r"(?:Proc-Type|DEK-Info|Version|Comment|MessageID|Hash|Charset):[^\r\n\\]*"
+_BODY = rf"(?:(?:{_BREAK})++{_HEADER})*+(?:(?:{_BREAK})*+[A-Za-z0-9+/=]++(?=[ \t]*(?:[\r\n\"',]|\\|\Z))|[ \t]++[A-Za-z0-9+/=]{{32,}}+)?+"
+_BODY += rf"(?:{_BREAK}[A-Za-z0-9+/=]++(?=[ \t]*(?:[\r\n\"',]|\\|\Z))|[ \t]++[A-Za-z0-9+/=]{{32,}}+)*+"
+_PRIVATE_KEY = rf"-----BEGIN\x20{_LABEL}(?:[^-]*+(?:-(?!----(?:BEGIN|END)\x20)[^-]*+)*+-----END\x20{_LABEL}|{_BODY})"
+
 # Kinds that this method adds.
 ADDED = (
-    ("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", 0, 1),
+    ("private_key", _PRIVATE_KEY, 0, 1),
     ("forge_token", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
     ("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
     ("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
