@@ -11,17 +11,34 @@ stay as they are. Every row has a key of its own, written first: rows that share
 texts' hashes, and of rows equal in both the first written stays whole, later ones are repeats of it. Null ids come last. Every input column is kept, whatever its name, except that ``text`` is
 rewritten; ``n_lines`` and ``n_removed`` are added by ``deduplicated`` (which replaces input columns of
 those names).
+
+Long lines hide passages from windows of whole lines. ``without_passages`` cuts texts into sentences and takes every
+shortest run of whole ones, forward from each and backward from each, of more than ``PASSAGE_WORDS`` words. Any longer
+run is covered by those inside it, so every repeated run of whole sentences or lines of more words is found.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.llm.tokens import tidy
 from betaloom.tables import materialize
 
 WINDOW = 3
 LINE_BREAK = "\n"
+PASSAGE_WORDS = 50
+RUNS_TOGETHER = 50_000
+
+# Where a sentence or line ends, with the white space after it.
+UNIT_END = re.compile(r"[.!?\u2026][\"'\u201d\u2019)\]]*\s+|\n\s*")
+RUNS = "row long, doc_id string, pos int, stop int, long long, short long"
 
 
 def _lines(text: Column) -> Column:
@@ -82,3 +99,67 @@ def deduplicated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
         F.greatest(n_lines, F.lit(0)).alias("n_lines"),
         F.coalesce(F.size("__gone"), F.lit(0)).alias("n_removed"),
     )
+
+
+def runs_of(text: str, words: int = PASSAGE_WORDS) -> Iterator[tuple[int, int, str]]:
+    """(start, end, content) of the shortest runs of whole sentences or lines of more than ``words`` words."""
+    starts = [0, *(m.end() for m in UNIT_END.finditer(text))]
+    units = [(a, b, held) for a, b in zip(starts, [*starts[1:], len(text)], strict=True) if (held := text[a:b].split())]
+    upto = np.cumsum([0, *(len(held) for *_, held in units)])
+    if upto[-1] <= words:
+        return
+    forward = enumerate(np.searchsorted(upto, upto[:-1] + words, side="right").tolist())
+    backward = ((i, j) for j, i in enumerate((np.searchsorted(upto, upto - words, side="left") - 1).tolist()))
+    content = [" ".join(held) for *_, held in units]
+    for i, j in sorted({(i, j) for source in (forward, backward) for i, j in source if i >= 0 and j <= len(units)}):
+        yield units[i][0], units[j - 1][1], " ".join(content[i:j])
+
+
+def runs(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """One row per run of (row, doc_id, text): row, doc_id, pos and stop (characters), long and short (hashes)."""
+
+    def table(held: list) -> pd.DataFrame:
+        return pd.DataFrame(held, columns=["row", "doc_id", "pos", "stop", "long", "short"])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row, doc, text in zip(frame["row"].tolist(), frame["doc_id"].tolist(), frame["text"], strict=True):
+                for a, b, content in runs_of(text if isinstance(text, str) else "", words):
+                    digest = hashlib.blake2b(content.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                    long, short = (int.from_bytes(x, "little", signed=True) for x in (digest[:8], digest[8:]))
+                    out.append((row, doc, a, b, long, short))
+                if len(out) >= RUNS_TOGETHER:
+                    yield table(out)
+                    out = []
+            yield table(out)
+
+    # ids go as strings: pandas would make a column with nulls a float
+    found = docs.select("row", F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(tidy(run), RUNS)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def without_passages(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
+    """All rows and columns of ``docs`` with later repeats of passages cut out of ``text``; ``n_cut`` counts the runs covered."""
+    names = [c for c in docs.columns if c != "n_cut"]
+    source = materialize(docs.select(*[docs[c] for c in names], F.monotonically_increasing_id().alias("__row")), "keyed")
+    seen = runs(source.select(F.col("__row").alias("row"), "doc_id", "text"), words)
+    repeated = seen.groupBy("long", "short").count().where("count > 1").select("long", "short")
+    repeats = materialize(seen.join(repeated, ["long", "short"]), "passages")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row"), F.col("pos"))
+    firsts = repeats.groupBy("long", "short").agg(F.min(F.struct(*[place[c].alias(c) for c in ("last", "doc_id", "row", "pos")], F.col("stop"))).alias("first"))
+    later = repeats.join(firsts, ["long", "short"]).where((F.col("row") != F.col("first.row")) | (F.col("pos") != F.col("first.pos")))
+    start = F.when(F.col("row") == F.col("first.row"), F.greatest("pos", F.col("first.stop"))).otherwise(F.col("pos"))
+    spans = later.select("row", F.struct(start.alias("start"), F.col("stop").alias("end")).alias("s")).where("s.start < s.end")
+    gone = spans.groupBy(F.col("row").alias("__own")).agg(F.array_sort(F.collect_set("s")).alias("__gone"))
+    text = F.col("text")
+
+    def cut(state: Column, span: Column) -> Column:
+        kept = F.substring(text, state["upto"] + 1, F.greatest(span["start"] - state["upto"], F.lit(0)))
+        return F.struct(F.concat(state["out"], kept).alias("out"), F.greatest(state["upto"], span["end"]).alias("upto"))
+
+    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("upto"))
+    left = F.aggregate("__gone", begin, cut, lambda s: F.concat(s["out"], F.substring(text, s["upto"] + 1, F.char_length(text))))
+    left = F.when(F.col("__gone").isNull(), text).otherwise(left)
+    joined = source.join(gone, F.col("__row") == F.col("__own"), "left")
+    return joined.select(*[left.alias(c) if c == "text" else F.col(c) for c in names], F.coalesce(F.size("__gone"), F.lit(0)).alias("n_cut"))

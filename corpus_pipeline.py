@@ -28,8 +28,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages seen before go; documents of which nothing is left go too."""
-    done = line_dedup.deduplicated(docs)
-    return counted(done.where((F.col("n_removed") == 0) | F.col("text").rlike(r"(?U)\S")))
+    done = line_dedup.without_passages(line_dedup.deduplicated(docs))
+    return counted(done.where((F.col("n_removed") + F.col("n_cut") == 0) | F.col("text").rlike(r"(?U)\S")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

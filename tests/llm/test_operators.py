@@ -290,6 +290,22 @@ def test_one_row_of_each_group_stays_whatever_its_id(spark):
     assert got == sorted([(4, "a\nb\nc\nd", 0), (4, "", 4), (None, "e\nf\ng", 0), (None, "", 3), (None, "", 3)], key=str)
 
 
+def test_passages_inside_long_lines_go_but_for_the_first(spark):
+    def sentence(k, n):
+        return " ".join(f"w{k}x{i}" for i in range(n)) + "."
+
+    long, two, short = sentence(1, 60), sentence(2, 30) + " " + sentence(3, 25), sentence(4, 50)
+    texts = [f"own a. {long} own b.", f"own c. {two} own d.\n{long}", f"{two}", f"own e. {two}\n{short} own f.", short, f"{long} own g. {long}", None, ""]
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate([*texts, long])], COLUMNS)
+    got = {r.doc_id: r.text for r in corpus_pipeline.repeated_lines(spark, table, "").collect()}
+    want = {0: texts[0], 1: f"own c. {two} own d.\n", 3: f"own e. {short} own f.", 4: short, 5: "own g. ", 6: None, 7: ""}
+    assert got == want
+    lengths = [n for n, _ in zip(np.random.default_rng(8).integers(1, 70, 40), range(40), strict=True)]
+    text = " ".join(sentence(i, int(n)) for i, n in enumerate(lengths))
+    covered = {c for a, b, _ in line_dedup.runs_of(text) for c in range(a, b)}
+    assert covered == set(range(len(text))) and all(len(t.split()) > 50 for *_, t in line_dedup.runs_of(text))
+
+
 def test_packed_rows_give_every_document_back(docs, texts, nothing):
     rows = packed_output.packed_rows(docs, capacity=128).collect()
     found = {}
