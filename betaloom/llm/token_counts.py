@@ -13,9 +13,12 @@ are no document. Documents of no ids count 0. Null and empty texts are written a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,6 +28,7 @@ from betaloom.tables import materialize
 
 END_ID = 50256
 BLOCK_IDS = 1 << 20
+BLOCKS_A_TASK = 16
 
 BLOCKS = "file string, block long, n_ids long, n_ends long, head long, tail long, inside array<int>"
 
@@ -41,29 +45,77 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"value": [ids.astype("<u2").tobytes() for _, ids in encoded(frame["text"], place, added=False)]})
+            rows = []
+            for _, ids in encoded(frame["text"], place, added=False):
+                if len(ids) and ids.max() >= 1 << 16:
+                    raise ValueError("the vocabulary has ids beyond 16 bits")
+                rows.append(ids.astype("<u2").tobytes())
+            yield pd.DataFrame({"value": rows})
 
     raw = docs.select("text").mapInPandas(run, "value binary").select(F.col("value").cast("string").alias("value"))
     raw.write.option("lineSep", chr(END_ID)).option("encoding", "UTF-16LE").text(path)
 
 
+def opened(path: str) -> BinaryIO:
+    """A file to be read at any place: a local one directly, others through Arrow's file systems."""
+    if path.startswith("file:"):
+        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+    system, place = fs.FileSystem.from_uri(path)
+    return system.open_input_file(place)
+
+
+def ranged(path: str) -> bool:
+    """Whether byte ranges of files in this store can be read."""
+    try:
+        opened(path).close()
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return True
+
+
 def blocks(spark: SparkSession, path: str, end_id: int = END_ID, size: int = BLOCK_IDS) -> DataFrame:
-    """One row per block: its ids, ends, ids before the first end (``head``) and after the last (``tail``), and the lengths between."""
+    """One row per block: its ids, ends, ids before the first end (``head``) and after the last (``tail``), and the lengths between.
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Blocks come from the listed lengths, are dealt over tasks, and each reads its own bytes only. Where Arrow can't open the
+    store, ``binaryFile`` reads whole files instead.
+    """
+    step = 2 * size
+
+    def block(name: str, number: int, content: bytes) -> pd.DataFrame:
+        part = np.frombuffer(content, "<u2")
+        ends = np.flatnonzero(part == end_id)
+        head = int(ends[0]) if len(ends) else len(part)
+        tail = len(part) - int(ends[-1]) - 1 if len(ends) else len(part)
+        inside = (np.diff(ends) - 1).astype(np.int32)
+        return pd.DataFrame({"file": [name], "block": [number], "n_ids": [len(part)], "n_ends": [len(ends)], "head": [head], "tail": [tail], "inside": [inside]})
+
+    def read_ranges(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, length, number in zip(frame["path"], frame["length"].tolist(), frame["block"].tolist(), strict=True):
+                wanted = min(step, length - number * step)
+                with opened(name) as source:
+                    source.seek(number * step)
+                    content = source.read(wanted)
+                if len(content) != wanted or wanted % 2:
+                    raise OSError(f"{name}: block {number} has {len(content)} of {wanted} bytes, or half an id")
+                yield block(name, number, content)
+
+    def read_whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
-                ids = np.frombuffer(content, "<u2")
-                for number, low in enumerate(range(0, len(ids), size)):
-                    part = ids[low : low + size]
-                    ends = np.flatnonzero(part == end_id)
-                    head = int(ends[0]) if len(ends) else len(part)
-                    tail = len(part) - int(ends[-1]) - 1 if len(ends) else len(part)
-                    inside = (np.diff(ends) - 1).astype(np.int32)
-                    yield pd.DataFrame({"file": [name], "block": [number], "n_ids": [len(part)], "n_ends": [len(ends)], "head": [head], "tail": [tail], "inside": [inside]})
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInPandas(run, BLOCKS)
+                for number, low in enumerate(range(0, len(content), step)):
+                    yield block(name, number, content[low : low + step])
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
+    any_file = files.select("path").first()
+    if any_file and not ranged(any_file["path"]):
+        return files.select("path", "content").mapInPandas(read_whole, BLOCKS)
+    # without ``content``, only the listing is read
+    last = F.expr(f"(length - 1) div {step}")
+    total = files.agg(F.sum(last + 1)).first()[0] or 1
+    tasks = min(total, max(spark.sparkContext.defaultParallelism, -(-total // BLOCKS_A_TASK)))
+    dealt = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("block")).repartition(tasks)
+    return dealt.mapInPandas(read_ranges, BLOCKS)
 
 
 def _carried(order: W) -> Column:

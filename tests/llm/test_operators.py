@@ -354,3 +354,16 @@ def test_a_document_may_run_over_files(spark, tmp_path):
     for size in (2, 3, 100):
         rows = token_counts.counted(spark, str(tmp_path), size=size).orderBy("file", "ordinal").collect()
         assert [r.n_tokens for r in rows] == [2, 4, 0, 1]
+
+
+def test_a_flat_file_may_be_larger_than_an_array(spark, tmp_path):
+    end, length = np.array([token_counts.END_ID], "<u2").tobytes(), (1 << 30) + 5
+    with open(tmp_path / "part-0", "wb") as flat:  # sparse: ids of 0 but for three ends
+        flat.truncate(2 * length)
+        for at in (7, length - 3, length - 1):
+            flat.seek(2 * at)
+            flat.write(end)
+    found = token_counts.blocks(spark, str(tmp_path), size=1 << 24)
+    assert found.rdd.getNumPartitions() >= 8
+    rows = token_counts.counted(spark, str(tmp_path), size=1 << 24).orderBy("ordinal").collect()
+    assert [r.n_tokens for r in rows] == [7, length - 11, 1]
