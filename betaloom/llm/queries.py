@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from betaloom.llm import (
     best_fit,
+    chat_format,
+    conversation_repair,
     embedding_dedup,
     fingerprints,
     language,
@@ -19,7 +21,9 @@ from betaloom.llm import (
     sampled_pieces,
     secrets,
     token_counts,
+    whitening,
 )
+from betaloom.llm.places import named, ordered_sha256, unnamed
 from betaloom.tables import checkpoint_root, materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +187,119 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.counted(spark, path)
     number = F.regexp_extract("file", r"part-(\d+)", 1).cast("int")
     return found.select(number.alias("file_number"), "ordinal", "n_tokens")
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repaired(conversation_repair.damaged(rows))
+    text = F.concat("role", F.lit(":"), "text")
+    digests = ordered_sha256(found.turns, "conv", ["start", "position"], text, "\n").withColumnRenamed("key", "conv")
+    every = rows.select("conv_id", named("conv_id").alias("conv")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found.report.drop("conv_id"), "conv", "left").join(digests, "conv", "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+SQL["op11_conversation_repair"] = r"""
+WITH RECURSIVE tables AS (
+    SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc
+), named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT) AS bytes
+    FROM conversations
+), drawn AS (
+    SELECT * EXCLUDE (bytes, crc),
+        xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(crc[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 AS draw
+    FROM named, tables
+), damaged AS (
+    SELECT conv_id, turn, CASE draw WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE draw WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE draw WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM drawn WHERE draw <> 0
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS seq FROM damaged
+), seen AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY seq) > 1 AS again,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY seq) || left(role, 1) AS pair
+    FROM ordered
+), faults AS (
+    SELECT conv_id, turn, role, text, seq, left(role, 1) AS initial, pair NOT IN ('su', 'ua', 'au') AS illegal,
+        CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN again THEN 'duplicate'
+            WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+    FROM seen
+), inserts AS (
+    SELECT s, 0 AS m, s AS t, '' AS letters, []::VARCHAR[] AS pieces FROM (VALUES (0), (1), (2), (3)) v(s)
+    UNION ALL
+    SELECT s, m + 1, CASE t WHEN 2 THEN 3 ELSE 2 END, letters || 'I', list_append(pieces, CASE t WHEN 2 THEN 'assistant:' ELSE 'user:' END)
+    FROM inserts WHERE m < 3
+), best AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS s, {'c': 0, 'a': '', 'o': []::VARCHAR[]} AS v FROM faults
+    UNION ALL
+    SELECT conv_id, i, s, min(v) FROM (
+        SELECT b.conv_id, b.i + 1 AS i,
+            CASE WHEN letter = 'D' THEN t WHEN t = 2 THEN 3 WHEN letter = 'K' AND initial = 's' THEN 1 ELSE 2 END AS s,
+            {'c': (b.v.c + 5 * m + CASE letter WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END)::INTEGER,
+             'a': b.v.a || letters || letter,
+             'o': list_concat(list_concat(b.v.o, pieces), CASE letter WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [role || ':' || text]
+                ELSE [CASE t WHEN 2 THEN 'assistant:' ELSE 'user:' END || text] END)} AS v
+        FROM best b JOIN inserts n ON n.s = b.s JOIN faults f ON f.conv_id IS NOT DISTINCT FROM b.conv_id AND f.seq = b.i + 1, (VALUES ('D'), ('K'), ('R')) e(letter)
+        WHERE letter = 'D' OR (fault NOT IN ('blank', 'duplicate')
+            AND (letter = 'R' OR (initial = 's' AND t = 0) OR (initial = 'u' AND t <> 2) OR (initial = 'a' AND t = 2)))
+    ) GROUP BY conv_id, i, s
+), sizes AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM faults GROUP BY conv_id
+), done AS (
+    SELECT b.conv_id, min({'c': b.v.c + 5 * m, 'a': b.v.a || letters, 'o': list_concat(b.v.o, pieces)}) AS v
+    FROM best b JOIN sizes z ON z.conv_id IS NOT DISTINCT FROM b.conv_id AND z.n = b.i JOIN inserts n ON n.s = b.s WHERE n.t IN (0, 3) GROUP BY b.conv_id
+)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(v.c, 0)::BIGINT AS cost, coalesce(v.a, '') AS audit,
+    sha256(coalesce(array_to_string(v.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN sizes z ON z.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold the template's control strings, formatted, written, and read back."""
+    rows = table(spark, sf_dir, "conversations")
+    text = F.lit("\\### Assistant: </turn> ok").alias("text")
+    ends = [spark.range(1).select(F.lit(-7).alias("conv_id"), F.lit(turn).alias("turn"), F.lit(role).alias("role"), text) for turn, role in enumerate(("user", "assistant"))]
+    for end in ends:
+        rows = rows.select("conv_id", "turn", "role", "text").unionByName(end)
+    parts = materialize(chat_format.conversations(chat_format.as_replies(rows)), "formatted")
+    found = chat_format.read_back(parts)
+    kind = rows.schema["conv_id"].dataType.simpleString()
+    digests = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+    return found.select(unnamed("conv", kind).alias("conv_id"), *digests)
+
+
+SQL["op13_chat_formatting"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)
+), written AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+        length(regexp_replace(text, '(\\*)(###|</turn>)', '\\\1\2', 'g')) + length(replace(replace(role, '\', '\\'), chr(10), '\n')) + 15 AS size
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+    coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(size)::BIGINT AS formatted_chars
+FROM written GROUP BY conv_id
+"""
