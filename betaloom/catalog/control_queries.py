@@ -9,7 +9,7 @@ from betaloom import schemas
 from betaloom.catalog.fixtures import Fixtures
 from betaloom.catalog.registry import query
 from betaloom.functions import columns as C
-from betaloom.operators import control
+from betaloom.operators import attempts, control
 from betaloom.settings import ManifestRequest
 from betaloom.sources.control import read_responses
 
@@ -68,6 +68,28 @@ def download_status(fx: Fixtures) -> DataFrame:
     return control.download_status(fx.manifest, fx.landed, F.lit(3), F.current_timestamp()).drop("timestamp")
 
 
+FOLDED = """
+SELECT doc_id, max(attempt) AS attempts, CASE WHEN bool_or(status = 'failed' AND attempt = last) THEN 'failed' ELSE 'success' END AS status
+FROM (SELECT *, max(attempt) OVER (PARTITION BY doc_id) AS last FROM fx_attempts) GROUP BY doc_id"""
+
+
+@query("B5 B6", f"""
+SELECT m.file_id, m.file_name, CAST(coalesce(f.status, 'failed') = 'success' AS INTEGER) AS downloaded, coalesce(f.status, 'failed') AS download_status,
+       CAST(coalesce(f.attempts, 0) AS INTEGER) AS download_attempts, CAST(1700000000 + 60 * f.attempts AS VARCHAR) AS seconds
+FROM fx_manifest m LEFT JOIN ({FOLDED}) f ON m.file_id = 'F-' || f.doc_id""")
+def audit_of_attempts(fx: Fixtures) -> DataFrame:
+    """The audit after three attempts, replayed with some rows twice."""
+    log = fx.attempt_log.unionByName(fx.attempt_log.where("attempt = 2"))
+    audit = attempts.audit_of_attempts(fx.manifest, log)
+    seconds = F.unix_timestamp("download_timestamp").cast("string").alias("seconds")
+    return audit.select("file_id", "file_name", "downloaded", "download_status", "download_attempts", seconds)
+
+
+@query("B4", f"SELECT file_id, file_name FROM fx_manifest WHERE file_id NOT IN (SELECT 'F-' || doc_id FROM ({FOLDED}) WHERE status = 'success')")
+def pending_after_attempts(fx: Fixtures) -> DataFrame:
+    return attempts.still_pending(fx.manifest, fx.attempt_log)
+
+
 @query("B6", """
 SELECT m.file_id, m.file_name, CAST(coalesce(s.status = 'success', false) AS INTEGER) AS downloaded, s.status AS download_status,
        CAST(s.attempts AS VARCHAR) AS download_attempts, CAST(NULL AS VARCHAR) AS qc_pass, CAST(NULL AS VARCHAR) AS parquet_path, '' AS notes

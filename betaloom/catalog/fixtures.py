@@ -256,6 +256,62 @@ class Fixtures:
             F.when(key % 2 == 0, "+").otherwise("-").alias("strand"),
         )
 
+    @cached_property
+    def genes(self) -> DataFrame:
+        """A gene some way above every part's position, on either strand."""
+        start = F.col("pos") + F.col("p_size") * 40
+        own = self.positions.join(self.table("part").select(F.col("p_partkey").alias("probe_id"), "p_size"), "probe_id")
+        return own.select(
+            F.concat(F.lit("G"), (F.col("probe_id") % 97).cast("string")).alias("gene_symbol"), "chr", start.alias("start"),
+            (start + 500 + F.col("p_size") * 10).alias("end"), F.when(F.col("probe_id") % 5 < 3, "+").otherwise("-").alias("strand"),
+        )
+
+    @cached_property
+    def annotated_positions(self) -> DataFrame:
+        """Every annotated probe at the position of its part."""
+        number = F.col("probe_id") + F.when(F.col("probe_id") >= 60, 4).otherwise(0)
+        named = self.positions.select(_probe_id(number, number % 16 == 15).alias("probe_id"), "chr", "pos")
+        return self.annotation.join(named, "probe_id")
+
+    @cached_property
+    def chain_file(self) -> str:
+        """A written chain file: a stanza per order, a block per line item."""
+        line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+        last = F.col("last") == line
+        lines = self.table("lineitem").join(self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+        size, dt, dq = F.col("l_quantity").cast("long"), F.col("l_partkey") % 50, F.col("l_suppkey") % 50
+        ends = lines.groupBy("l_orderkey").agg(F.max(line).alias("last"))
+        steps = lines.join(ends, "l_orderkey").select(
+            "l_orderkey", "o_custkey", line.alias("line"), size.alias("size"), F.when(last, 0).otherwise(dt).alias("dt"), F.when(last, 0).otherwise(dq).alias("dq"),
+            F.when(last, size.cast("string")).otherwise(F.concat_ws(" ", size, dt, dq)).alias("text"),
+        )
+        stanzas = steps.groupBy("l_orderkey", "o_custkey").agg(
+            F.sum(F.col("size") + F.col("dt")).alias("t"), F.sum(F.col("size") + F.col("dq")).alias("q"),
+            F.array_sort(F.collect_list(F.struct("line", "text"))).alias("lines"),
+        )
+        start = F.col("l_orderkey") * 10
+        strand = F.when(F.col("l_orderkey") % 3 == 0, "-").otherwise("+")
+        header = F.concat_ws(
+            " ", F.lit("chain 1000"), F.concat(F.lit("chr"), F.col("o_custkey") % 5), F.lit(900_000_000), F.lit("+"), start, start + F.col("t"),
+            F.concat(F.lit("chr"), F.col("o_custkey") % 7), F.lit(800_000_000), strand, start + 7, start + 7 + F.col("q"), F.col("l_orderkey"),
+        )
+        path = self.scratch("chain")
+        text = F.concat_ws("\n", header, F.transform("lines", lambda x: x["text"]), F.lit(""))
+        stanzas.select(text.alias("value")).write.text(path)
+        return path
+
+    @cached_property
+    def attempt_log(self) -> DataFrame:
+        """Three attempts at some files: requests that failed, and successes noted for all files of a request."""
+        doc = F.col("doc_id")
+        tries = F.array(F.lit(1), F.when(doc % 3 != 0, F.lit(2)), F.when(doc % 21 == 7, F.lit(3)))
+        each = self.table("documents").where(doc % 17 != 5).select("doc_id", F.explode(F.filter(tries, lambda t: t.isNotNull())).alias("attempt"))
+        failed = F.when((doc + F.col("attempt")) % 2 == 0, F.array(F.lit("failed"), F.lit("success"))).otherwise(F.array(F.lit("success")))
+        return each.select(
+            F.concat(F.lit("F-"), _text("doc_id")).alias("file_id"), "attempt", F.explode(failed).alias("status"),
+            F.timestamp_seconds(F.lit(1_700_000_000) + F.col("attempt") * 60).alias("timestamp"),
+        )
+
     @cached_property
     def islands(self) -> DataFrame:
         base = F.floor(F.col("s_suppkey") / 5) * 10000

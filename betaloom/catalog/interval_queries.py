@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from betaloom.catalog.fixtures import Fixtures
+from betaloom.catalog.matrix_queries import rounded
 from betaloom.catalog.registry import query
 from betaloom.operators import annotation as an
+from betaloom.operators import cohort as co
 from betaloom.operators import intervals as iv
+from betaloom.operators.regions import region_flags, with_regions
 from betaloom.settings import PLATFORMS
+from betaloom.sources.chain import read_chain
 
 SEX = ("chr0", "chr1")
 
@@ -79,6 +83,48 @@ def lifted_positions(fx: Fixtures) -> DataFrame:
     return iv.liftover(fx.positions, fx.chain)
 
 
+# Blocks of the written chain file, by running sums over the lines of each stanza.
+BLOCKS = """
+SELECT chr, t + 1 AS "start", t + size AS "end", to_chr, CASE WHEN strand = '-' THEN 800000000 - q - size + 1 ELSE q + 1 END AS to_start, strand AS to_strand
+FROM (SELECT 'chr' || (o_custkey % 5) AS chr, 'chr' || (o_custkey % 7) AS to_chr, CASE WHEN l_orderkey % 3 = 0 THEN '-' ELSE '+' END AS strand, size,
+             l_orderkey * 10 + coalesce(sum(size + l_partkey % 50) OVER w, 0) AS t, l_orderkey * 10 + 7 + coalesce(sum(size + l_suppkey % 50) OVER w, 0) AS q
+      FROM (SELECT *, CAST(l_quantity AS BIGINT) AS size FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+      WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+@query("H6", f"SELECT chr, CAST(\"start\" AS BIGINT) AS \"start\", CAST(\"end\" AS BIGINT) AS \"end\", to_chr, CAST(to_start AS BIGINT) AS to_start, to_strand FROM ({BLOCKS})")
+def chain_file_blocks(fx: Fixtures) -> DataFrame:
+    return read_chain(fx.spark, fx.chain_file)
+
+
+@query("H6", f"""
+SELECT p.probe_id, c.to_chr AS chr, CAST(CASE WHEN c.to_strand = '-' THEN c.to_start + (c."end" - p.pos) ELSE c.to_start + (p.pos - c."start") END AS BIGINT) AS pos,
+       CASE WHEN c.to_strand = '-' THEN CASE p.strand WHEN '+' THEN '-' ELSE '+' END ELSE p.strand END AS strand
+FROM fx_positions p JOIN ({BLOCKS}) c ON p.chr = c.chr AND p.pos BETWEEN c."start" AND c."end\"""")
+def lifted_by_chain_file(fx: Fixtures) -> DataFrame:
+    return iv.liftover(fx.positions, read_chain(fx.spark, fx.chain_file))
+
+
+@query("F9 H5", """
+SELECT p.probe_id, string_agg(DISTINCT gene_symbol, ';' ORDER BY gene_symbol) AS gene_symbol, coalesce(bool_or(region = 'TSS200'), false) AS TSS200,
+       coalesce(bool_or(region = 'TSS1500'), false) AS TSS1500, coalesce(bool_or(region = 'gene_body'), false) AS gene_body
+FROM fx_places p LEFT JOIN fx_hits_of_genes USING (probe_id) GROUP BY p.probe_id""")
+def gene_regions(fx: Fixtures) -> DataFrame:
+    return region_flags(fx.annotated_positions, fx.genes)
+
+
+@query("F9 F10", """
+SELECT project_id, sample_id, gene_symbol, round(avg(value), 6) AS value
+FROM fx_m JOIN (SELECT DISTINCT h.probe_id, h.gene_symbol FROM fx_hits_of_genes h
+                WHERE h.probe_id IN (SELECT probe_id FROM fx_hits_of_genes WHERE region IN ('TSS200', 'TSS1500'))) USING (probe_id)
+GROUP BY project_id, sample_id, gene_symbol""")
+def gene_matrix_by_position(fx: Fixtures) -> DataFrame:
+    """Gene means from positions: region flags, then the probe to gene map, then the roll-up."""
+    annotation = with_regions(fx.annotated_positions, fx.genes)
+    genes = co.gene_map(annotation, ("TSS200", "TSS1500"))
+    return rounded(co.gene_aggregation(fx.mvals, genes), "value")
+
+
 @query("H7", f"SELECT * FROM ({LIFTED}) QUALIFY count(*) OVER (PARTITION BY probe_id) = 1")
 def uniquely_mapped(fx: Fixtures) -> DataFrame:
     return iv.uniquely_mapped(iv.liftover(fx.positions, fx.chain))

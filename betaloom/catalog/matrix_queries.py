@@ -7,19 +7,23 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from betaloom import schemas
 from betaloom.catalog.fixtures import Fixtures
 from betaloom.catalog.registry import query
 from betaloom.dataset import Dataset
 from betaloom.functions.columns import parsed_number
-from betaloom.operators import control, matrix
+from betaloom.operators import control, matrix, states
 from betaloom.operators import preprocess as prep
 from betaloom.operators import quality as qc
 from betaloom.plans import project
-from betaloom.settings import PLATFORMS, ProjectOptions
+from betaloom.plans.workflow import ProjectInputs, prepare_project
+from betaloom.settings import PLATFORMS, ManifestRequest, ProjectOptions
 from betaloom.sources import annotation as an
 from betaloom.sources import beta as store
+from betaloom.sources import layout
 from betaloom.sources.control import read_table, write_table
 from betaloom.sources.matrix import load_datasets, save_dataset
+from betaloom.tables import materialize
 
 CELL = ("project_id", "sample_id", "probe_id")
 
@@ -177,6 +181,65 @@ def packed_vectors(fx: Fixtures) -> DataFrame:
     )
 
 
+@query("C6", """
+SELECT project_id, sample_id, CAST(block AS INTEGER) AS block, string_agg(CASE WHEN value IS NULL THEN '0' ELSE '1' END, '' ORDER BY place) AS present,
+       round(sum(coalesce(CAST(CAST(value AS FLOAT) AS DOUBLE), 0) * (place + 1)), 3) AS total
+FROM (SELECT s.project_id, s.sample_id, i // 10 AS block, i % 10 AS place, b.value
+      FROM fx_samples s CROSS JOIN (SELECT probe_id, row_number() OVER (ORDER BY probe_id) - 1 AS i FROM (SELECT DISTINCT probe_id FROM fx_beta)) d
+      LEFT JOIN fx_beta b ON b.project_id = s.project_id AND b.sample_id = s.sample_id AND b.probe_id = d.probe_id)
+GROUP BY project_id, sample_id, block""")
+def aligned_blocks(fx: Fixtures) -> DataFrame:
+    """Vectors in blocks of ten places: which are there, and their values by place."""
+    rows = matrix.pack_blocks(fx.beta, fx.samples, matrix.probe_dictionary(fx.beta), 10)
+    bits = F.array_join(F.transform(F.split(F.hex("present"), ""), lambda d: F.lpad(F.conv(d, 16, 2), 4, "0")), "")
+    total = F.aggregate(F.transform("vector", lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return rows.select(*qc.SAMPLE, "block", F.substring(bits, 1, F.size("vector")).alias("present"), F.round(total, 3).alias("total"))
+
+
+@query("C6", """
+SELECT project_id, sample_id, probe_id, round(CAST(CAST(value AS FLOAT) AS DOUBLE), 5) AS value FROM fx_beta WHERE value IS NOT NULL""")
+def unpacked_blocks(fx: Fixtures) -> DataFrame:
+    dictionary = matrix.probe_dictionary(fx.beta)
+    blocks = materialize(matrix.pack_blocks(fx.beta, fx.samples, dictionary, 16), "blocks")
+    return rounded(matrix.unpack_blocks(blocks, dictionary, 16), "value", digits=5)
+
+
+@query("A7 D7 E1", """
+SELECT project_id, probe_id, count(value) AS n_present, round(avg(value), 6) AS mean, round(var_pop(value), 6) AS variance FROM fx_beta
+WHERE probe_id IN (SELECT probe_id FROM fx_annotation WHERE starts_with(probe_id, 'cg') AND NOT (is_sex_chr OR has_cpg_snp OR has_sbe_snp OR has_probe_snp OR is_cross_reactive OR is_multi_mapped))
+GROUP BY project_id, probe_id""")
+def probe_statistics_in_place(fx: Fixtures) -> DataFrame:
+    """Usable probes and their statistics from the matrix stored by probe: the matrix isn't exchanged."""
+    values = qc.align_to_annotation(layout.by_probe(fx.beta), qc.usable_probes(fx.annotation))
+    found = qc.probe_stats(values, qc.sample_counts(fx.samples))
+    return rounded(found.select("project_id", "probe_id", "n_present", "mean", "variance"), "mean", "variance")
+
+
+def _three_batches(fx: Fixtures) -> str:
+    """States of uneven batches, as three deliveries of samples would leave them."""
+    path = fx.scratch("states")
+    kind = F.when(F.col("sample_id") % 10 == 0, 0).when(F.col("sample_id") % 10 < 4, 1).otherwise(2)
+    for number in range(3):
+        states.add_states(fx.beta.where(kind == number), path, f"delivery-{number}")
+    return path
+
+
+@query("D1 D2", """
+SELECT project_id, CAST(sample_id AS VARCHAR) AS sample_id, n_present, n_probes, round(missing_rate, 6) AS missing_rate, round(mean, 6) AS mean FROM qc_stats""")
+def merged_sample_states(fx: Fixtures) -> DataFrame:
+    found = states.sample_stats(states.read_states(fx.spark, _three_batches(fx), "samples"), qc.probe_counts(fx.beta))
+    return rounded(found, "missing_rate", "mean")
+
+
+@query("D7 E1", """
+SELECT b.project_id, probe_id, count(value) AS n_present, any_value(n) AS n_samples, round((any_value(n) - count(value)) / any_value(n), 6) AS missing_rate,
+       round(avg(value), 6) AS mean, round(var_pop(value), 6) AS variance
+FROM fx_beta b JOIN (SELECT project_id, count(*) AS n FROM fx_samples GROUP BY project_id) USING (project_id) GROUP BY b.project_id, probe_id""")
+def merged_probe_states(fx: Fixtures) -> DataFrame:
+    found = states.probe_stats(states.read_states(fx.spark, _three_batches(fx), "probes"), qc.sample_counts(fx.samples))
+    return rounded(found, "missing_rate", "mean", "variance")
+
+
 @query("C7", """
 SELECT 'raw' AS stage, project_id, count(DISTINCT sample_id) AS n_samples, count(DISTINCT probe_id) AS n_probes FROM fx_beta GROUP BY project_id
 UNION ALL
@@ -330,3 +393,35 @@ SELECT project_id, probe_id, round(missing_rate, 6) AS missing_rate, round(mean,
 def prepared_probes(fx: Fixtures) -> DataFrame:
     ds, _ = project.prepare_dataset(fx.raw, fx.annotation)
     return rounded(ds.probes.select(*qc.PROBE, "missing_rate", "mean", "variance"), "missing_rate", "mean", "variance")
+
+
+def _project_inputs(fx: Fixtures) -> ProjectInputs:
+    """A raw folder with a file per sample, and the saved responses that name them."""
+    path = fx.scratch("raw-project")
+    fx.beta.select(
+        F.col("sample_id").alias("file_id"), F.col("probe_id").alias("Composite Element REF"), F.coalesce(F.col("value").cast("string"), F.lit("NA")).alias("Beta_value")
+    ).repartition("file_id").write.partitionBy("file_id").csv(path, sep="\t", header=True)
+    want = ManifestRequest(project_id="ALL")
+    specimen = F.struct(F.lit(want.sample_type).alias("sample_type"), F.lit(None).cast(schemas._SAMPLE["portions"].dataType).alias("portions"))
+    case = F.struct(
+        F.concat(F.lit("CASE-"), F.col("file_id")).alias("submitter_id"), F.struct(F.lit("ALL").alias("project_id")).alias("project"), F.array(specimen).alias("samples")
+    )
+    fields = {c: F.lit(getattr(want, c)) for c in ("data_category", "experimental_strategy", "data_type", "platform", "access")}
+    hits = store.raw_files(fx.spark, path).withColumns(
+        {**fields, "reference_genome": F.lit("GRCh38"), "status": F.lit(None).cast("string"), "cases": F.array(case)}
+    )
+    hits = materialize(hits.select(*schemas.FILE_HIT.names), "hits")
+    cases = fx.spark.createDataFrame([], schemas.CASE)
+    return ProjectInputs(path, hits, cases, fx.annotation, want, "ALL", want.platform, "GRCh38", expected=hits.count())
+
+
+@query("A1 B1 B3 B5 B6 B7 B8 B9 C1 D10 E4 F17", """
+SELECT CAST(m.sample_id AS VARCHAR) AS sample_id, probe_id, round(value, 6) AS value, q.qc AS qc_pass
+FROM one_pp_matrix m JOIN (SELECT sample_id, CAST(passed AS INTEGER) AS qc FROM one_qc_samples) q USING (sample_id)""")
+def project_from_raw_files(fx: Fixtures) -> DataFrame:
+    """One call from raw files and saved responses to the prepared matrix and its audit, run twice: the second run finds every step done."""
+    run, inputs = fx.scratch("run"), _project_inputs(fx)
+    prepare_project(fx.spark, run, inputs, timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    ds, audit = prepare_project(fx.spark, run, inputs)
+    values = ds.values.join(audit.select(F.col("file_id").alias("sample_id"), "qc_pass"), "sample_id")
+    return rounded(values.select("sample_id", "probe_id", "value", "qc_pass"), "value")

@@ -84,6 +84,20 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "fx_positions": """
 SELECT p_partkey AS probe_id, 'chr' || (p_partkey % 5) AS chr, (p_partkey * 7919) % 200000 + 1 AS pos,
        CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand FROM part""",
+    "fx_genes": """
+SELECT 'G' || (p.probe_id % 97) AS gene_symbol, chr, pos + p_size * 40 AS "start", pos + p_size * 40 + 500 + p_size * 10 AS "end",
+       CASE WHEN p.probe_id % 5 < 3 THEN '+' ELSE '-' END AS strand FROM fx_positions p JOIN part q ON q.p_partkey = p.probe_id""",
+    "fx_places": """
+SELECT (CASE WHEN number % 16 = 15 THEN 'ch.' ELSE 'cg' END) || lpad(CAST(number AS VARCHAR), 8, '0') AS probe_id, chr, pos
+FROM (SELECT *, probe_id + CASE WHEN probe_id >= 60 THEN 4 ELSE 0 END AS number FROM fx_positions)""",
+    "fx_hits_of_genes": """
+SELECT DISTINCT probe_id, gene_symbol, CASE WHEN up BETWEEN 1 AND 200 THEN 'TSS200' WHEN up BETWEEN 201 AND 1500 THEN 'TSS1500' ELSE 'gene_body' END AS region
+FROM (SELECT probe_id, gene_symbol, CASE WHEN pos BETWEEN "start" AND "end" THEN 0 WHEN strand = '-' THEN pos - "end" ELSE "start" - pos END AS up
+      FROM fx_places JOIN fx_genes USING (chr)) WHERE up BETWEEN 0 AND 1500""",
+    "fx_attempts": """
+SELECT doc_id, attempt, unnest(CASE WHEN (doc_id + attempt) % 2 = 0 THEN ['failed', 'success'] ELSE ['success'] END) AS status
+FROM (SELECT doc_id, unnest(list_filter([1, CASE WHEN doc_id % 3 <> 0 THEN 2 END, CASE WHEN doc_id % 21 = 7 THEN 3 END], lambda x: x IS NOT NULL)) AS attempt
+      FROM documents WHERE doc_id % 17 <> 5)""",
     "fx_islands": """
 SELECT 'chr' || (s_suppkey % 5) AS chr, 10000 * (s_suppkey // 5) + s_nationkey * 37 + 1 AS "start",
        10000 * (s_suppkey // 5) + s_nationkey * 57 + 501 AS "end" FROM supplier""",
@@ -305,7 +319,7 @@ VIEWS |= _component_views("plain", "co_matrix")
 VIEWS |= _report_views("before", "co_matrix")
 VIEWS |= _report_views("after", "cb_corrected")
 
-_NAME = re.compile(r"\b(?:fx|qc|pp|co|cb|gs|pc|hv)_[a-z0-9_]+\b")
+_NAME = re.compile(r"\b(?:fx|qc|pp|co|cb|gs|pc|hv|one)_[a-z0-9_]+\b")
 
 
 def _needed(sql: str) -> list[str]:
@@ -323,6 +337,19 @@ def _needed(sql: str) -> list[str]:
     return ordered
 
 
+def _one_project_views(last: str) -> dict[str, str]:
+    """The views ``last`` rests on, over the samples of all projects as one project."""
+    names = [*_needed(f"SELECT * FROM {last}")]
+    renamed = {name: _NAME.sub(lambda m: f"one_{m[0]}" if m[0] in VIEWS and m[0] != "fx_annotation" else m[0], VIEWS[name]) for name in names}
+    views = {f"one_{name}": body for name, body in renamed.items()}
+    views["one_fx_beta"] = "SELECT * REPLACE ('ALL' AS project_id) FROM fx_beta"
+    views["one_fx_m"] = "SELECT * REPLACE ('ALL' AS project_id) FROM fx_m"
+    return views
+
+
+VIEWS |= _one_project_views("pp_matrix")
+
+
 def with_views(sql: str) -> str:
     """``sql`` with the views it names as leading common table expressions."""
     body = sql.strip()

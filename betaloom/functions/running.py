@@ -10,6 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from betaloom.tables import materialize
+
+# low bits of a monotonically increasing id, which count inside a partition
+RANGE_BITS = 33
+
 
 def running_totals(
     df: DataFrame,
@@ -44,6 +49,21 @@ def running_totals(
     return staged.join(offsets, same).select(*df.columns, *running)
 
 
+def numbered(rows: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: 0, 1, 2, ... in the order of columns whose values differ in every row.
+
+    Rows are sorted by range; the ranges' sizes, one row each, give the offsets.
+    """
+    place = F.monotonically_increasing_id()
+    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place)
+    placed = materialize(sorted_rows, "numbered").withColumn("_range", F.shiftright("_place", RANGE_BITS))
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_size"))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_base"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << RANGE_BITS) - 1))
+    return placed.join(offsets, "_range").select(*rows.columns, (F.col("_base") + inside).alias(name))
+
+
 def hash_prefix(digest: Column, digits: int = 3) -> Column:
     """Leading hex digits: even buckets in digest order."""
     return F.substring(digest, 1, digits)

@@ -7,6 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.operators.regions import with_regions
+from betaloom.settings import GENE_REGIONS
+
 # fixed value: sex chromosomes in UCSC naming
 SEX_CHROMOSOMES = ("chrX", "chrY")
 
@@ -43,8 +46,13 @@ def platform_annotation(
     multi_mapped: DataFrame | None = None,
     sex_chromosomes: tuple[str, ...] = SEX_CHROMOSOMES,
     type_column: str = "Type",
+    genes: DataFrame | None = None,
 ) -> DataFrame:
-    """One array's table in the shared layout."""
+    """One array's table in the shared layout.
+
+    With ``genes`` (gene_symbol, chr, start, end, strand) the gene symbols and region flags follow from the probes'
+    positions; without, symbols come from ``gene_column`` and region flags are kept if the table has them.
+    """
     flags = snp_flags(**snp_columns) if snp_columns else constant_flags(*SNP_FLAGS)
     flags["is_sex_chr"] = sex_chromosome_flag(F.col("chr"), sex_chromosomes)
     named = raw.withColumns(flags).withColumns(
@@ -52,11 +60,15 @@ def platform_annotation(
     )
     for flag, listed in (("is_cross_reactive", cross_reactive), ("is_multi_mapped", multi_mapped)):
         named = named.withColumn(flag, F.lit(False)) if listed is None else flag_members(named, listed, flag)
+    if genes is not None:
+        named = with_regions(named, genes)
     return named.select(
         "platform", "reference_genome", "probe_id", "chr", "pos", "strand", "probe_type", "gene_symbol",
-        "is_sex_chr", *SNP_FLAGS, "is_cross_reactive", "is_multi_mapped",
+        "is_sex_chr", *SNP_FLAGS, "is_cross_reactive", "is_multi_mapped", *[r for r in GENE_REGIONS if r in named.columns],
     )
 
 
 def harmonize(tables: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, tables)
+    """All arrays' tables in one; a region flag that only some have is false for the others."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    return stacked.withColumns({r: F.coalesce(r, F.lit(False)) for r in GENE_REGIONS if r in stacked.columns})

@@ -174,20 +174,31 @@ def clip_and_scale(values: DataFrame, quantiles: tuple[float, float] = (0.01, 0.
 # --- sample names ---
 
 
+# suffixes, or numbers between them, that one task sorts
+NAMES_TOGETHER = 1000
+
+
 def unique_names(samples: DataFrame) -> DataFrame:
-    """Add ``sample_name``: the id, with -1, -2, ... on later samples that share it.
+    """Add ``sample_name``: the id, with -1, -2, ... on later samples that share it; suffixes that are ids themselves are passed over.
 
     Later means later in (project, file name) order. Counting runs project by project first,
-    so an id that many projects share is never sorted as one group.
+    so an id that many projects share is never sorted as one group. The j-th free number of an id is j and the taken numbers t of
+    which fewer than j free ones lie below, that is, whose t minus rank is less than j: a running total over both.
     """
     name = F.col("sample_id").cast("string")
     numbered = running_totals(samples, ["sample_id"], F.col("project_id"), ["file_name"], {"_seen": F.lit(1)})
-    # suffixes that are ids themselves are passed over: those of each repeated id, as an array
-    parts = samples.select(F.regexp_extract(name, r"^(.*)-([1-9]\d{0,8})$", 1).alias("_stem"), F.regexp_extract(name, r"-([1-9]\d{0,8})$", 1).alias("_k"))
-    taken = parts.where("_k <> ''").groupBy("_stem").agg(F.array_sort(F.collect_set(F.col("_k").cast("int"))).alias("_taken"))
-    placed = numbered.join(taken, name == F.col("_stem"), "left")
-    free = F.aggregate("_taken", F.col("_seen") - 1, lambda k, t: F.when(t <= k, k + 1).otherwise(k))
-    number = F.coalesce(free, F.col("_seen") - 1)
-    suffixed = F.concat(name, F.lit("-"), number.cast("string"))
-    named = placed.withColumn("sample_name", F.when(F.col("_seen") > 1, suffixed).otherwise(name))
-    return named.drop("_seen", "_stem", "_taken")
+    numbered = materialize(numbered.withColumns({"_name": name, "_j": F.col("_seen") - 1}), "seen-names")
+    later = numbered.where("_j > 0").select(F.col("_name").alias("_stem"), "_j")
+    stem, suffix = (F.regexp_extract(name, r"^(.*)-([1-9]\d{0,8})$", i) for i in (1, 2))
+    taken = samples.select(stem.alias("_stem"), suffix.alias("_k")).where("_k <> ''").distinct()
+    taken = taken.join(later.select("_stem").distinct(), "_stem", "left_semi").withColumn("_k", F.col("_k").cast("long"))
+    bucket = lambda c: F.floor(F.col(c) / NAMES_TOGETHER)
+    ranked = running_totals(taken, ["_stem"], bucket("_k"), ["_k"], {"_i": F.lit(1)})
+    below = ranked.groupBy("_stem", (F.col("_k") - F.col("_i")).alias("_at")).agg(F.count("*").alias("_taken"))
+    asked = later.select("_stem", (F.col("_j") - 1).alias("_at"), F.lit(0).cast("long").alias("_taken"), "_j")
+    events = below.withColumn("_j", F.lit(None).cast("long")).unionByName(asked.withColumn("_j", F.col("_j").cast("long")))
+    counted = running_totals(events, ["_stem"], bucket("_at"), ["_at", "_j"], {"_below": F.col("_taken")}).where("_j IS NOT NULL")
+    free = counted.select("_stem", "_j", (F.col("_j") + F.col("_below")).alias("_free"))
+    named = numbered.join(free.withColumnRenamed("_j", "_own"), (F.col("_name") == F.col("_stem")) & (F.col("_j") == F.col("_own")), "left")
+    suffixed = F.concat("_name", F.lit("-"), F.col("_free").cast("string"))
+    return named.select(*samples.columns, F.coalesce(suffixed, F.col("_name")).alias("sample_name"))

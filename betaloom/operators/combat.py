@@ -2,7 +2,10 @@
 
 All samples with the same batch and covariates share one row of the design, a *cell*. The
 model needs only count, mean and variance of each (probe, cell), which one partial
-aggregation over the matrix yields; the Bayes step runs on (probe, batch) rows and the
+aggregation over the matrix yields. No design matrix is built: batch effects are eliminated
+from the normal equations by sums per (probe, batch), which leaves one equation per covariate
+level. Only that small Schur complement reaches the driver, to be judged for rank and inverted;
+batches, combinations, cells and all coefficients are tables. The Bayes step runs on (probe, batch) rows and the
 corrected value is a linear function of the original one per (probe, cell). The matrix is
 read twice and never leaves the JVM.
 """
@@ -11,11 +14,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.functions.columns import portion
@@ -27,8 +32,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOLERANCE = 1e-4
 MAX_ITERATIONS = 10_000
-# statistics held as dense arrays at a time, per Python worker
-CELLS_AT_ONCE = 2_000_000
+# least eigenvalue of the scaled Schur complement that counts as full rank
+RANK_TOLERANCE = 1e-9
 # residual spread below this share of the values' own size is rounding, not variance
 ROUNDING = 1e-12
 
@@ -62,102 +67,111 @@ def check_preconditions(values: DataFrame, samples: DataFrame, conversion: str,
         raise ValueError("batch correction needs a matrix without missing values; impute or drop them first")
 
 
-def design_cells(labelled: DataFrame, covariates: tuple[str, ...]) -> pd.DataFrame:
-    """Sample count per batch and covariate combination. Small: one row per cell, not per sample."""
-    levels = ["batch", *covariates]
-    named = labelled.select(*[F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(c) for c in levels])
-    return named.groupBy(*levels).count().toPandas().sort_values(levels, ignore_index=True)
-
-
-def design_matrix(cells: pd.DataFrame, covariates: tuple[str, ...]) -> tuple[np.ndarray, int]:
-    """Design rows of the cells: batch indicators, then covariate indicators without their first level."""
-    blocks = [cells["batch"].to_numpy()[:, None] == np.unique(cells["batch"])[None, :]]
-    for covariate in covariates:
-        level = cells[covariate].to_numpy()
-        blocks.append(level[:, None] == np.unique(level)[None, 1:])
-    design = np.hstack(blocks).astype(float)
-    n_batches = blocks[0].shape[1]
-    weighted = design * np.sqrt(cells["count"].to_numpy(float))[:, None]
-    if np.linalg.matrix_rank(weighted) < design.shape[1]:
-        raise ValueError("batches and covariates are confounded; the design matrix is not of full rank")
-    return design, n_batches
-
-
-_FIT = "cells array<int>, fitted array<double>"
-_STANDARD = (
-    "probe_id string, sd double, batch int, n double, gamma double, delta double, total double, squares double, " + _FIT
-)
-
-
-def _standardizer(cells: pd.DataFrame, design: np.ndarray, n_batches: int):
-    """Batch iterator: packed (probe, cell) statistics to standardized (probe, batch) statistics."""
-    counts = cells["count"].to_numpy(float)
-    solve = np.linalg.inv((design * counts[:, None]).T @ design) @ (design * counts[:, None]).T
-    in_batch = design[:, :n_batches]
-    share = counts @ in_batch / counts.sum()
-    members = [np.flatnonzero(in_batch[:, k]).astype(np.int32) for k in range(n_batches)]
-
-    rows = max(1, CELLS_AT_ONCE // len(cells))
-
-    def standardize(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in (whole[i : i + rows] for whole in parts for i in range(0, len(whole), rows)):
-            mean = np.vstack(part["means"].to_list()).astype(float)
-            spread = np.vstack(part["spreads"].to_list()).astype(float)
-            coefficients = mean @ solve.T
-            grand = coefficients[:, :n_batches] @ share
-            residual = mean - coefficients @ design.T
-            variance = (spread + counts * residual**2).sum(axis=1) / counts.sum()
-            size_of_values = np.sqrt((spread + counts * mean**2).sum(axis=1) / counts.sum())
-            sd = np.sqrt(variance)
-            sd[sd <= ROUNDING * size_of_values] = 0.0
-            fitted = grand[:, None] + coefficients[:, n_batches:] @ design[:, n_batches:].T
-            scale = np.where(sd > 0, sd, 1.0)[:, None]
-            shift = (mean - fitted) / scale
-            total = (shift * counts) @ in_batch
-            squares = (spread / scale**2 + counts * shift**2) @ in_batch
-            size = np.broadcast_to(counts @ in_batch, total.shape)
-            gamma = total / size
-            with np.errstate(divide="ignore", invalid="ignore"):
-                delta = np.where(size > 1, (squares - size * gamma**2) / (size - 1), 1.0)
-            yield pd.DataFrame(
-                {
-                    "probe_id": np.repeat(part["probe_id"].to_numpy(), n_batches),
-                    "sd": np.repeat(sd, n_batches),
-                    "batch": np.tile(np.arange(n_batches, dtype=np.int32), len(part)),
-                    "n": size.ravel(),
-                    "gamma": gamma.ravel(),
-                    "delta": delta.ravel(),
-                    "total": total.ravel(),
-                    "squares": squares.ravel(),
-                    "cells": members * len(part),
-                    "fitted": [row[own] for row in fitted for own in members],
-                }
-            )
-
-    return standardize
-
-
-def cell_table(values: DataFrame, labelled: DataFrame, cells: pd.DataFrame, covariates: tuple[str, ...]) -> DataFrame:
-    """Each sample's cell number."""
-    spark = values.sparkSession
-    levels = ["batch", *covariates]
-    numbered = spark.createDataFrame(cells[levels].assign(cell=np.arange(len(cells), dtype=np.int32)))
-    named = [F.coalesce(F.col(c).cast("string"), F.lit("None")).alias(f"_{c}") for c in levels]
-    keyed = labelled.select(*SAMPLE, *named)
-    match = [keyed[f"_{c}"] == numbered[c] for c in levels]
-    return keyed.join(numbered, match).select(*[keyed[c] for c in SAMPLE], "cell")
-
-
-def standardized_stats(values: DataFrame, sample_cells: DataFrame, cells: pd.DataFrame, covariates: tuple[str, ...]) -> DataFrame:
-    design, n_batches = design_matrix(cells, covariates)
-    per_cell = (
-        values.join(sample_cells, SAMPLE)
-        .groupBy("probe_id", "cell")
-        .agg(F.avg("value").alias("mean"), (F.var_pop("value") * F.count("value")).alias("spread"))
+@dataclass(frozen=True)
+class Design:
+    """Who is in which cell, in tables.
+
+    ``samples``: (sample, batch_no, combo); ``cells``: (batch_no, combo, count); ``levels``: (combo, level), the
+    covariate levels of a combination but for each covariate's first; ``inverse``: (level, other, weight), the inverse of
+    the Schur complement; ``shares``: (batch_no, level, share), the part of a batch that has a level.
+    """
+
+    samples: DataFrame
+    cells: DataFrame
+    levels: DataFrame
+    shares: DataFrame
+    inverse: DataFrame
+
+
+def design(labelled: DataFrame, covariates: tuple[str, ...]) -> Design:
+    """Cells of the samples and the inverse of the covariates' Schur complement; refuses a confounded design."""
+    spark = labelled.sparkSession
+    names = [f"_c{i}" for i in range(len(covariates))]
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in ("batch", *covariates)]
+    keyed = materialize(labelled.select(*SAMPLE, *[t.alias(n) for t, n in zip(texts, ("_batch", *names))]), "combat-samples")
+    number = F.monotonically_increasing_id()
+    batches = materialize(keyed.select("_batch").distinct().withColumn("batch_no", number), "combat-batches")
+    if covariates:
+        combos = materialize(keyed.select(*names).distinct().withColumn("combo", number), "combat-combinations")
+        samples = keyed.join(combos, names)
+        found = [sorted(r[0] for r in combos.select(n).distinct().collect())[1:] for n in names]
+    else:
+        combos, samples, found = None, keyed.withColumn("combo", F.lit(0).cast("long")), []
+    samples = materialize(samples.join(batches, "_batch").select(*SAMPLE, "batch_no", "combo"), "combat-cells")
+    cells = materialize(samples.groupBy("batch_no", "combo").agg(F.count("*").alias("count")), "combat-counts")
+
+    numbered = [(i, text) for i, own in enumerate(found) for text in own]
+    levels = spark.createDataFrame([], "combo long, level int")
+    for i, name in enumerate(names):
+        known = spark.createDataFrame([(text, at) for at, (own, text) in enumerate(numbered) if own == i], f"{name} string, level int")
+        levels = levels.unionByName(combos.join(known, name).select("combo", "level"))
+    levels = materialize(levels, "combat-levels")
+    size = len(numbered)
+
+    in_batch = cells.groupBy("batch_no").agg(F.sum("count").alias("n"))
+    of_level = cells.join(levels, "combo").groupBy("batch_no", "level").agg(F.sum("count").alias("k"))
+    shares = materialize(of_level.join(in_batch, "batch_no").select("batch_no", "level", "k", (F.col("k") / F.col("n")).alias("share")), "combat-shares")
+    other = levels.select("combo", F.col("level").alias("other"))
+    both = cells.groupBy("combo").agg(F.sum("count").alias("count")).join(levels, "combo").join(other, "combo")
+    whole = both.groupBy("level", "other").agg(F.sum("count").cast("double").alias("v"))
+    within = shares.join(shares.select("batch_no", F.col("level").alias("other"), F.col("k").alias("k2")), "batch_no")
+    within = within.groupBy("level", "other").agg(F.sum(F.col("share") * F.col("k2")).alias("v"))
+    gram, schur = np.zeros((size, size)), np.zeros((size, size))
+    for row in whole.collect():
+        gram[row.level, row.other] = schur[row.level, row.other] = row.v
+    for row in within.collect():
+        schur[row.level, row.other] -= row.v
+    if size:
+        scale = 1 / np.sqrt(np.diag(gram))
+        if np.linalg.eigvalsh(schur * scale[:, None] * scale)[0] < RANK_TOLERANCE:
+            raise ValueError("batches and covariates are confounded; the design matrix is not of full rank")
+    weights = np.linalg.inv(schur) if size else schur
+    entries = [(i, j, float(weights[i, j])) for i in range(size) for j in range(size)]
+    inverse = spark.createDataFrame(entries, "level int, other int, weight double")
+    return Design(samples, cells, levels, shares, inverse)
+
+
+def cell_stats(values: DataFrame, cells: Design) -> DataFrame:
+    """Count, mean and squared deviations per (probe, cell)."""
+    per_cell = values.join(cells.samples, SAMPLE).groupBy("probe_id", "batch_no", "combo")
+    return per_cell.agg(F.count("value").alias("count"), F.avg("value").alias("mean"), (F.var_pop("value") * F.count("value")).alias("spread"))
+
+
+def covariate_effects(stats: DataFrame, cells: Design) -> DataFrame:
+    """(probe, combo, effect): least-squares covariate effects with the batch effects eliminated."""
+    total = F.sum(F.col("count") * F.col("mean"))
+    of_levels = stats.join(cells.levels, "combo").groupBy("probe_id", "level").agg(total.alias("v"))
+    batches = stats.groupBy("probe_id", "batch_no").agg(total.alias("total"))
+    explained = batches.join(cells.shares, "batch_no").groupBy("probe_id", "level").agg((-F.sum(F.col("total") * F.col("share"))).alias("v"))
+    left = of_levels.unionByName(explained).groupBy("probe_id", "level").agg(F.sum("v").alias("v"))
+    solved = left.join(cells.inverse, "level").groupBy("probe_id", "other").agg(F.sum(F.col("v") * F.col("weight")).alias("beta"))
+    named = cells.levels.withColumnRenamed("level", "other")
+    return solved.join(named, "other").groupBy("probe_id", "combo").agg(F.sum("beta").alias("effect"))
+
+
+def standardized_stats(stats: DataFrame, effects: DataFrame) -> DataFrame:
+    """Standardized statistics per (probe, batch): n, gamma, delta, total, squares, with the probe's sd and grand mean."""
+    own = W.partitionBy("probe_id", "batch_no")
+    rest = F.col("mean") - F.coalesce("effect", F.lit(0.0))
+    apart = stats.join(effects, ["probe_id", "combo"], "left").withColumn("rest", rest)
+    apart = apart.withColumn("alpha", F.sum(F.col("count") * F.col("rest")).over(own) / F.sum("count").over(own))
+    inside = F.col("spread") + F.col("count") * (F.col("rest") - F.col("alpha")) ** 2
+    per_batch = apart.groupBy("probe_id", "batch_no").agg(
+        F.sum("count").alias("n"), F.first("alpha").alias("alpha"), F.sum(inside).alias("inside"), F.sum(F.col("spread") + F.col("count") * F.col("mean") ** 2).alias("size")
+    )
+    per_batch = materialize(per_batch, "combat-batch-stats")
+    n = F.sum("n")
+    sd, size = F.sqrt(F.sum("inside") / n), F.sqrt(F.sum("size") / n)
+    grand = (F.sum(F.col("n") * F.col("alpha")) / n).alias("grand")
+    per_probe = per_batch.groupBy("probe_id").agg(F.when(sd > ROUNDING * size, sd).otherwise(0.0).alias("sd"), grand)
+    scale = F.when(F.col("sd") > 0, F.col("sd")).otherwise(1.0)
+    gamma = (F.col("alpha") - F.col("grand")) / scale
+    varied = F.col("inside") / scale**2
+    return per_batch.join(per_probe, "probe_id").select(
+        "probe_id", "sd", "grand", F.col("batch_no").alias("batch"), F.col("n").cast("double").alias("n"), gamma.alias("gamma"),
+        F.when(F.col("n") > 1, varied / (F.col("n") - 1)).otherwise(1.0).alias("delta"), (F.col("n") * gamma).alias("total"),
+        (varied + F.col("n") * gamma**2).alias("squares"),
     )
-    packed = per_cell.groupBy("probe_id").agg(F.array_sort(F.collect_list(F.struct("cell", "mean", "spread"))).alias("stats"))
-    packed = packed.select("probe_id", F.col("stats.mean").alias("means"), F.col("stats.spread").alias("spreads"))
-    return packed.mapInPandas(_standardizer(cells, design, n_batches), _STANDARD)
 
 
 def batch_priors(stats: DataFrame) -> DataFrame:
@@ -223,27 +237,28 @@ def _run_steps(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i in range(1, int(last.max(initial=0)) + 1):
             new_g, new_d = step(d)
             g, d = np.where(i <= last, new_g, g), np.where(i <= last, new_d, d)
-        yield part[["probe_id", "sd", "cells", "fitted"]].assign(gamma_star=g, delta_star=d)
+        yield part[["probe_id", "batch", "sd", "grand"]].assign(gamma_star=g, delta_star=d)
 
 
 def shrink(stats: DataFrame, priors: DataFrame) -> DataFrame:
     """Posterior batch effects. A batch iterates until its slowest probe has converged, so the
     step count is agreed on first; rows are independent after that."""
     rows = stats.where("sd > 0").join(priors, "batch")
-    needed = rows.drop("cells", "fitted", "probe_id").mapInPandas(_count_steps, "batch int, steps int")
+    needed = rows.drop("probe_id").mapInPandas(_count_steps, "batch long, steps int")
     agreed = materialize(needed.groupBy("batch").agg(F.max("steps").alias("steps")), "combat-steps")
     return rows.join(agreed, "batch").mapInPandas(
-        _run_steps, f"probe_id string, sd double, {_FIT}, gamma_star double, delta_star double"
+        _run_steps, "probe_id string, batch long, sd double, grand double, gamma_star double, delta_star double"
     )
 
 
-def correction_factors(shrunk: DataFrame) -> DataFrame:
+def correction_factors(shrunk: DataFrame, cells: DataFrame, effects: DataFrame) -> DataFrame:
     """``value * slope + offset`` per (probe, cell). A batch without spread is shifted only."""
     slope = F.when(F.col("delta_star") > 0, 1.0 / F.sqrt("delta_star")).otherwise(1.0)
-    fit = F.col("fit.fitted")
+    fit = F.col("grand") + F.coalesce("effect", F.lit(0.0))
     offset = fit - (fit + F.col("sd") * F.col("gamma_star")) * slope
-    each = shrunk.withColumn("fit", F.explode(F.arrays_zip("cells", "fitted")))
-    return each.select("probe_id", F.col("fit.cells").alias("cell"), slope.alias("slope"), offset.alias("offset"))
+    each = shrunk.withColumnRenamed("batch", "batch_no").join(cells.select("batch_no", "combo"), "batch_no")
+    each = each.join(effects, ["probe_id", "combo"], "left")
+    return each.select("probe_id", "batch_no", "combo", slope.alias("slope"), offset.alias("offset"))
 
 
 def batch_correction(
@@ -255,16 +270,15 @@ def batch_correction(
 ) -> DataFrame:
     """Corrected matrix. Probes without residual variance come back unchanged."""
     check_preconditions(values, samples, conversion, batch_key, covariates)
-    labelled = batch_labels(samples, batch_key)
-    cells = design_cells(labelled, covariates)
-    design_matrix(cells, covariates)
-    sample_cells = materialize(cell_table(values, labelled, cells, covariates), "combat-cells")
-    stats = materialize(standardized_stats(values, sample_cells, cells, covariates), "combat-stats")
-    priors = materialize(batch_priors(stats), "combat-priors")
-    factors = materialize(correction_factors(shrink(stats, priors)), "combat-factors")
+    cells = design(batch_labels(samples, batch_key), covariates)
+    stats = materialize(cell_stats(values, cells), "combat-cell-stats")
+    effects = materialize(covariate_effects(stats, cells), "combat-effects")
+    scores = materialize(standardized_stats(stats, effects), "combat-stats")
+    priors = materialize(batch_priors(scores), "combat-priors")
+    factors = materialize(correction_factors(shrink(scores, priors), cells.cells, effects), "combat-factors")
     adjusted = F.coalesce(F.col("value") * F.col("slope") + F.col("offset"), F.col("value"))
     return (
-        values.join(sample_cells, SAMPLE)
-        .join(factors, ["probe_id", "cell"], "left")
+        values.join(cells.samples, SAMPLE)
+        .join(factors, ["probe_id", "batch_no", "combo"], "left")
         .select(*SAMPLE, "probe_id", adjusted.alias("value"))
     )

@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from betaloom.functions.columns import clipped
 from betaloom.functions.quantiles import grouped_quantiles
-from betaloom.operators.matrix import pack
+from betaloom.operators.components import principal_components  # noqa: F401
 from betaloom.operators.quality import SAMPLE
-from betaloom.tables import materialize
 
 
 def dispersions(values: DataFrame, bins: int = 20) -> DataFrame:
@@ -56,25 +52,6 @@ def standardize(values: DataFrame, max_value: float = 10.0) -> DataFrame:
     return values.join(moments, "probe_id").select(*SAMPLE, "probe_id", limited.alias("value"))
 
 
-def principal_components(values: DataFrame, k: int = 10) -> DataFrame:
-    """Sample scores PC1..PCk of a complete matrix.
-
-    The covariance is summed over partitions; only it (probes x probes) and the loadings reach
-    the driver, so select probes first. Each component is oriented so that its largest loading
-    is positive, and centred.
-    """
-    packed = materialize(pack(values, T.DoubleType()).select(*SAMPLE, "vector"), "packed")
-    packed = packed.select(*SAMPLE, array_to_vector("vector").alias("features"))
-    model = PCA(k=k, inputCol="features", outputCol="scores").fit(packed)
-    loadings = model.pc.toArray()
-    largest = abs(loadings).argmax(axis=0)
-    signs = [1.0 if loadings[largest[i], i] >= 0 else -1.0 for i in range(k)]
-    scores = model.transform(packed).select(*SAMPLE, vector_to_array("scores").alias("scores"))
-    named = scores.select(*SAMPLE, *[(F.get("scores", i) * signs[i]).alias(f"PC{i + 1}") for i in range(k)])
-    means = named.agg(F.struct(*[F.avg(f"PC{i + 1}").alias(f"PC{i + 1}") for i in range(k)])).scalar()
-    return named.withColumns({f"PC{i + 1}": F.col(f"PC{i + 1}") - means[f"PC{i + 1}"] for i in range(k)})
-
-
 def fraction_variance(scores: DataFrame, columns: Sequence[str], factor: str) -> DataFrame:
     """Share of the columns' variance that lies between the (unweighted) means of the factor levels."""
     levels = scores.where(F.col(factor).isNotNull()).groupBy(factor).agg(*[F.avg(c).alias(c) for c in columns])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from betaloom.functions.columns import null_if_nan
+from betaloom.functions.running import numbered
 from betaloom.operators.quality import PROBE, SAMPLE
 from betaloom.tables import materialize
 
@@ -98,6 +101,54 @@ def pack(values: DataFrame, element: T.DataType = T.FloatType()) -> DataFrame:
     return ordered.select(*SAMPLE, F.transform("cells", lambda c: c["probe_id"]).alias("probe_ids"), vector.alias("vector"))
 
 
+def probe_dictionary(probes: DataFrame) -> DataFrame:
+    """(probe_id, index): a place from 0 for every probe, in the order of ids. Stored once for all vectors."""
+    return materialize(numbered(probes.select("probe_id").where("probe_id IS NOT NULL").distinct(), ["probe_id"], "index"), "dictionary")
+
+
+def pack_blocks(values: DataFrame, samples: DataFrame, dictionary: DataFrame, width: int = 4096) -> DataFrame:
+    """Every sample's vector in blocks of ``width`` places: ``block``, ``vector`` (float) and ``present``, a bitmap.
+
+    A probe has the same block and place in every sample, whatever cells are missing: those are 0 with their bit unset (bits
+    count from the highest of each byte). Every sample has every block. A row holds ``width`` values at most and no probe id.
+    """
+    size = dictionary.count()
+    index = F.col("index")
+    cells = values.where("value IS NOT NULL").join(dictionary, "probe_id").select(
+        *SAMPLE, F.floor(index / width).cast("int").alias("block"), F.pmod(index, F.lit(width)).cast("int").alias("at"), "value"
+    )
+    lists = cells.groupBy(*SAMPLE, "block").agg(F.collect_list(F.struct("at", "value")).alias("cells"))
+    last = max(0, -(-size // width) - 1)
+    frame = samples.select(*SAMPLE).distinct().withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(last)))) if size else samples.select(*SAMPLE, F.lit(0).alias("block")).limit(0)
+    whole = frame.join(lists, [*SAMPLE, "block"], "left").select(*SAMPLE, "block", F.col("cells.at").alias("at"), F.col("cells.value").alias("value"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema.fields[:3])
+
+    def run(batches):
+        for batch in batches:
+            vectors, bitmaps = [], []
+            for block, at, value in zip(*(batch.column(i) for i in (2, 3, 4)), strict=True):
+                vector = np.zeros(min(width, size - block.as_py() * width), np.float32)
+                present = np.zeros(len(vector), bool)
+                if at.is_valid:
+                    places = at.values.to_numpy(zero_copy_only=False)
+                    vector[places], present[places] = value.values.to_numpy(zero_copy_only=False), True
+                vectors.append(vector)
+                bitmaps.append(np.packbits(present).tobytes())
+            made = [pa.array(vectors, pa.list_(pa.float32())), pa.array(bitmaps, pa.binary())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *made], [*SAMPLE, "block", "vector", "present"])
+
+    return whole.mapInArrow(run, f"{kinds}, vector array<float>, present binary")
+
+
+def unpack_blocks(blocks: DataFrame, dictionary: DataFrame, width: int = 4096) -> DataFrame:
+    """The long matrix of packed blocks: a row for every cell whose bit is set."""
+    cells = blocks.select(*SAMPLE, "block", "present", F.posexplode("vector").alias("at", "value"))
+    byte = F.conv(F.hex(F.substring("present", F.floor(F.col("at") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = byte.bitwiseAND(F.expr("shiftleft(1, 7 - at % 8)")) != 0
+    found = cells.where(bit).withColumn("index", F.col("block").cast("long") * width + F.col("at"))
+    return found.join(dictionary, "index").select(*SAMPLE, "probe_id", F.col("value").cast("double").alias("value"))
+
+
 def shape(values: DataFrame, stage: str) -> DataFrame:
     """Samples and probes per project, labelled with the stage they were counted at."""
     return values.groupBy("project_id").agg(

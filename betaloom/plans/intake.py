@@ -11,7 +11,7 @@ from betaloom.dataset import Dataset
 from betaloom.operators import control, matrix
 from betaloom.settings import ManifestRequest
 from betaloom.sources.annotation import check_key
-from betaloom.sources.beta import read_store
+from betaloom.sources.beta import read_store, stored_files
 from betaloom.tables import materialize
 
 
@@ -59,7 +59,7 @@ def load_raw_project(
     beta = read_store(spark, store_path, [project_id]).drop("project_id")
     values = matrix.assemble(beta, metadata, project_id)
     ready = metadata.where(F.col("status") == "success").withColumn("project_id", F.lit(project_id))
-    samples = ready.join(beta.select("file_id").distinct(), "file_id", "left_semi").withColumnRenamed("file_id", "sample_id")
+    samples = ready.join(stored_files(spark, store_path, [project_id]), "file_id", "left_semi").withColumnRenamed("file_id", "sample_id")
     probes = values.select("project_id", "probe_id").distinct()
     own = spark.createDataFrame([(project_id,)], "project_id string")
     return Dataset(values, samples, probes, matrix.dataset_row(own, F.lit(platform), F.lit(reference_genome)))

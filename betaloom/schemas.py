@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from betaloom.settings import GENE_REGIONS
+
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
@@ -32,6 +34,7 @@ ANNOTATION = _struct(
     is_sex_chr=T.BooleanType(), has_cpg_snp=T.BooleanType(), has_sbe_snp=T.BooleanType(),
     has_probe_snp=T.BooleanType(), is_cross_reactive=T.BooleanType(), is_multi_mapped=T.BooleanType(),
 )
+ANNOTATION_WITH_REGIONS = T.StructType([*ANNOTATION.fields, *[T.StructField(r, T.BooleanType()) for r in GENE_REGIONS]])
 
 _ALIQUOT = _struct(aliquot_id=STRING, submitter_id=STRING)
 _ANALYTE = _struct(aliquots=T.ArrayType(_ALIQUOT))

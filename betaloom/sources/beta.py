@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom import schemas
 from betaloom.functions.columns import parsed_number
-from betaloom.tables import materialize
+from betaloom.sources import ledger
 
 
 def read_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
@@ -22,19 +21,30 @@ def read_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
 
 
 def located(rows: DataFrame, raw_dir: str) -> DataFrame:
-    """Take file id and name from the path a row was read from, and parse its value.
+    """Take file id and name from the path a row was read from, and parse its value."""
+    return _placed(rows, raw_dir, "_metadata.file_path").select("file_id", "file_name", "probe_id", parsed_number(F.col("beta_value")).alias("beta_value"))
 
-    Files deeper than ``<raw_dir>/<file_id>/`` (logs of the transfer client) are left out.
+
+def raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """(file_id, file_name) of the raw files that exist; no file is opened."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir).select("path")
+    return _placed(listed, raw_dir, "path").select("file_id", "file_name")
+
+
+def _placed(rows: DataFrame, raw_dir: str, path: str) -> DataFrame:
+    """Add ``file_id`` and ``file_name`` from a path column.
+
+    ``raw_dir`` may be a pattern. Files deeper than ``<raw_dir>/<file_id>/`` (logs of the transfer client) are left out. A folder
+    ``file_id=<id>``, as Spark's writers name it, is read as its id.
     """
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    placed = rows.withColumn("_path", path)
-    root = raw_dir.rstrip("/").rsplit("/", 1)[-1]
-    at_depth = F.element_at(F.split("_path", "/"), -3) == root
-    return placed.where(at_depth).select(
-        F.regexp_extract("_path", r"([^/=]+)/[^/]+$", 1).alias("file_id"),
-        F.regexp_extract("_path", r"([^/]+)$", 1).alias("file_name"),
-        "probe_id",
-        parsed_number(F.col("beta_value")).alias("beta_value"),
+    folder = rows.sparkSession._jvm.org.apache.hadoop.fs.Path(raw_dir)
+    configuration = rows.sparkSession._jsc.hadoopConfiguration()
+    depth = folder.getFileSystem(configuration).makeQualified(folder).depth()
+    text = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))) if path != "path" else F.col(path)
+    names = F.split(F.regexp_replace(text, "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/", ""), "/")
+    placed = rows.withColumn("_names", names)
+    return placed.where(F.size("_names") == depth + 2).withColumns(
+        {"file_id": F.regexp_replace(F.get("_names", depth), "^file_id=", ""), "file_name": F.get("_names", depth + 1)}
     )
 
 
@@ -44,32 +54,25 @@ def pending_rows(raw: DataFrame, audit: DataFrame) -> DataFrame:
     return raw.join(pending.select("file_id", "file_name"), ["file_id", "file_name"], "left_semi")
 
 
-def write_store(beta: DataFrame, path: str, mode: str = "append") -> None:
-    """Store as a few large files per project in place of one file per sample."""
-    gathered = beta.hint("rebalance", "project_id")
-    gathered.write.mode(mode).option("compression", "zstd").partitionBy("project_id").parquet(path)
+def write_store(beta: DataFrame, path: str, batch: str | None = None) -> str:
+    """Append rows as one batch, a few large files per project in place of one file per sample."""
+    return ledger.add_batch(beta, path, schemas.BETA, batch)
 
 
-def stored_files(spark: SparkSession, path: str) -> DataFrame:
-    """(project_id, file_id) of the store; none if it isn't there yet."""
-    try:
-        return read_store(spark, path).select("project_id", "file_id").distinct()
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        return spark.createDataFrame([], "project_id string, file_id string")
+def stored_files(spark: SparkSession, path: str, projects: list[str] | None = None) -> DataFrame:
+    """(project_id, file_id, batch) of the store, from its log alone."""
+    return ledger.logged_files(spark, path, projects).select("project_id", "file_id", "batch")
 
 
-def add_files(beta: DataFrame, path: str) -> None:
-    """Append the files that the store lacks, so that a run repeated adds nothing."""
-    held = materialize(stored_files(beta.sparkSession, path), "stored-files")
-    write_store(beta.join(held, ["project_id", "file_id"], "left_anti"), path)
+def add_files(beta: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append the files that the store lacks, so that a run repeated adds nothing. Reads the log, never the stored rows."""
+    held = stored_files(beta.sparkSession, path).drop("batch")
+    write_store(beta.join(held, ["project_id", "file_id"], "left_anti"), path, batch)
 
 
 def read_store(spark: SparkSession, path: str, projects: list[str] | None = None) -> DataFrame:
-    """The beta store; a project list prunes partitions."""
-    store = spark.read.option("recursiveFileLookup", "false").parquet(path)
-    return store if projects is None else store.where(F.col("project_id").isin(projects))
+    """The beta store's published batches; a project list prunes folders."""
+    return ledger.stored_rows(spark, path, schemas.BETA, projects)
 
 
 def load_sample(store: DataFrame, file_id: str) -> DataFrame:
@@ -84,8 +87,9 @@ def clean_data(spark: SparkSession, raw_dir: str, audit: DataFrame, store_path:
     fresh = pending_rows(read_raw(spark, raw_dir), audit)
     add_files(fresh.drop("file_name").withColumn("project_id", F.lit(project_id)), store_path)
     pending = audit.where((F.col("downloaded") == 1) & F.col("parquet_path").isNull())
-    stored = read_store(spark, store_path, [project_id]).select("file_id").distinct()
+    stored = stored_files(spark, store_path, [project_id])
     missing = pending.join(stored, "file_id", "left_anti").select("file_id").take(1)
     if missing:
         raise FileNotFoundError(f"no raw file for downloaded file {missing[0].file_id}")
-    return update_paths(audit, stored.withColumn("path", F.lit(f"{store_path}/project_id={project_id}")))
+    folder = F.concat(F.lit(f"{store_path}/data/batch="), F.col("batch"), F.lit(f"/project_id={project_id}"))
+    return update_paths(audit, stored.select("file_id", folder.alias("path")))

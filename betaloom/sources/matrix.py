@@ -8,17 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from betaloom.dataset import Dataset
 from betaloom.operators.quality import SAMPLE
+from betaloom.sources.versions import latest, write_version
 
 PARTS = ("values", "samples", "probes", "meta")
 
 
-def save_dataset(ds: Dataset, path: str, partition_by: tuple[str, ...] = ("project_id",)) -> None:
-    """Write the matrix and its companions as Parquet tables below ``path``."""
-    for part in PARTS:
-        writer = getattr(ds, part).write.mode("overwrite").option("compression", "zstd")
-        if part == "values":
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/{part}")
+def save_dataset(ds: Dataset, path: str, partition_by: tuple[str, ...] = ("project_id",), **others: DataFrame) -> None:
+    """Write the matrix and its companions (and ``others``) as Parquet tables that appear together, as a new version below ``path``."""
+    tables = {part: getattr(ds, part) for part in PARTS} | others
+    write_version(tables, path, {"values": partition_by})
 
 
 def save_split(ds: Dataset, path: str) -> None:
@@ -28,7 +26,11 @@ def save_split(ds: Dataset, path: str) -> None:
 
 
 def load_dataset(spark: SparkSession, path: str) -> Dataset:
-    return Dataset(*[spark.read.parquet(f"{path}/{part}") for part in PARTS])
+    """The newest version of a saved dataset."""
+    folder = latest(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no dataset at {path}")
+    return Dataset(*[spark.read.parquet(f"{folder}/{part}") for part in PARTS])
 
 
 def load_datasets(spark: SparkSession, paths: list[str]) -> Dataset:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -20,10 +22,11 @@ def read_raw_stream(spark: SparkSession, raw_dir: str, max_files: int | None = N
 
 def ingest_available(rows: DataFrame, store_path: str, project_id: str, checkpoint: str) -> StreamingQuery:
     """Add all files not seen before to the beta store, then stop. The query checkpoint records
-    what was ingested; each batch goes through the batch writer, which leaves out files that the
-    store has, so a batch that is run again after a failure repeats nothing."""
+    what was ingested. Each batch is published under a name made from the checkpoint and its number, so one that is run again
+    after a failure overwrites what it left, or adds nothing if it was published."""
+    name = hashlib.sha256(f"{checkpoint}\n{project_id}".encode()).hexdigest()[:32]
 
-    def add(batch: DataFrame, _: int) -> None:
-        add_files(batch.withColumn("project_id", F.lit(project_id)), store_path)
+    def add(batch: DataFrame, number: int) -> None:
+        add_files(batch.withColumn("project_id", F.lit(project_id)), store_path, f"{name}-{number}")
 
     return rows.drop("file_name").writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

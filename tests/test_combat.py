@@ -117,3 +117,27 @@ def test_batches_nested_in_projects_are_refused(spark):
     values, samples = tables(spark, y, batch, np.where(batch == "a-1", "P", "Q"))
     with pytest.raises(ValueError, match="confounded"):
         combat.batch_correction(values, samples)
+
+
+def test_many_batches_and_two_covariates(spark):
+    rng = np.random.default_rng(8)
+    size = 900
+    batch = np.array([f"{i % 300:03d}-x" for i in range(size)])
+    project = rng.choice(["P", "Q", "R"], size)
+    sex = rng.choice(["f", "m"], size)
+    y = rng.normal(size=(12, size)) + rng.normal(size=(12, 300))[:, [int(b[:3]) for b in batch]] + (project == "Q") * 2.0 - (sex == "m") * 1.5
+    values, samples = tables(spark, y, batch, project)
+    ids = [f"s{i:03d}" for i in range(size)]
+    sexes = spark.createDataFrame(list(zip(ids, sex.tolist(), strict=True)), "sample_id string, sex string")
+    got = corrected(combat.batch_correction(values, samples.join(sexes, "sample_id"), covariates=("project_id", "sex")))
+    mod = np.column_stack([project == "Q", project == "R", sex == "m"])
+    np.testing.assert_allclose(got, reference_combat(y, batch, mod), rtol=1e-7, atol=1e-7)
+
+
+def test_no_batch_reaches_a_task_or_the_driver_as_an_array(spark):
+    y, batch, project = make(4)
+    values, samples = tables(spark, y, batch, project)
+    cells = combat.design(combat.batch_labels(samples), ("project_id",))
+    plan = combat.cell_stats(values, cells)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Python" not in plan and "MapInPandas" not in plan
+    assert cells.inverse.count() == 1 and cells.levels.count() == 1

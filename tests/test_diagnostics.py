@@ -68,3 +68,44 @@ def test_histogram_equals_numpy(spark, matrix):
 def test_integrity_counts_absent_cells(matrix):
     row = dg.integrity(matrix([("P", "a", "1", 0.1), ("P", "b", "2", None), ("P", "b", "1", 0.9)])).first()
     assert tuple(row) == (2, 2, 0.1, 0.9, 2)
+
+
+def scores_of(wide, k):
+    centred = wide - wide.mean(axis=0)
+    left, values, loadings = np.linalg.svd(centred, full_matrices=False)
+    signs = np.sign(loadings[np.arange(k), np.abs(loadings[:k]).argmax(axis=1)])
+    return left[:, :k] * values[:k] * signs
+
+
+def got_scores(spark, wide, k):
+    got = dg.principal_components(long_cells(spark, wide), k).orderBy("sample_id").toPandas()
+    return got[[f"PC{i}" for i in range(1, k + 1)]].to_numpy()
+
+
+def long_cells(spark, wide):
+    cells = spark.createDataFrame([(f"s{i:05d}", row.tolist()) for i, row in enumerate(wide)], "sample_id string, v array<double>")
+    return cells.selectExpr("'P' AS project_id", "sample_id", "posexplode(v) AS (at, value)").selectExpr("project_id", "sample_id", "lpad(at, 6, '0') AS probe_id", "value")
+
+
+@pytest.mark.parametrize("samples,probes", [(120, 100), (60, 5000)])
+def test_components_of_a_flat_spectrum(spark, samples, probes):
+    wide = np.random.default_rng(probes).normal(size=(samples, probes))
+    np.testing.assert_allclose(got_scores(spark, wide, 5), scores_of(wide, 5), atol=1e-6)
+
+
+def test_components_beyond_the_rank_are_zero(spark):
+    rng = np.random.default_rng(9)
+    wide = rng.normal(size=(40, 2)) @ rng.normal(size=(2, 30)) + 5
+    got = got_scores(spark, wide, 4)
+    np.testing.assert_allclose(got[:, :2], scores_of(wide, 2), atol=1e-7)
+    assert (got[:, 2:] == 0).all()
+    assert (got_scores(spark, np.ones((5, 3)), 2) == 0).all()
+    assert (got_scores(spark, np.ones((1, 3)), 2) == 0).all()
+
+
+def test_components_need_all_cells_and_convergence(spark, matrix):
+    with pytest.raises(ValueError, match="missing"):
+        dg.principal_components(matrix([("P", "a", "1", 0.1), ("P", "b", "1", 0.2), ("P", "b", "2", 0.3)]), 1)
+    wide = np.random.default_rng(3).normal(size=(80, 90))
+    with pytest.raises(ArithmeticError, match="converged"):
+        dg.principal_components(long_cells(spark, wide), 3, most_steps=1)

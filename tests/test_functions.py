@@ -82,3 +82,69 @@ def test_batch_id_and_portion(rows):
 def test_clipped_keeps_null(rows):
     df = rows([(None,), (5.0,), (-5.0,), (0.5,)], "x double")
     assert [r[0] for r in df.select(C.clipped(F.col("x"), F.lit(-1.0), F.lit(1.0))).collect()] == [None, 1.0, -1.0, 0.5]
+
+
+def odd_values():
+    rng = np.random.default_rng(6)
+    return {
+        "infinite": np.concatenate([rng.normal(size=1000), [np.inf]]),
+        "both": np.concatenate([rng.normal(size=900), [np.inf] * 30, [-np.inf] * 40]),
+        "huge": np.concatenate([(rng.random(1000) * 2 - 1) * 1.7e308, [1e300, -1e300]]),
+        "two": np.repeat([1.0, 2.0], 600),
+        "spike": np.concatenate([np.full(2000, 0.5), rng.normal(size=20)]),
+        "steps": np.repeat(np.arange(40.0), 30),
+    }
+
+
+def plain_quantile(x, p):
+    x = sorted(x.tolist())
+    place = (len(x) - 1) * p
+    low, high, share = x[int(np.floor(place))], x[int(np.ceil(place))], place - np.floor(place)
+    return low if share == 0 or low == high else low * (1 - share) + high * share
+
+
+@pytest.mark.parametrize("limit", [0, 30])
+def test_quantiles_end_on_infinities_ties_and_huge_values(spark, limit):
+    groups = odd_values()
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x], "g string, x double")
+    got = {r.g: r for r in grouped_quantiles(df, ["g"], "x", PROBS, limit).collect()}
+    for g, x in groups.items():
+        want = [plain_quantile(x, p) for p in PROBS.values()]
+        assert list(got[g])[1:] == pytest.approx(want, rel=1e-12)
+        if limit and g in ("both", "huge", "two"):
+            whole = global_quantiles(df.where(F.col("g") == g), "x", list(PROBS.values()), limit)
+            assert whole == pytest.approx(want, rel=1e-12)
+
+
+def test_a_bracket_that_misses_is_made_wider(spark):
+    from betaloom.functions import quantiles
+
+    x = np.random.default_rng(1).normal(size=30_000)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "g": np.arange(len(x)) % 2}))
+    present = df.select("g", F.col("x").alias("_x"))
+    got = quantiles._narrowed(present, ["g"], {"m": 0.5, "h": 0.9}, 100, margin=1e-9).orderBy("g").collect()
+    for r in got:
+        assert (r.m, r.h) == pytest.approx(tuple(np.percentile(x[r.g :: 2], [50, 90])), rel=1e-12)
+
+
+def test_a_large_group_is_scanned_twice(spark):
+    from betaloom.functions import quantiles
+
+    present = spark.range(300_000).select(F.lit("a").alias("g"), F.hash("id").cast("double").alias("_x"))
+    calls = []
+    real = quantiles._placed
+    quantiles._placed = lambda *a: calls.append(1) or real(*a)
+    try:
+        quantiles._narrowed(present, ["g"], {"m": 0.5}, 20_000).collect()
+    finally:
+        quantiles._placed = real
+    assert len(calls) == 1, "one sketch, one tally"
+
+
+def test_dense_numbers_in_order(spark):
+    from betaloom.functions.running import numbered
+
+    ids = [f"{i * 7919 % 5000:05d}" for i in range(5000)]
+    got = numbered(spark.createDataFrame([(i,) for i in ids], "id string").repartition(7), ["id"], "n").collect()
+    assert {r.id: r.n for r in got} == {x: n for n, x in enumerate(sorted(ids))}
+    assert numbered(spark.createDataFrame([], "id string"), ["id"], "n").count() == 0

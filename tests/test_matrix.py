@@ -169,3 +169,101 @@ def test_options_from_nested_configuration():
     got = ProjectOptions.from_config(config)
     assert (got.sample_qc, got.remove_snp_associated, got.probe_missing_threshold, got.min_mean) == (False, False, 0.1, 0.05)
     assert got.impute and got.max_mean == 0.99
+
+
+def test_aligned_blocks_keep_every_place(matrix, rows):
+    rng = np.random.default_rng(4)
+    table = {(s, f"cg{j:02d}"): float(rng.random()) for s in "abc" for j in range(23) if not (s == "b" and j in (1, 9, 10))}
+    table["c", "cg05"] = None
+    cells = matrix([("P", s, p, v) for (s, p), v in table.items()])
+    samples = samples_of(rows, "a", "b", "c", "empty")
+    dictionary = mx.probe_dictionary(cells)
+    places = {r.probe_id: r["index"] for r in dictionary.collect()}
+    assert places == {f"cg{j:02d}": j for j in range(23)}
+    blocks = mx.pack_blocks(cells, samples, dictionary, 10)
+    assert set(blocks.columns) == {"project_id", "sample_id", "block", "vector", "present"}
+    found = {(r.sample_id, r.block): r for r in blocks.collect()}
+    assert set(found) == {(s, b) for s in ("a", "b", "c", "empty") for b in range(3)}
+    for (s, b), row in found.items():
+        assert len(row.vector) == (10, 10, 3)[b]
+        bits = np.unpackbits(np.frombuffer(row.present, np.uint8))[: len(row.vector)]
+        for i, (value, bit) in enumerate(zip(row.vector, bits, strict=True)):
+            want = table.get((s, f"cg{b * 10 + i:02d}"))
+            assert bit == (want is not None) and value == pytest.approx(want or 0.0, abs=1e-7)
+    back = {(r.sample_id, r.probe_id): r.value for r in mx.unpack_blocks(blocks, dictionary, 10).collect()}
+    assert back == {k: pytest.approx(v, abs=1e-7) for k, v in table.items() if v is not None}
+    nothing = matrix([])
+    assert mx.pack_blocks(nothing, samples, mx.probe_dictionary(nothing), 10).count() == 0
+
+
+def test_states_of_batches_merge_to_a_full_recount(spark, matrix, rows, tmp_path):
+    from betaloom.operators import states
+
+    rng = np.random.default_rng(7)
+    every = [("PQ"[i % 2], f"s{i}", f"cg{j}", None if rng.random() < 0.2 else float(1e6 + rng.normal())) for i in range(20) for j in range(6)]
+    every += [("P", "s99", "cg0", None), ("P", "s98", "cgx", None)]
+    cuts = [every[:7], every[7:60], every[60:]]
+    path = str(tmp_path / "states")
+    for number, cells in enumerate(cuts):
+        states.add_states(matrix(cells), path, f"b{number}")
+        states.add_states(matrix(cells), path, f"b{number}")
+    whole = matrix(every)
+    for kind, keys in (("samples", qc.SAMPLE), ("probes", qc.PROBE)):
+        got = {tuple(r[k] for k in keys): r for r in states.read_states(spark, path, kind).collect()}
+        want = {tuple(r[k] for k in keys): r for r in states.state(whole, keys).collect()}
+        assert got.keys() == want.keys()
+        for k, r in want.items():
+            assert (got[k].n_cells, got[k].n_present) == (r.n_cells, r.n_present)
+            assert got[k].mean == (None if r.mean is None else pytest.approx(r.mean, rel=1e-12))
+            assert got[k].squares == (None if r.squares is None else pytest.approx(r.squares, rel=1e-6, abs=1e-8))
+    counts = qc.probe_counts(whole)
+    by_sample = states.sample_stats(states.read_states(spark, path, "samples"), counts)
+    plain = {r.sample_id: r for r in qc.sample_stats(whole, counts).collect()}
+    assert {r.sample_id: (r.n_present, r.missing_rate) for r in by_sample.collect()} == {s: (r.n_present, r.missing_rate) for s, r in plain.items()}
+    probes = states.probe_stats(states.read_states(spark, path, "probes", ["Q"]), qc.sample_counts(whole))
+    want = {r.probe_id: r for r in qc.probe_stats(whole, qc.sample_counts(whole)).where("project_id = 'Q'").collect()}
+    for r in probes.collect():
+        assert r.variance == pytest.approx(want[r.probe_id].variance, rel=1e-6)
+    # a new batch is added without a look at old cells
+    for part in (tmp_path / "states").rglob("*.parquet"):
+        part.write_bytes(b"not readable")
+    states.add_states(matrix(every[:3]), path, "b9")
+
+
+def exchanges_above_matrix(df):
+    """Shuffles between the matrix's scan and the top of the plan."""
+    found, stack = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-"))
+        while stack and stack[-1][0] >= depth:
+            stack.pop()
+        stack.append((depth, line))
+        if "by_probe_" in line and "Scan" in line:
+            found = [text for _, text in stack if "Exchange" in text and "Broadcast" not in text]
+    return found
+
+
+def test_probe_work_on_the_matrix_by_probe_moves_no_cell(spark, matrix, rows):
+    from betaloom.sources.layout import buckets_for, by_probe
+
+    cells = matrix([("P", f"s{i}", f"cg{j}", 0.1 * i + 0.01 * j) for i in range(9) for j in range(30)])
+    stored = by_probe(cells, buckets=6)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, cells.collect()))
+    samples = samples_of(rows, *[f"s{i}" for i in range(9)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_probe = stored.groupBy("project_id", "probe_id").agg(F.avg("value"))
+        kept = stored.join(rows([(f"cg{j}",) for j in range(20)], "probe_id string"), "probe_id", "left_semi")
+        scaled = stored.join(stored.groupBy("probe_id").agg(F.avg("value").alias("m")), "probe_id")
+        for df in (per_probe, kept, scaled):
+            assert exchanges_above_matrix(df) == []
+        assert exchanges_above_matrix(stored.groupBy("sample_id").count()) != []
+        assert kept.count() == 180 and scaled.count() == 270
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    want = {(r.project_id, r.probe_id): r.variance for r in qc.probe_stats(cells, qc.sample_counts(samples)).collect()}
+    assert {(r.project_id, r.probe_id): pytest.approx(r.variance) for r in qc.probe_stats(stored, qc.sample_counts(samples)).collect()} == want
+    assert (buckets_for(1), buckets_for(10**9), buckets_for(5, 8)) == (1, 50, 8)

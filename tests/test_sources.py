@@ -7,6 +7,7 @@ from betaloom.operators.matrix import dataset_row
 from betaloom.settings import PLATFORMS
 from betaloom.sources import annotation as an
 from betaloom.sources import beta as bt
+from betaloom.sources import ledger
 from betaloom.sources import control as files
 from betaloom.sources.matrix import load_datasets, save_dataset
 from betaloom.streaming.ingest import ingest_available, read_raw_stream
@@ -41,7 +42,9 @@ def cells(df):
 def test_clean_data_takes_pending_files_once(spark, rows, raw_dir, tmp_path):
     store = str(tmp_path / "store")
     audit = bt.clean_data(spark, str(raw_dir), audit_of(rows), store, "P")
-    assert {r.file_id: r.parquet_path for r in audit.collect()} == {"f-1": f"{store}/project_id=P", "f-2": f"{store}/project_id=P", "f-3": None}
+    (batch,) = ledger.published(spark, store)
+    folder = f"{store}/data/batch={batch}/project_id=P"
+    assert {r.file_id: r.parquet_path for r in audit.collect()} == {"f-1": folder, "f-2": folder, "f-3": None}
     want = {("f-1", "cg1"): 0.5, ("f-1", "cg2"): None, ("f-2", "cg1"): None, ("f-2", "cg3"): 0.01}
     assert cells(bt.read_store(spark, store)) == want
     bt.clean_data(spark, str(raw_dir), audit.cache(), store, "P")
@@ -67,6 +70,50 @@ def test_stream_ingests_each_file_once(spark, raw_dir, tmp_path):
     assert cells(got)[("f-4", "cg9")] == 0.1 and cells(got)[("f-2", "cg1")] is None
 
 
+BETA = "project_id string, file_id string, probe_id string, beta_value double"
+
+
+def test_a_batch_is_there_once_published(spark, rows, tmp_path):
+    store = str(tmp_path / "store")
+    assert bt.read_store(spark, store).count() == 0 and bt.stored_files(spark, store).count() == 0
+    first = rows([("P", "f-1", "cg1", 0.5), ("P", "f-1", "cg2", None), ("7", "f-2", "cg1", 0.1)], BETA)
+    bt.add_files(first, store, "one")
+    bt.add_files(first, store, "one")
+    bt.add_files(first, store, "two")
+    assert ledger.published(spark, store) == ["one"], "neither the same batch nor the same files again"
+    # a batch cut off before and one cut off after its log entry was written
+    ledger.write_batch(rows([("P", "f-3", "cg1", 0.3)], BETA), store, "half")
+    ledger.write_batch(rows([("P", "f-4", "cg1", 0.4)], BETA), store, "late")
+    (tmp_path / "store" / "log" / "_writing-late" / "project_id=P").mkdir(parents=True)
+    assert bt.read_store(spark, store).count() == 3
+    assert {r.file_id for r in bt.stored_files(spark, store).collect()} == {"f-1", "f-2"}
+    bt.add_files(rows([("P", "f-1", "cg1", 0.5), ("P", "f-3", "cg1", 0.3), ("P", "f-3", "cg2", 0.2)], BETA), store, "half")
+    assert cells(bt.read_store(spark, store, ["P"])) == {("f-1", "cg1"): 0.5, ("f-1", "cg2"): None, ("f-3", "cg1"): 0.3, ("f-3", "cg2"): 0.2}
+    assert {(r.project_id, r.file_id, r.n_rows) for r in ledger.logged_files(spark, store).collect()} == {("P", "f-1", 2), ("7", "f-2", 1), ("P", "f-3", 2)}
+    with pytest.raises(FileExistsError):
+        ledger.publish(spark, store, "half", schemas.BETA)
+    with open(tmp_path / "ledger.txt", "w") as plan:
+        plan.write(bt.stored_files(spark, store, ["7"])._jdf.queryExecution().executedPlan().toString())
+    text = (tmp_path / "ledger.txt").read_text()
+    assert "/data" not in text and "PartitionFilters: [isnotnull(project_id" in text
+
+
+def test_adding_files_never_reads_stored_rows(spark, rows, tmp_path):
+    store = str(tmp_path / "store")
+    bt.add_files(rows([("P", "f-1", "cg1", 0.5)], BETA), store)
+    for part in (tmp_path / "store" / "data").rglob("*.parquet"):
+        part.write_bytes(b"not readable")
+    bt.add_files(rows([("P", "f-1", "cg1", 0.5), ("P", "f-2", "cg1", 0.5)], BETA), store)
+    assert sorted(r.file_id for r in bt.stored_files(spark, store).collect()) == ["f-1", "f-2"]
+
+
+def test_raw_folders_by_pattern_and_odd_ids(spark, tmp_path):
+    for root, file_id in (("raw1", "a=b"), ("raw2", "file_id=x"), ("raw2", "plain")):
+        write_raw(tmp_path / root, file_id, "t.txt", [("cg1", "0.5")])
+    assert {r.file_id for r in bt.read_raw(spark, str(tmp_path / "raw*")).collect()} == {"a=b", "x", "plain"}
+    assert {r.file_id for r in bt.read_raw(spark, str(tmp_path / "raw1/")).collect()} == {"a=b"}
+
+
 def test_annotation_partitions_and_refusals(spark, rows, tmp_path):
     path = str(tmp_path / "anno")
     data = [(g, p, f"cg-{g}-{p}") for g in ("GRCh37", "GRCh38") for p in PLATFORMS]
