@@ -23,10 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches
+from betaloom.llm.tokens import CODES, SpanHash, code_points, mix64, text_batches
 
 BLANK = 0x2581
-HIDDEN = 0x10FFFF  # stands for a blank sign in the text; in no piece
+HIDDEN = CODES  # stands for a blank sign in the text; beyond all characters, so in no piece
 ALPHA = 1.0
 SHARE_BITS = 40
 STORE_EDGES = 12_000_000  # a worker keeps so many edges of lattices it has built, 20 bytes each with their nodes
@@ -164,8 +164,7 @@ class Sampler:
         self.start, self.piece = np.empty(room, np.int32), np.empty(room, np.int32)
 
     def hashed(self, codes: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mix64((self.sums[starts + n] - self.sums[starts]) * self.hash.down[starts])
+        return self.hash.between(self.sums, starts, starts + n)
 
     def encode(self, texts: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Pieces of all texts in a row and the bounds of each text; ``keys`` are 64-bit, one a text."""
@@ -182,10 +181,8 @@ class Sampler:
         new[bounds[:-1][lengths > 0]] = True
         starts = np.flatnonzero(new)
         ends = np.append(starts[1:], len(codes))
-        hashes = self.hash(codes, starts, ends)
-        with np.errstate(over="ignore"):
-            self.sums = np.zeros(len(codes) + 1, np.uint64)
-            np.cumsum(self.hash.letters[codes] * self.hash.up[: len(codes)], out=self.sums[1:])
+        self.sums = self.hash.sums(codes)
+        hashes = self.hash.between(self.sums, starts, ends)
         distinct, example, chunk = np.unique(hashes, return_index=True, return_inverse=True)
         base = self.remembered(codes, starts[example], ends[example], distinct)[chunk]
         text = np.searchsorted(bounds, starts, side="right") - 1

@@ -106,7 +106,7 @@ def blocks(spark: SparkSession, path: str, end_id: int = END_ID, size: int = BLO
                 for number, low in enumerate(range(0, len(content), step)):
                     yield block(name, number, content[low : low + step])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
     any_file = files.select("path").first()
     if any_file and not ranged(any_file["path"]):
         return files.select("path", "content").mapInPandas(read_whole, BLOCKS)

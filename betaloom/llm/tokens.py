@@ -61,30 +61,48 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class SpanHash:
-    """64-bit polynomial hashes of many spans of one code-point array."""
+    """Hashes of many spans of one code-point array: polynomials modulo two primes (62 bits), mixed with the span's length."""
 
-    BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+    PRIMES = (2**31 - 1, 2**31 - 19)
+    BASES = (1_103_515_245, 1_812_433_253)
 
     def __init__(self):
-        self.letters = mix64(np.arange(1, CODES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.up) > n:
-            return
-        size = max(n + 1, 1 << 20)
+        codes = np.arange(1, CODES + 2, dtype=np.uint64)
+        seeds = (0xD1342543DE82EF95, 0xA0761D6478BD642F)
+        with np.errstate(over="ignore"):
+            self.letters = [mix64(codes * np.uint64(seed)) % np.uint64(p - 1) + np.uint64(1) for seed, p in zip(seeds, self.PRIMES, strict=True)]
+        self.powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in self.PRIMES]
+
+    @staticmethod
+    def _grown(table: np.ndarray, base: int, prime: int, size: int) -> np.ndarray:
+        """Powers of the base, doubled until there are ``size``."""
+        while len(table) < size:
+            table = np.concatenate([table, table * np.uint64(pow(base, len(table), prime)) % np.uint64(prime)])
+        return table
+
+    def sums(self, codes: np.ndarray) -> list[np.ndarray]:
+        """Running sums that ``between`` reads spans from. A sum of up to 2**32 letters doesn't overflow."""
+        size = max(len(codes) + 1, 1 << 16)
+        out = []
+        for i, (base, prime) in enumerate(zip(self.BASES, self.PRIMES, strict=True)):
+            if len(self.powers[i][0]) < size:
+                up, down = self.powers[i]
+                self.powers[i] = self._grown(up, base, prime, size), self._grown(down, pow(base, -1, prime), prime, size)
+            total = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(self.letters[i][codes] * self.powers[i][0][: len(codes)] % np.uint64(prime), out=total[1:])
+            out.append(total)
+        return out
+
+    def between(self, sums: list[np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        first, second = (
+            (total[ends] - total[starts]) % np.uint64(prime) * down[starts] % np.uint64(prime)
+            for total, prime, (_, down) in zip(sums, self.PRIMES, self.powers, strict=True)
+        )
         with np.errstate(over="ignore"):
-            step = np.full(size, self.BASE, np.uint64)
-            back = np.full(size, pow(self.BASE, -1, 1 << 64), np.uint64)
-            step[0] = back[0] = 1
-            self.up, self.down = np.cumprod(step), np.cumprod(back)
+            return mix64(mix64(first | second << np.uint64(31)) + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
     def __call__(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(codes))
-        with np.errstate(over="ignore"):
-            sums = np.zeros(len(codes) + 1, np.uint64)
-            np.cumsum(self.letters[codes] * self.up[: len(codes)], out=sums[1:])
-            return mix64((sums[ends] - sums[starts]) * self.down[starts])
+        return self.between(self.sums(codes), starts, ends)
 
 
 def byte_letters() -> dict[str, int]:
