@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.llm.spans import quoted
 from betaloom.llm.tokens import CODES, code_points, release_memory, text_batches, tidy
 from betaloom.tables import materialize
 
@@ -253,8 +254,11 @@ def predictions(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"lang_pred": labels, "score": np.concatenate([*scores, np.zeros(0)])})
             release_memory()
 
-    out = docs.select(*names, predict("text").alias("__predicted"))
-    return out.select(*names, F.col("__predicted.lang_pred").alias("lang_pred"), F.col("__predicted.score").alias("score"))
+    # a filter on what was predicted must not make a second prediction below it
+    found = predict.asNondeterministic()("text").alias("found")
+    kept = F.struct(F.lit(0).alias("none"), *[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(names)]).alias("rest")
+    out = docs.select(kept, found)
+    return out.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(names)], F.col("found.lang_pred").alias("lang_pred"), F.col("found.score").alias("score"))
 
 
 def identify(docs: DataFrame, per_label: int = PER_LABEL) -> DataFrame:

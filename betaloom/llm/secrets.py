@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from betaloom.llm.tokens import tidy
+from betaloom.llm.spans import packed, unpacked, without_spans
 from betaloom.tables import checkpoint_root
 
 # The three base kinds in order (pattern, group, least length of the group).
@@ -134,18 +135,6 @@ def redacted(docs: DataFrame, ledger: str | None = None, rules=RULES, mark: str
     Null texts stay null.
     """
     found = scan(docs, ledger, rules).where(F.size("spans") > 0).select("blob", "spans").dropDuplicates(["blob"])
-    found = found.select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    source = docs.select("*")
-    joined = source.join(found, F.sha2(source["text"], 256) == found["__blob"], "left")
-    text, spans = F.col("text"), F.col("__spans")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("upto"))
-
-    def take(state, span):
-        inside = span["start"] < state["upto"]
-        kept = F.substring(text, state["upto"] + 1, span["start"] - state["upto"])
-        out = F.when(inside, state["out"]).otherwise(F.concat(state["out"], kept, F.lit(mark)))
-        return F.struct(out.alias("out"), F.greatest(state["upto"], span["end"]).alias("upto"))
-
-    clean = F.aggregate(spans, start, take, lambda s: F.concat(s["out"], F.substring(text, s["upto"] + 1, F.char_length(text))))
-    clean = F.when(spans.isNull(), text).otherwise(clean)
-    return joined.select(*[clean.alias(c) if c == "text" else source[c] for c in docs.columns])
+    rows, names = packed(docs)
+    joined = rows.join(found, F.sha2(rows["text"], 256) == found["blob"], "left")
+    return unpacked(joined, names, without_spans(F.col("text"), F.col("spans"), mark))
