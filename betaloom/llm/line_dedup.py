@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from betaloom.llm.spans import packed, unpacked, without_spans
 from betaloom.llm.tokens import tidy
 from betaloom.tables import materialize
 
@@ -38,7 +39,7 @@ RUNS_TOGETHER = 50_000
 
 # Where a sentence or line ends, with the white space after it.
 UNIT_END = re.compile(r"[.!?\u2026][\"'\u201d\u2019)\]]*\s+|\n\s*")
-RUNS = "row long, doc_id string, pos int, stop int, long long, short long"
+RUNS = "row long, place long, long long, short long"
 
 
 def _lines(text: Column) -> Column:
@@ -85,20 +86,15 @@ def covered(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 
 def deduplicated(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """All rows and columns of ``docs`` with later repeats taken out of ``text``."""
-    names = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    source = materialize(docs.select(*[docs[c] for c in names], F.monotonically_increasing_id().alias("__row")), "keyed")
-    owner = F.struct(F.xxhash64("text").alias("hash"), F.col("__row").alias("row"))
-    held = source.select(owner.alias("owner"), "doc_id", "text")
-    gone = covered(held, width).select(F.col("owner.row").alias("__owner"), F.col("gone").alias("__gone"))
-    joined = source.join(gone, F.col("__row") == F.col("__owner"), "left")
-    kept = F.filter(_lines(F.col("text")), lambda x, i: ~F.array_contains("__gone", i))
-    text = F.when(F.col("__gone").isNotNull(), F.array_join(kept, LINE_BREAK)).otherwise(F.col("text"))
+    rows, names = packed(docs, ("n_lines", "n_removed"))
+    source = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "keyed")
+    owner = F.struct(F.xxhash64("text").alias("hash"), F.col("row").alias("row"))
+    gone = covered(source.select(owner.alias("owner"), "doc_id", "text"), width).select(F.col("owner.row").alias("row"), "gone")
+    joined = source.join(gone, "row", "left")
+    kept = F.filter(_lines(F.col("text")), lambda x, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNotNull(), F.array_join(kept, LINE_BREAK)).otherwise(F.col("text"))
     n_lines = F.coalesce(F.size(F.filter(_lines(F.col("text")), _is_line)), F.lit(0))
-    return joined.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in names],
-        F.greatest(n_lines, F.lit(0)).alias("n_lines"),
-        F.coalesce(F.size("__gone"), F.lit(0)).alias("n_removed"),
-    )
+    return unpacked(joined, names, text, n_lines=F.greatest(n_lines, F.lit(0)), n_removed=F.coalesce(F.size("gone"), F.lit(0)))
 
 
 def runs_of(text: str, words: int = PASSAGE_WORDS) -> Iterator[tuple[int, int, str]]:
@@ -116,50 +112,48 @@ def runs_of(text: str, words: int = PASSAGE_WORDS) -> Iterator[tuple[int, int, s
 
 
 def runs(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
-    """One row per run of (row, doc_id, text): row, doc_id, pos and stop (characters), long and short (hashes)."""
+    """One row per run of (row, text): row, place (start and stop in characters, in one number), long and short (hashes)."""
 
     def table(held: list) -> pd.DataFrame:
-        return pd.DataFrame(held, columns=["row", "doc_id", "pos", "stop", "long", "short"])
+        return pd.DataFrame(held, columns=["row", "place", "long", "short"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for row, doc, text in zip(frame["row"].tolist(), frame["doc_id"].tolist(), frame["text"], strict=True):
+            for row, text in zip(frame["row"].tolist(), frame["text"], strict=True):
                 for a, b, content in runs_of(text if isinstance(text, str) else "", words):
                     digest = hashlib.blake2b(content.encode("utf-8", "surrogatepass"), digest_size=16).digest()
                     long, short = (int.from_bytes(x, "little", signed=True) for x in (digest[:8], digest[8:]))
-                    out.append((row, doc, a, b, long, short))
+                    out.append((row, a << 32 | b, long, short))
                 if len(out) >= RUNS_TOGETHER:
                     yield table(out)
                     out = []
             yield table(out)
 
-    # ids go as strings: pandas would make a column with nulls a float
-    found = docs.select("row", F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(tidy(run), RUNS)
-    return found.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return docs.select("row", "text").mapInPandas(tidy(run), RUNS)
 
 
 def without_passages(docs: DataFrame, words: int = PASSAGE_WORDS) -> DataFrame:
-    """All rows and columns of ``docs`` with later repeats of passages cut out of ``text``; ``n_cut`` counts the runs covered."""
-    names = [c for c in docs.columns if c != "n_cut"]
-    source = materialize(docs.select(*[docs[c] for c in names], F.monotonically_increasing_id().alias("__row")), "keyed")
-    seen = runs(source.select(F.col("__row").alias("row"), "doc_id", "text"), words)
-    repeated = seen.groupBy("long", "short").count().where("count > 1").select("long", "short")
-    repeats = materialize(seen.join(repeated, ["long", "short"]), "passages")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("row"), F.col("pos"))
-    firsts = repeats.groupBy("long", "short").agg(F.min(F.struct(*[place[c].alias(c) for c in ("last", "doc_id", "row", "pos")], F.col("stop"))).alias("first"))
+    """All rows and columns of ``docs`` with later repeats of passages cut out of ``text``; ``n_cut`` counts the runs covered.
+
+    Runs travel as four numbers. Half their hash finds those that may be repeats, the whole hash decides, and ids are joined to
+    the repeats only.
+    """
+    rows, names = packed(docs, ("n_cut",))
+    source = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "keyed")
+    seen = runs(source, words)
+    likely = seen.groupBy("long").agg(F.count("*").alias("n")).where("n > 1").select("long")
+    repeats = seen.join(likely, "long", "left_semi").select(
+        "row", F.shiftright("place", 32).cast("int").alias("pos"), F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("stop"), "long", "short"
+    )
+    repeats = materialize(repeats, "passages")
+    owners = repeats.select("row").distinct()
+    repeats = materialize(repeats.join(source.select("row", "doc_id").join(owners, "row", "left_semi"), "row"), "owned-passages")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "pos", "stop")
+    firsts = repeats.groupBy("long", "short").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = repeats.join(firsts, ["long", "short"]).where((F.col("row") != F.col("first.row")) | (F.col("pos") != F.col("first.pos")))
     start = F.when(F.col("row") == F.col("first.row"), F.greatest("pos", F.col("first.stop"))).otherwise(F.col("pos"))
     spans = later.select("row", F.struct(start.alias("start"), F.col("stop").alias("end")).alias("s")).where("s.start < s.end")
-    gone = spans.groupBy(F.col("row").alias("__own")).agg(F.array_sort(F.collect_set("s")).alias("__gone"))
-    text = F.col("text")
-
-    def cut(state: Column, span: Column) -> Column:
-        kept = F.substring(text, state["upto"] + 1, F.greatest(span["start"] - state["upto"], F.lit(0)))
-        return F.struct(F.concat(state["out"], kept).alias("out"), F.greatest(state["upto"], span["end"]).alias("upto"))
-
-    begin = F.struct(F.lit("").alias("out"), F.lit(0).alias("upto"))
-    left = F.aggregate("__gone", begin, cut, lambda s: F.concat(s["out"], F.substring(text, s["upto"] + 1, F.char_length(text))))
-    left = F.when(F.col("__gone").isNull(), text).otherwise(left)
-    joined = source.join(gone, F.col("__row") == F.col("__own"), "left")
-    return joined.select(*[left.alias(c) if c == "text" else F.col(c) for c in names], F.coalesce(F.size("__gone"), F.lit(0)).alias("n_cut"))
+    gone = spans.groupBy("row").agg(F.array_sort(F.collect_set("s")).alias("gone"))
+    joined = source.join(gone, "row", "left")
+    return unpacked(joined, names, without_spans(F.col("text"), F.col("gone")), n_cut=F.coalesce(F.size("gone"), F.lit(0)))
