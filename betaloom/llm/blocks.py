@@ -3,6 +3,11 @@
 A group is cut into blocks of bounded size by a hash of the member; each pair of blocks is one unit of
 work, so a group that holds a third of all rows becomes many units. A unit compares its members with
 matrix products and gives back a spanning forest, at most one edge per member, never its pairs.
+
+Where only components are wanted, pairs inside a component need no look. ``edges_within`` first compares a large group's
+blocks inside themselves and with a few pivots common to all blocks, which takes a row per member and joins near copies
+into one component. Members left outside it are compared with more pivots of that component while that helps; in the end
+only they are paired in blocks, with each other and with the component. No pair of different components goes without its comparison.
 """
 
 from __future__ import annotations
@@ -12,12 +17,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.llm.tokens import tidy
 from betaloom.tables import materialize
 
 BLOCK = 512
+PIVOTS = 32
+MORE_PIVOTS = 256
+ROUNDS = 3
 COLUMNS_AT_ONCE = 4096
 
 EDGES = "a binary, b binary"
@@ -61,6 +70,79 @@ def by_unit(
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(tidy(run), schema)
 
 
+def _block_of(count: Column, seed: int, block: int) -> Column:
+    return F.pmod(F.xxhash64("class", F.lit(seed)), F.ceil(count / F.lit(block)).cast("int")).cast("int")
+
+
+def _pivots(rows: DataFrame, key: str, many: int, seed: int) -> DataFrame:
+    """``many`` members of each group, by hash."""
+    order = W.partitionBy(key).orderBy(F.xxhash64("class", F.lit(seed)), "class")
+    return rows.select(key, "class").withColumn("place", F.row_number().over(order)).where(F.col("place") <= many).drop("place")
+
+
+def _with_pivots(members: DataFrame, pivots: DataFrame, rows: DataFrame, key: str, count: str, seed: int) -> DataFrame:
+    """Members (key, class, ``count`` per group) in blocks, and every pivot of a group in each of its blocks."""
+    held = BLOCK // 2
+    blocks = F.ceil(F.col(count) / F.lit(held)).cast("int")
+    own = members.select(key, "class", _block_of(F.col(count), seed, held).alias("unit"))
+    wide = members.groupBy(key).agg(F.max(blocks).alias("blocks"))
+    common = pivots.join(wide, key).select(key, "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("unit"))
+    return own.unionByName(common).join(rows, [key, "class"])
+
+
+def edges_within(
+    rows_where: Callable[[Column], DataFrame], key: str, size: str, payload: list[str], work: Callable[[pd.DataFrame], pd.DataFrame | None], largest: int
+) -> DataFrame:
+    """Edges (a, b) that connect what ``work`` links inside the groups of ``key``: same components as all links.
+
+    ``rows_where`` gives the rows (``key``, ``class``, ``size`` of the group, payload) that meet a condition on ``size``; ``largest`` is the
+    largest size.
+    """
+    small = by_unit(rows_where(F.col(size) <= BLOCK).select(key, "class", *payload), [key], work, EDGES)
+    if largest <= BLOCK:
+        return small
+    found = materialize(small, "links")
+    rows = materialize(rows_where(F.col(size) > BLOCK).select(key, "class", size, *payload), "large-groups")
+    data = rows.drop(size)
+    members = rows.select(key, "class", F.col(size).alias("left"))
+    pivots = _pivots(members, key, PIVOTS, 21)
+    before = None
+    for step in range(ROUNDS):
+        units = _with_pivots(members, pivots, data, key, "left", 31 + step)
+        found = materialize(found.unionByName(by_unit(units.select(key, "unit", "class", *payload), [key, "unit"], work, EDGES)), "links")
+        roots = materialize(components(found), "roots")
+        named = data.select(key, "class").join(roots, F.col("class") == F.col("node"), "left").select(key, "class", F.coalesce("root", "class").alias("root"))
+        named = materialize(named, "named-members")
+        counts = named.groupBy(key, "root").agg(F.count("*").alias("n"))
+        main = counts.groupBy(key).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("joined"), F.sum("n").alias("all"))
+        main = materialize(main.withColumn("left", F.col("all") - F.col("joined")), "main-components")
+        placed = named.join(main, key)
+        outside = placed.where("root <> main").select(key, "class", "left")
+        total, widest = main.agg(F.sum("left"), F.max(F.when(F.col("joined") > F.col("left"), F.col("left")))).first()
+        if not total:
+            return found
+        if not widest or widest <= BLOCK or (before is not None and total > 0.8 * before):
+            break
+        before = total
+        members, pivots = outside, _pivots(placed.where("root = main"), key, MORE_PIVOTS, 41 + step)
+
+    # what is left: members outside the main component, with each other and with it
+    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
+    sides = placed.where("left > 0").select(
+        key, "class", (F.col("root") != F.col("main")).alias("out"), blocks("left").alias("i_many"), blocks("joined").alias("j_many"),
+        _block_of(F.when(F.col("root") != F.col("main"), F.col("left")).otherwise(F.col("joined")), 51, BLOCK).alias("own"),
+    )
+    others = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    unit = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("own")
+    among = F.transform(others("i_many"), lambda o: unit("out", F.least(own, o), F.greatest(own, o)))
+    against = F.transform(others("j_many"), lambda o: unit("main", own, o))
+    joined = F.transform(others("i_many"), lambda o: unit("main", o, own))
+    dealt = sides.select(key, "class", F.inline(F.when(F.col("out"), F.concat(among, against)).otherwise(joined))).join(data, [key, "class"])
+    last = by_unit(dealt.select(key, "kind", "i", "j", "class", *payload), [key, "kind", "i", "j"], work, EDGES)
+    return found.unionByName(last)
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections of sets of integers, by products of 0/1 matrices in bounded slices."""
     n = len(sets)

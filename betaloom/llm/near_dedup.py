@@ -6,7 +6,8 @@ lists of its rarest retained values: two documents as alike as asked share c of
 with a chance of 1e-8, so they meet on a list among the first k - c + 1 values by frequency, and
 passages that many documents share are not listed. Members of a list are compared by the size of
 their sketches' overlap against the sketch of the union; what passes joins a cluster. Clusters are
-tight, each member's full set is sent to its cluster once, and exact Jaccard similarity decides.
+tight, each member's full set is sent to its cluster, and exact Jaccard similarity decides. Long lists and large clusters
+are linked through pivots first (``blocks.edges_within``), so that near copies cost a few rows each.
 
 Words are runs of anything but ASCII white space, after A-Z are lower-cased. A text with fewer words
 than a shingle is one shingle. Null texts, empty ones and those without words have no shingle and are linked with
@@ -23,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.llm.blocks import EDGES, by_unit, components, forest, in_blocks, overlaps
+from betaloom.llm.blocks import components, edges_within, forest, overlaps
 from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches, tidy
 from betaloom.tables import materialize
 
@@ -138,12 +139,16 @@ def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100),
         near = np.minimum(n[:, None], n) * whole >= part * np.maximum(n[:, None], n)
         return _edges(frame, near & (own > 0) & (own * k >= c * union))
 
-    units = in_blocks(lists.join(distinct_lists(lists), "value"), F.col("n"), F.col("class"))
-    units = units.join(classes.select("class", "n_shingles", "sketch"), "class")
-    clusters = components(by_unit(units.select("value", "i", "j", "class", "n_shingles", "sketch"), ["value", "i", "j"], alike, EDGES))
+    chosen = materialize(distinct_lists(lists), "list-sizes")
+
+    def on_lists(wanted: Column) -> DataFrame:
+        return lists.join(chosen.where(wanted), "value").join(classes.select("class", "n_shingles", "sketch"), "class")
+
+    longest = chosen.agg(F.max("n")).first()[0] or 0
+    clusters = components(edges_within(on_lists, "value", "n", ["n_shingles", "sketch"], alike, longest))
     clusters = materialize(clusters, "clusters")
 
-    sizes = clusters.groupBy("root").agg(F.count("*").alias("many"))
+    sizes = materialize(clusters.groupBy("root").agg(F.count("*").alias("many")), "cluster-sizes")
     members = clusters.join(sizes, "root").select(F.col("node").alias("class"), F.col("root").alias("cluster"), "many")
     members = members.join(classes.select("class", "first_id"), "class")
 
@@ -163,8 +168,11 @@ def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100),
         own, n = overlaps(sets), np.array([len(s) for s in sets])
         return _edges(frame, (own > 0) & (own * whole >= part * (n[:, None] + n - own)))
 
-    units = in_blocks(texts.mapInPandas(tidy(full), SETS), F.col("many"), F.col("class"))
-    found = components(by_unit(units.select("cluster", "i", "j", "class", "shingles"), ["cluster", "i", "j"], same, EDGES))
+    def in_clusters(wanted: Column) -> DataFrame:
+        return texts.where(wanted).mapInPandas(tidy(full), SETS)
+
+    widest = sizes.agg(F.max("many")).first()[0] or 0
+    found = components(edges_within(in_clusters, "cluster", "many", ["shingles"], same, widest))
 
     named = classes.join(found, classes["class"] == found["node"], "left")
     named = named.select("class", F.coalesce("root", "class").alias("root"), "first_id")
