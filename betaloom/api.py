@@ -11,6 +11,7 @@ from betaloom.functions.columns import case_project_id as extract_project_id
 from betaloom.functions.columns import case_sample_type as extract_sample_type
 from betaloom.functions.columns import case_submitter_id as extract_submitter_id
 from betaloom.functions.columns import first_file_name as extract_file_name
+from betaloom.operators.attempts import audit_of_attempts, fold_attempts, next_attempts, still_pending
 from betaloom.operators.cohort import cohort_aggregation, gene_aggregation, mad_scores, top_probes
 from betaloom.operators.combat import batch_correction
 from betaloom.operators.control import (
@@ -34,8 +35,11 @@ from betaloom.operators.diagnostics import (
     standardize,
 )
 from betaloom.operators.intervals import island_context, liftover, liftover_annotation
+from betaloom.operators.matrix import pack_blocks, probe_dictionary, unpack_blocks
 from betaloom.operators.preprocess import convert_to_mval, filter_variance, impute
 from betaloom.operators.quality import iqr_bounds
+from betaloom.operators.regions import region_flags, region_hits, with_regions
+from betaloom.operators.states import add_states, read_states
 from betaloom.plans.batch_report import explain_batch
 from betaloom.plans.cohort import (
     aggregate_cohort,
@@ -48,8 +52,10 @@ from betaloom.plans.cohort import (
 )
 from betaloom.plans.intake import load_raw_project, register_files, verified_manifest
 from betaloom.plans.project import prepare_dataset, preprocess, probe_qc, quality_control, sample_qc
+from betaloom.plans.workflow import ProjectInputs, prepare_project
 from betaloom.sources.annotation import csvs_to_parquet, load_annotation
-from betaloom.sources.beta import clean_data, load_sample
+from betaloom.sources.beta import clean_data, load_sample, raw_files
+from betaloom.sources.chain import read_chain
 from betaloom.sources.control import (
     load_audit_table,
     load_manifest,
@@ -60,6 +66,7 @@ from betaloom.sources.control import (
     save_metadata,
     save_status_log,
 )
+from betaloom.sources.layout import by_probe
 from betaloom.sources.matrix import load_datasets, load_processed_project, save_cohort, save_project, save_split
 
 __all__ = [name for name in dir() if not name.startswith("_")]
