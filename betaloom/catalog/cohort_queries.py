@@ -51,9 +51,14 @@ def cohort_metadata(fx: Fixtures) -> DataFrame:
 
 
 @query("F3", """
-SELECT unnest(['reference_genome', 'data_type', 'conversion']) AS field, unnest([CAST(1 AS BIGINT), 1, 1]) AS distinct_values FROM (SELECT count(*) FROM fx_projects)""")
+SELECT unnest(['reference_genome', 'data_type', 'conversion']) AS field, unnest([genomes, CAST(1 AS BIGINT), conversions]) AS distinct_values
+FROM (SELECT count(DISTINCT CASE WHEN ordinal % 4 = 1 THEN 'GRCh37' ELSE 'GRCh38' END) AS genomes,
+             count(DISTINCT CASE ordinal % 3 WHEN 0 THEN 'm_value' WHEN 1 THEN 'beta_value' ELSE 'other' END) AS conversions FROM fx_projects)""")
 def mixed_fields(fx: Fixtures) -> DataFrame:
-    return co.mixed_fields(fx.meta)
+    """Projects of two genome builds and three conversions."""
+    kind = F.when(F.col("ordinal") % 3 == 0, "m_value").when(F.col("ordinal") % 3 == 1, "beta_value").otherwise("other")
+    build = F.when(F.col("ordinal") % 4 == 1, "GRCh37").otherwise("GRCh38")
+    return co.mixed_fields(fx.meta.withColumns({"conversion": kind, "reference_genome": build}))
 
 
 @query("F4", "SELECT probe_id, round(mad(value), 6) AS mad_score FROM fx_m GROUP BY probe_id")

@@ -258,7 +258,7 @@ def sample_missing_rate(fx: Fixtures) -> DataFrame:
 
 @query("D2", "SELECT project_id, sample_id, round(avg(value), 6) AS mean FROM fx_beta GROUP BY project_id, sample_id")
 def sample_mean(fx: Fixtures) -> DataFrame:
-    return rounded(fx.beta.groupBy(*qc.SAMPLE).agg(F.avg("value").alias("mean")), "mean")
+    return rounded(qc.sample_stats(fx.beta).select(*qc.SAMPLE, "mean"), "mean")
 
 
 @query("D3", """
