@@ -13,6 +13,7 @@ only they are paired in blocks, with each other and with the component. No pair
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -81,15 +82,43 @@ def _pivots(rows: DataFrame, key: str, many: int, seed: int) -> DataFrame:
 
 
 def _with_pivots(members: DataFrame, pivots: DataFrame, rows: DataFrame, key: str, count: str, seed: int) -> DataFrame:
-    """Members (key, class, ``count`` per group) in blocks, and every pivot of a group in each of its blocks."""
+    """Members (key, class, ``count`` per group) in blocks, and every pivot (key, class, main) of a group in each of its blocks."""
     held = BLOCK // 2
     blocks = F.ceil(F.col(count) / F.lit(held)).cast("int")
-    own = members.select(key, "class", _block_of(F.col(count), seed, held).alias("unit"))
+    own = members.select(key, "class", F.lit(False).alias("main"), _block_of(F.col(count), seed, held).alias("unit"))
     wide = members.groupBy(key).agg(F.max(blocks).alias("blocks"))
-    common = pivots.join(wide, key).select(key, "class", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("unit"))
+    common = pivots.join(wide, key).select(key, "class", "main", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("unit"))
     return own.unionByName(common).join(rows, [key, "class"])
 
 
+def _joined_to_main(key: str, work: Callable[[pd.DataFrame], pd.DataFrame | None]) -> Callable[[pd.DataFrame], pd.DataFrame | None]:
+    """``work`` on a unit, with the key and whether the edge's first end is in one component with a pivot of the main one."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame | None:
+        edges = work(frame)
+        if edges is None:
+            return None
+        root: dict[bytes, bytes] = {}
+
+        def find(x: bytes) -> bytes:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for a, b in zip(edges["a"], edges["b"], strict=True):
+            root[find(a)] = find(b)
+        pivots = frame.loc[frame["main"], "class"]
+        main = {find(x): x for x in pivots}
+        ends = list(dict.fromkeys([*edges["a"], *edges["b"]]))
+        near = [x for x in ends if find(x) in main]
+        out = pd.concat([edges.assign(main=False), pd.DataFrame({"a": near, "b": [main[find(x)] for x in near], "main": True})], ignore_index=True)
+        out.insert(0, key, [frame[key].iloc[0]] * len(out))
+        return out
+
+    return run
+
+
 def edges_within(
     rows_where: Callable[[Column], DataFrame], key: str, size: str, payload: list[str], work: Callable[[pd.DataFrame], pd.DataFrame | None], largest: int
 ) -> DataFrame:
@@ -101,46 +130,50 @@ def edges_within(
     small = by_unit(rows_where(F.col(size) <= BLOCK).select(key, "class", *payload), [key], work, EDGES)
     if largest <= BLOCK:
         return small
-    found = materialize(small, "links")
-    rows = materialize(rows_where(F.col(size) > BLOCK).select(key, "class", size, *payload), "large-groups")
+    found = [materialize(small, "links")]
+    rows = rows_where(F.col(size) > BLOCK).select(key, "class", size, *payload).dropDuplicates([key, "class"])
+    rows = materialize(rows, "large-groups")
     data = rows.drop(size)
-    members = rows.select(key, "class", F.col(size).alias("left"))
-    pivots = _pivots(members, key, PIVOTS, 21)
-    before = None
+    every = rows.select(key, "class", F.col(size).alias("left"))
+    kind = rows.schema[key].dataType.simpleString()
+    first = W.partitionBy(key).orderBy("class")
+    pivots = _pivots(every, key, PIVOTS, 21).withColumn("main", F.row_number().over(first) == 1)
+    outside, before = every, None
     for step in range(ROUNDS):
-        units = _with_pivots(members, pivots, data, key, "left", 31 + step)
-        found = materialize(found.unionByName(by_unit(units.select(key, "unit", "class", *payload), [key, "unit"], work, EDGES)), "links")
-        roots = materialize(components(found), "roots")
-        named = data.select(key, "class").join(roots, F.col("class") == F.col("node"), "left").select(key, "class", F.coalesce("root", "class").alias("root"))
-        named = materialize(named, "named-members")
-        counts = named.groupBy(key, "root").agg(F.count("*").alias("n"))
-        main = counts.groupBy(key).agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("joined"), F.sum("n").alias("all"))
-        main = materialize(main.withColumn("left", F.col("all") - F.col("joined")), "main-components")
-        placed = named.join(main, key)
-        outside = placed.where("root <> main").select(key, "class", "left")
-        total, widest = main.agg(F.sum("left"), F.max(F.when(F.col("joined") > F.col("left"), F.col("left")))).first()
-        if not total:
-            return found
-        if not widest or widest <= BLOCK or (before is not None and total > 0.8 * before):
+        units = _with_pivots(outside, pivots, data, key, "left", 31 + step)
+        joined = by_unit(units.select(key, "unit", "class", "main", *payload), [key, "unit"], _joined_to_main(key, work), f"{key} {kind}, {EDGES}, main boolean")
+        joined = materialize(joined, "links")
+        found.append(joined.select("a", "b"))
+        near = joined.where("main").select(key, F.col("a").alias("class")).unionByName(pivots.where("main").select(key, "class")).distinct()
+        rest = outside.select(key, "class").join(near, [key, "class"], "left_anti")
+        sizes = rest.groupBy(key).agg(F.count("*").alias("left"))
+        outside = materialize(rest.join(sizes, key), "outside")
+        total, widest = outside.agg(F.count("*"), F.max("left")).first()
+        if not total or widest <= BLOCK or (before is not None and total > 0.8 * before):
             break
         before = total
-        members, pivots = outside, _pivots(placed.where("root = main"), key, MORE_PIVOTS, 41 + step)
+        main = every.join(outside.select(key, "class"), [key, "class"], "left_anti")
+        pivots = _pivots(main, key, MORE_PIVOTS, 41 + step).withColumn("main", F.lit(True))
+    links = reduce(DataFrame.unionByName, found)
+    if not total:
+        return links
 
     # what is left: members outside the main component, with each other and with it
-    blocks = lambda c: F.ceil(F.col(c) / F.lit(BLOCK)).cast("int")
-    sides = placed.where("left > 0").select(
-        key, "class", (F.col("root") != F.col("main")).alias("out"), blocks("left").alias("i_many"), blocks("joined").alias("j_many"),
-        _block_of(F.when(F.col("root") != F.col("main"), F.col("left")).otherwise(F.col("joined")), 51, BLOCK).alias("own"),
-    )
+    counts = outside.groupBy(key).agg(F.max("left").alias("out"))
+    sides = every.withColumnRenamed("left", "all").join(counts, key).join(outside.select(key, "class", F.lit(True).alias("is_out")), [key, "class"], "left")
+    blocks = lambda c: F.greatest(F.ceil(c / F.lit(BLOCK)).cast("int"), F.lit(1))
+    is_out, joined_size = F.coalesce("is_out", F.lit(False)), F.col("all") - F.col("out")
+    own = _block_of(F.when(is_out, F.col("out")).otherwise(joined_size), 51, BLOCK)
+    sides = sides.select(key, "class", is_out.alias("is_out"), blocks(F.col("out")).alias("i_many"), blocks(joined_size).alias("j_many"), own.alias("own"))
     others = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
     unit = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     own = F.col("own")
     among = F.transform(others("i_many"), lambda o: unit("out", F.least(own, o), F.greatest(own, o)))
     against = F.transform(others("j_many"), lambda o: unit("main", own, o))
-    joined = F.transform(others("i_many"), lambda o: unit("main", o, own))
-    dealt = sides.select(key, "class", F.inline(F.when(F.col("out"), F.concat(among, against)).otherwise(joined))).join(data, [key, "class"])
+    facing = F.transform(others("i_many"), lambda o: unit("main", o, own))
+    dealt = sides.select(key, "class", F.inline(F.when(F.col("is_out"), F.concat(among, against)).otherwise(facing))).join(data, [key, "class"])
     last = by_unit(dealt.select(key, "kind", "i", "j", "class", *payload), [key, "kind", "i", "j"], work, EDGES)
-    return found.unionByName(last)
+    return links.unionByName(last)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:

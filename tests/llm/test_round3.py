@@ -152,7 +152,7 @@ def test_rows_dealt_for_a_near_copy_group_grow_with_its_members(spark):
     n = 80_000
     table = spark.range(n).select(F.lit("g").alias("key"), F.unhex(F.md5(F.col("id").cast("string"))).alias("class"), F.lit(n).cast("long").alias("many"))
     members = table.select("key", "class", F.col("many").alias("left"))
-    units = blocks._with_pivots(members, blocks._pivots(members, "key", blocks.PIVOTS, 21), table.drop("many"), "key", "left", 31)
+    units = blocks._with_pivots(members, blocks._pivots(members, "key", blocks.PIVOTS, 21).withColumn("main", F.lit(False)), table.drop("many"), "key", "left", 31)
     assert n <= units.count() < 2 * n
     assert units.groupBy("unit").count().agg(F.max("count")).first()[0] < 2 * blocks.BLOCK
 
