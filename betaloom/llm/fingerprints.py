@@ -5,7 +5,9 @@ A text is cut into paragraphs at line breaks and, inside a line, after the end o
 digests, their exclusive or, and that of a check hash. Cells of two versions subtract: what both have
 cancels, and peeling cells with one digest left recovers the digests in which they differ. If a table doesn't peel, the
 digests are dealt by further hash bits to as many tables of the same size as they need, and a part that
-fails again to four more with other hash functions: the sketch gets larger until everything is recovered. The
+fails again to four more with other hash functions: the sketch gets larger until everything is recovered. Those larger tables are made from the
+digests of both texts, not from the fingerprints returned, and a part that failed three times (digests whose cells coincide for all functions) is compared as
+it is. Texts of any length are cut and sketched in one expression each. The
 likeness of two texts is shared / all digests.
 
 Null text counts as empty; two texts without paragraphs have likeness 1. Documents are ordered by descending id, null ids last, rows of one id by a hash
@@ -187,7 +189,8 @@ def likeness(left: Column, right: Column, left_sketch: Column, right_sketch: Col
 
 def as_text(cells: Column) -> Column:
     def cell(c: Column) -> Column:
-        return F.concat(F.lpad(F.hex(c["n"]), 4, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(c["check"].bitwiseAND(F.lit(0x7FFFFFFF))), 8, "0"))
+        check = c["check"].cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.concat(F.lpad(F.hex(c["n"]), 8, "0"), F.lpad(F.hex(c["key"]), 16, "0"), F.lpad(F.hex(check), 8, "0"))
 
     return F.array_join(F.transform(cells, cell), "")
 
