@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from betaloom.functions.running import running_totals
@@ -34,6 +36,20 @@ def containing(points: DataFrame, intervals: DataFrame, bin_width: int = BIN, sa
     return matched.where(F.col("pos").between(F.col("start"), F.col("end"))).drop("_bin", "_salt")
 
 
+def segment_starts(points: DataFrame, intervals: DataFrame, bin_width: int = BIN) -> DataFrame:
+    """(chr, pos, segment) of each distinct position: the lower end of the longest run of its bin around it that no interval begins or ends in.
+
+    The positions of a segment lie in the same intervals. A bin has at most ``bin_width`` positions and as many ends, so sorting one is bounded.
+    """
+    ends = F.array(F.col("start").cast("long"), (F.col("end") + 1).cast("long"))
+    marks = intervals.select("chr", F.explode(ends).alias("pos")).distinct().withColumn("place", F.lit(False))
+    places = points.where("chr IS NOT NULL AND pos IS NOT NULL").select("chr", F.col("pos").cast("long").alias("pos")).distinct()
+    both = marks.unionByName(places.withColumn("place", F.lit(True))).withColumn("_bin", F.floor(F.col("pos") / bin_width))
+    up_to = W.partitionBy("chr", "_bin").orderBy("pos", "place").rowsBetween(W.unboundedPreceding, 0)
+    latest = F.max(F.when(~F.col("place"), F.col("pos"))).over(up_to)
+    return both.withColumn("segment", F.coalesce(latest, F.col("_bin") * bin_width)).where("place").select("chr", "pos", "segment")
+
+
 def liftover(points: DataFrame, chain: DataFrame) -> DataFrame:
     """Positions mapped through chain blocks; a point outside every block is dropped, a point in
     several blocks is mapped several times."""
@@ -78,36 +94,36 @@ def flank(intervals: DataFrame, width: int, both_ends: bool = False) -> DataFram
     return starts.unionByName(ends)
 
 
-def _edges(intervals: DataFrame, side: str) -> DataFrame:
+def _edges(intervals: DataFrame, side: str, keys: Sequence[str]) -> DataFrame:
     """+1 where an interval starts, -1 just after it ends, counted for one side of the difference."""
     marks = F.array(
         F.struct(F.col("start").cast("long").alias("pos"), F.lit(1).alias("step")),
         F.struct((F.col("end") + 1).cast("long").alias("pos"), F.lit(-1).alias("step")),
     )
-    edges = intervals.select("chr", F.inline(marks))
+    edges = intervals.select(*keys, F.inline(marks))
     sides = {s: (F.col("step") if s == side else F.lit(0)).cast("long").alias(s) for s in ("keep", "drop")}
-    return edges.select("chr", "pos", *sides.values())
+    return edges.select(*keys, "pos", *sides.values())
 
 
-def difference(a: DataFrame, b: DataFrame | None = None) -> DataFrame:
-    """Maximal intervals covered by ``a`` and not by ``b``; without ``b`` the merged ``a``.
+def difference(a: DataFrame, b: DataFrame | None = None, keys: Sequence[str] = ("chr",)) -> DataFrame:
+    """Maximal intervals covered by ``a`` and not by ``b``, for each value of ``keys``; without ``b`` the merged ``a``.
 
     A sweep over interval ends: equal positions are summed first, coverage is a running total
     whose sort never spans more than ``SWEEP_BIN`` positions, and positions where membership
     changes pair up into intervals.
     """
-    edges = _edges(a, "keep")
+    edges = _edges(a, "keep", keys)
     if b is not None:
-        edges = edges.unionByName(_edges(b, "drop"))
-    steps = edges.groupBy("chr", "pos").agg(F.sum("keep").alias("keep"), F.sum("drop").alias("drop"))
+        edges = edges.unionByName(_edges(b, "drop", keys))
+    steps = edges.groupBy(*keys, "pos").agg(F.sum("keep").alias("keep"), F.sum("drop").alias("drop"))
     region = F.floor(F.col("pos") / SWEEP_BIN)
-    swept = running_totals(steps, ["chr"], region, ["pos"], {"kept": F.col("keep"), "dropped": F.col("drop")})
+    swept = running_totals(steps, keys, region, ["pos"], {"kept": F.col("keep"), "dropped": F.col("drop")})
     now = (F.col("kept") > 0) & (F.col("dropped") == 0)
     before = (F.col("kept") - F.col("keep") > 0) & (F.col("dropped") - F.col("drop") == 0)
-    changes = materialize(swept.where(now != before).select("chr", "pos", now.cast("long").alias("opens")), "sweep")
-    numbered = running_totals(changes, ["chr"], region, ["pos"], {"piece": F.col("opens")})
-    pieces = numbered.groupBy("chr", "piece").agg(F.min("pos").alias("start"), (F.max("pos") - 1).alias("end"))
-    return pieces.select("chr", "start", "end")
+    changes = materialize(swept.where(now != before).select(*keys, "pos", now.cast("long").alias("opens")), "sweep")
+    numbered = running_totals(changes, keys, region, ["pos"], {"piece": F.col("opens")})
+    pieces = numbered.groupBy(*keys, "piece").agg(F.min("pos").alias("start"), (F.max("pos") - 1).alias("end"))
+    return pieces.select(*keys, "start", "end")
 
 
 def shores_and_shelves(islands: DataFrame, both_ends: bool = False) -> tuple[DataFrame, DataFrame]:

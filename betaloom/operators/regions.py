@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.operators.intervals import containing
+from betaloom.operators.intervals import containing, difference, segment_starts
 from betaloom.settings import GENE_REGIONS
+from betaloom.tables import materialize
 
 # Distances upstream of a transcription start that the two promoter regions end at.
 NEAR, FAR = 200, 1500
@@ -32,21 +33,33 @@ def region_windows(genes: DataFrame) -> DataFrame:
     return genes.where("chr IS NOT NULL AND start <= end").select("chr", F.inline(windows), "gene_symbol")
 
 
+def merged_windows(genes: DataFrame) -> DataFrame:
+    """The windows of all genes of a symbol as intervals without overlap, for each region."""
+    return difference(region_windows(genes), keys=("chr", "gene_symbol", "region"))
+
+
 def region_hits(points: DataFrame, genes: DataFrame) -> DataFrame:
     """(probe_id, gene_symbol, region): each gene region that holds a probe's position, once."""
     places = points.select("probe_id", "chr", "pos")
-    return containing(places, region_windows(genes)).select("probe_id", "gene_symbol", "region").distinct()
+    return containing(places, merged_windows(genes)).select("probe_id", "gene_symbol", "region").distinct()
 
 
 def region_flags(points: DataFrame, genes: DataFrame) -> DataFrame:
     """A flag per region and the symbols of all genes found, in order and joined by ``;``, for every probe.
 
-    A probe without a gene has no symbol. Symbols are gathered per probe: genes that share a position are few.
+    A probe without a gene has no symbol. Genes are looked up once for all probes between the same window ends: windows of a symbol are
+    merged first, so the pairs joined are those of a symbol and a region, however many genes overlap there.
     """
+    windows = materialize(merged_windows(genes), "gene-windows")
+    placed = points.select("probe_id", "chr", F.col("pos").cast("long").alias("pos"))
+    placed = placed.join(segment_starts(placed, windows), ["chr", "pos"], "left")
+    found_at = F.when(F.col("segment").isNotNull(), F.struct("chr", F.col("segment").alias("pos")))
+    spots = materialize(placed.groupBy("probe_id").agg(F.array_sort(F.collect_set(found_at)).alias("spots")), "probe-spots")
+    looked_up = spots.select("spots").distinct().select(F.col("spots").alias("probe_id"), F.inline("spots"))
     flags = [F.bool_or(F.col("region") == r).alias(r) for r in GENE_REGIONS]
     symbols = F.array_join(F.array_sort(F.collect_set("gene_symbol")), ";").alias("gene_symbol")
-    found = region_hits(points, genes).groupBy("probe_id").agg(symbols, *flags)
-    every = points.select("probe_id").distinct().join(found, "probe_id", "left")
+    found = containing(looked_up, windows).groupBy(F.col("probe_id").alias("spots")).agg(symbols, *flags)
+    every = spots.join(found, "spots", "left")
     return every.select("probe_id", "gene_symbol", *[F.coalesce(r, F.lit(False)).alias(r) for r in GENE_REGIONS])
 
 

@@ -131,3 +131,26 @@ def test_harmonized_annotation_keeps_regions(rows):
     assert (got["x"].TSS200, got["x"].TSS1500, got["x"].gene_symbol) == (True, False, "B")
     assert (got["y"].TSS200, got["y"].gene_body, got["y"].gene_symbol) == (False, False, "A")
     assert an.harmonize(tables[1:]).columns == tables[1].columns
+
+
+def test_overlapping_genes_are_looked_up_once(rows):
+    schema = "gene_symbol string, chr string, start int, end int, strand string"
+    genes = [(f"G{i % 3}" if i % 50 else None, "chr1", 10_000 + i, 12_000 + i, "+-"[i // 200]) for i in range(400)]
+    points = [(f"cg{p}", "chr1", p) for p in range(8_000, 15_000, 37)] + [("two", "chr1", 11_000), ("two", "chr1", 9_990), ("two", None, 3)]
+    table = rows(genes, schema)
+    merged = regions.merged_windows(table).collect()
+    assert len(merged) < 40
+    got = {r.probe_id: r for r in regions.region_flags(rows(points, "probe_id string, chr string, pos int"), table).collect()}
+    want = {}
+    for probe, c, pos in points:
+        names, flags = want.setdefault(probe, (set(), set()))
+        for g, gc, start, end, strand in genes:
+            up = pos - end if strand == "-" else start - pos
+            kind = "gene_body" if start <= pos <= end else "TSS200" if 1 <= up <= 200 else "TSS1500" if 201 <= up <= 1500 else None
+            if gc == c and kind:
+                flags.add(kind)
+                names.update([g] if g else [])
+    assert set(got) == set(want)
+    for probe, (names, flags) in want.items():
+        assert (got[probe].gene_symbol or "") == ";".join(sorted(names))
+        assert {r for r in ("TSS200", "TSS1500", "gene_body") if got[probe][r]} == flags
