@@ -123,15 +123,15 @@ def gene_map(annotation: DataFrame, regions: tuple[str, ...], distinct_genes: bo
     """(probe_id, gene_symbol, weight) for probes in any of ``regions``.
 
     A gene listed k times for a probe has weight k, unless ``distinct_genes``. An empty symbol
-    is a gene like any other; a probe without symbols contributes nothing.
+    is a gene like any other; a probe without symbols contributes nothing. Rows are shuffled by
+    probe while a probe's symbols are one text; they are listed and counted where they arrive.
     """
     unknown = [r for r in regions if r not in GENE_REGIONS]
     if unknown:
         raise ValueError(f"unknown regions {unknown}; supported: {list(GENE_REGIONS)}")
     inside = reduce(lambda a, b: a | b, [F.col(r) for r in regions], F.lit(False))
-    listed = annotation.where(inside & F.col("gene_symbol").isNotNull()).select(
-        "probe_id", F.explode(F.split("gene_symbol", ";")).alias("gene_symbol")
-    )
+    texts = annotation.where(inside & F.col("gene_symbol").isNotNull()).groupBy("probe_id").agg(F.collect_list("gene_symbol").alias("texts"))
+    listed = texts.select("probe_id", F.explode("texts").alias("text")).select("probe_id", F.explode(F.split("text", ";")).alias("gene_symbol"))
     counted = listed.groupBy("probe_id", "gene_symbol").agg(F.count("*").alias("weight"))
     return counted.withColumn("weight", F.lit(1).cast("long")) if distinct_genes else counted
 

@@ -154,3 +154,11 @@ def test_overlapping_genes_are_looked_up_once(rows):
     for probe, (names, flags) in want.items():
         assert (got[probe].gene_symbol or "") == ";".join(sorted(names))
         assert {r for r in ("TSS200", "TSS1500", "gene_body") if got[probe][r]} == flags
+
+
+def test_symbols_are_listed_after_the_shuffle(rows):
+    notes = rows([("cg1", "A;B;A", True), ("cg1", "B", True), ("cg2", "", True), ("cg3", None, True)], "probe_id string, gene_symbol string, TSS200 boolean")
+    genes = co.gene_map(notes, ("TSS200",))
+    plan = genes._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("Exchange") and plan.count("Exchange") == 1
+    assert {tuple(r) for r in genes.collect()} == {("cg1", "A", 2), ("cg1", "B", 2), ("cg2", "", 1)}
