@@ -395,12 +395,41 @@ def prepared_probes(fx: Fixtures) -> DataFrame:
     return rounded(ds.probes.select(*qc.PROBE, "missing_rate", "mean", "variance"), "missing_rate", "mean", "variance")
 
 
+# Small files cost by their number, not their bytes, so the tasks that write them aren't left to coalescing.
+FILE_TASKS = 200
+RAW_HEADER = "Composite Element REF\tBeta_value"
+
+
+def _write_raw(cells: DataFrame, path: str) -> None:
+    """A file ``<path>/file_id=<id>/beta.csv`` per sample, written by the tasks. Spark's writer takes some 25 ms a file and renames all from the driver;
+    it remains for file systems that Arrow doesn't open."""
+    from pyarrow import ArrowInvalid, ArrowNotImplementedError
+    from pyarrow.fs import FileSystem
+
+    dealt = cells.repartition(FILE_TASKS, "file_id")
+    try:
+        files, folder = FileSystem.from_uri(path)
+        files.create_dir(folder)
+    except (ArrowInvalid, ArrowNotImplementedError, OSError):
+        renamed = dealt.select("file_id", F.col("probe_id").alias("Composite Element REF"), F.col("value").alias("Beta_value"))
+        renamed.write.partitionBy("file_id").csv(path, sep="\t", header=True)
+        return
+
+    def write(rows) -> None:
+        files, folder = FileSystem.from_uri(path)
+        for row in rows:
+            files.create_dir(f"{folder}/file_id={row.file_id}")
+            with files.open_output_stream(f"{folder}/file_id={row.file_id}/beta.csv") as out:
+                out.write(f"{RAW_HEADER}\n{row.text}\n".encode())
+
+    line = F.concat_ws("\t", "probe_id", "value")
+    dealt.groupBy("file_id").agg(F.concat_ws("\n", F.collect_list(line)).alias("text")).foreachPartition(write)
+
+
 def _project_inputs(fx: Fixtures) -> ProjectInputs:
     """A raw folder with a file per sample, and the saved responses that name them."""
     path = fx.scratch("raw-project")
-    fx.beta.select(
-        F.col("sample_id").alias("file_id"), F.col("probe_id").alias("Composite Element REF"), F.coalesce(F.col("value").cast("string"), F.lit("NA")).alias("Beta_value")
-    ).repartition("file_id").write.partitionBy("file_id").csv(path, sep="\t", header=True)
+    _write_raw(fx.beta.select(F.col("sample_id").alias("file_id"), "probe_id", F.coalesce(F.col("value").cast("string"), F.lit("NA")).alias("value")), path)
     want = ManifestRequest(project_id="ALL")
     specimen = F.struct(F.lit(want.sample_type).alias("sample_type"), F.lit(None).cast(schemas._SAMPLE["portions"].dataType).alias("portions"))
     case = F.struct(

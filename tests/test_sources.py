@@ -173,3 +173,14 @@ def test_raw_project_from_store_and_metadata(spark, rows, raw_dir, tmp_path):
     assert (row.platform, row.conversion, row.state, row.preprocessing_steps) == (PLATFORMS[1], "beta_value", "raw", [])
     with pytest.raises(ValueError, match="genome"):
         api.load_raw_project(spark, store, metadata, "P", PLATFORMS[1], "hg38")
+
+
+def test_raw_files_of_a_query_are_written_one_a_sample(spark, rows, tmp_path):
+    from betaloom.catalog.matrix_queries import _write_raw
+    from betaloom.sources.beta import raw_files, read_raw
+
+    cells = [(s, f"cg{p}", "NA" if p == 3 else repr(p / 7)) for s in range(50) for p in range(s % 4 + 3)]
+    _write_raw(rows(cells, "file_id long, probe_id string, value string"), str(tmp_path / "raw"))
+    assert sorted(int(r.file_id) for r in raw_files(spark, str(tmp_path / "raw")).collect()) == list(range(50))
+    got = {(int(r.file_id), r.probe_id, r.beta_value) for r in read_raw(spark, str(tmp_path / "raw")).collect()}
+    assert got == {(s, p, None if v == "NA" else float(v)) for s, p, v in cells}
