@@ -277,18 +277,13 @@ class Fixtures:
     def chain_file(self) -> str:
         """A written chain file: a stanza per order, a block per line item."""
         line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-        last = F.col("last") == line
-        lines = self.table("lineitem").join(self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
-        size, dt, dq = F.col("l_quantity").cast("long"), F.col("l_partkey") % 50, F.col("l_suppkey") % 50
-        ends = lines.groupBy("l_orderkey").agg(F.max(line).alias("last"))
-        steps = lines.join(ends, "l_orderkey").select(
-            "l_orderkey", "o_custkey", line.alias("line"), size.alias("size"), F.when(last, 0).otherwise(dt).alias("dt"), F.when(last, 0).otherwise(dq).alias("dq"),
-            F.when(last, size.cast("string")).otherwise(F.concat_ws(" ", size, dt, dq)).alias("text"),
-        )
-        stanzas = steps.groupBy("l_orderkey", "o_custkey").agg(
-            F.sum(F.col("size") + F.col("dt")).alias("t"), F.sum(F.col("size") + F.col("dq")).alias("q"),
-            F.array_sort(F.collect_list(F.struct("line", "text"))).alias("lines"),
-        )
+        lines = self.table("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+        lines = lines.join(self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+        size, dt, dq = (lambda x: x["l_quantity"].cast("long")), (lambda x: x["l_partkey"] % 50), (lambda x: x["l_suppkey"] % 50)
+        inner, last = F.slice("lines", F.lit(1), F.size("lines") - 1), F.element_at("lines", -1)
+        steps = F.transform(inner, lambda x: F.concat_ws(" ", size(x), dt(x), dq(x)))
+        total = lambda step: F.aggregate(inner, size(last), lambda done, x: done + size(x) + step(x))
+        stanzas = lines.select("l_orderkey", "o_custkey", total(dt).alias("t"), total(dq).alias("q"), F.concat(steps, F.array(size(last).cast("string"))).alias("lines"))
         start = F.col("l_orderkey") * 10
         strand = F.when(F.col("l_orderkey") % 3 == 0, "-").otherwise("+")
         header = F.concat_ws(
@@ -296,7 +291,7 @@ class Fixtures:
             F.concat(F.lit("chr"), F.col("o_custkey") % 7), F.lit(800_000_000), strand, start + 7, start + 7 + F.col("q"), F.col("l_orderkey"),
         )
         path = self.scratch("chain")
-        text = F.concat_ws("\n", header, F.transform("lines", lambda x: x["text"]), F.lit(""))
+        text = F.concat_ws("\n", header, F.col("lines"), F.lit(""))
         stanzas.select(text.alias("value")).write.text(path)
         return path
 

@@ -162,3 +162,9 @@ def test_symbols_are_listed_after_the_shuffle(rows):
     plan = genes._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Generate") < plan.index("Exchange") and plan.count("Exchange") == 1
     assert {tuple(r) for r in genes.collect()} == {("cg1", "A", 2), ("cg1", "B", 2), ("cg2", "", 1)}
+
+
+def test_chain_is_read_without_a_shuffle(spark, tmp_path):
+    chain = read_chain(spark, write(tmp_path, CHAIN))
+    assert "Exchange" not in chain._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in chain.orderBy("chr", "start").collect()][:2] == [("chr1", 11, 20, "chr2", 101, "+"), ("chr1", 24, 28, "chr2", 111, "+")]
