@@ -144,7 +144,7 @@ def edges_within(
         joined = by_unit(units.select(key, "unit", "class", "main", *payload), [key, "unit"], _joined_to_main(key, work), f"{key} {kind}, {EDGES}, main boolean")
         joined = materialize(joined, "links")
         found.append(joined.select("a", "b"))
-        near = joined.where("main").select(key, F.col("a").alias("class")).unionByName(pivots.where("main").select(key, "class")).distinct()
+        near = joined.where("main").select(key, F.col("a").alias("class")).unionByName(pivots.where("main").select(key, "class"))
         rest = outside.select(key, "class").join(near, [key, "class"], "left_anti")
         sizes = rest.groupBy(key).agg(F.count("*").alias("left"))
         outside = materialize(rest.join(sizes, key), "outside")
@@ -221,22 +221,23 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
 def components(edges: DataFrame) -> DataFrame:
     """The least node each node of (a, b) is connected with: columns node, root.
 
-    Alternates large-star and small-star steps; each step is written, so lineage stays short, and a step
-    that changes nothing ends the loop. Each step is aggregations and joins by node. Edges with a null end or two equal ends are ignored.
+    Alternates large-star and small-star steps; each pair of steps is written, so lineage stays short, and a pair that
+    moves no edge ends the loop: then every edge leads to the least node of its component. A step sorts the edges of each
+    node once, which finds its least neighbour and its repeated edges. Edges with a null end or two equal ends are ignored.
     """
-    up, down = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    current = materialize(edges.where("a <> b").select(up, down).distinct(), "edges")
-    seen = None
+    least_first = W.partitionBy("u").orderBy("v", F.col("moved").desc())
+    least, again = F.first("v").over(least_first), F.lag("v").over(least_first).eqNullSafe(F.col("v"))
+    pair = lambda u, v: F.struct(F.col(u).alias("u"), F.col(v).alias("v"))
+    current = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     while True:
-        both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = materialize(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = current.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))"), F.expr("bit_xor(xxhash64(v, u, 1))")).first()
-        if state == seen:
+        both = current.select(F.inline(F.array(pair("u", "v"), pair("v", "u")))).withColumn("moved", F.lit(False))
+        both = both.withColumns({"m": F.least("u", least), "again": again}).where("v > u AND NOT again")
+        large = both.select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") != F.col("u")).alias("moved"))
+        large = large.withColumns({"m": least, "again": again}).where("NOT again")
+        first = F.col("v") == F.col("m")
+        small = large.select(F.when(first, F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"), (F.col("moved") | ~first).alias("moved"))
+        current = materialize(small, "edges")
+        if not current.agg(F.max("moved")).first()[0]:
             break
-        seen = state
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)

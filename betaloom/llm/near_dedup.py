@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.llm.blocks import components, edges_within, forest, overlaps
+from betaloom.llm.blocks import BLOCK, components, edges_within, forest, overlaps
 from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches, tidy
 from betaloom.tables import materialize
 
@@ -117,6 +117,11 @@ def _edges(frame: pd.DataFrame, linked: np.ndarray) -> pd.DataFrame | None:
     return pd.DataFrame({"a": [names[u] for u, _ in pairs], "b": [names[v] for _, v in pairs]})
 
 
+def _read_twice(rows: DataFrame, largest: int, label: str) -> DataFrame:
+    """Rows of groups, written if there are large groups: those are read apart, which would make every row twice."""
+    return materialize(rows, label) if largest > BLOCK else rows
+
+
 def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100), k: int = SKETCH) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -141,11 +146,10 @@ def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100),
 
     chosen = materialize(distinct_lists(lists), "list-sizes")
 
-    def on_lists(wanted: Column) -> DataFrame:
-        return lists.join(chosen.where(wanted), "value").join(classes.select("class", "n_shingles", "sketch"), "class")
-
     longest = chosen.agg(F.max("n")).first()[0] or 0
-    clusters = components(edges_within(on_lists, "value", "n", ["n_shingles", "sketch"], alike, longest))
+    on_lists = lists.join(chosen, "value").join(classes.select("class", "n_shingles", "sketch"), "class")
+    on_lists = _read_twice(on_lists, longest, "on-lists")
+    clusters = components(edges_within(on_lists.where, "value", "n", ["n_shingles", "sketch"], alike, longest))
     clusters = materialize(clusters, "clusters")
 
     sizes = materialize(clusters.groupBy("root").agg(F.count("*").alias("many")), "cluster-sizes")
@@ -168,11 +172,9 @@ def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100),
         own, n = overlaps(sets), np.array([len(s) for s in sets])
         return _edges(frame, (own > 0) & (own * whole >= part * (n[:, None] + n - own)))
 
-    def in_clusters(wanted: Column) -> DataFrame:
-        return texts.where(wanted).mapInPandas(tidy(full), SETS)
-
     widest = sizes.agg(F.max("many")).first()[0] or 0
-    found = components(edges_within(in_clusters, "cluster", "many", ["shingles"], same, widest))
+    in_clusters = _read_twice(texts.mapInPandas(tidy(full), SETS), widest, "full-sets")
+    found = components(edges_within(in_clusters.where, "cluster", "many", ["shingles"], same, widest))
 
     named = classes.join(found, classes["class"] == found["node"], "left")
     named = named.select("class", F.coalesce("root", "class").alias("root"), "first_id")

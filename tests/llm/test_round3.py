@@ -157,6 +157,37 @@ def test_rows_dealt_for_a_near_copy_group_grow_with_its_members(spark):
     assert units.groupBy("unit").count().agg(F.max("count")).first()[0] < 2 * blocks.BLOCK
 
 
+def test_components_of_paths_cycles_and_repeated_edges(spark):
+    rng = np.random.default_rng(8)
+    pairs = [(i, i + 1) for i in range(40)] + [(100 + i, 100 + (i * 7 + 3) % 30) for i in range(30)] + [(200, 200 + i) for i in range(60)] * 2
+    pairs += [tuple(p) for p in rng.integers(300, 420, (70, 2)).tolist()] + [(500, 500)]
+    shown = rng.permutation(1000)
+    names = [(f"{shown[a]:04d}", f"{shown[b]:04d}") for a, b in pairs]
+    table = spark.createDataFrame([(a.encode(), b.encode()) for a, b in names] + [(None, b"x"), (b"x", None)], blocks.EDGES)
+    rows = [(bytes(r.node).decode(), bytes(r.root).decode()) for r in blocks.components(table).collect()]
+    linked = [p for p in names if p[0] != p[1]]
+    assert dict(rows) == brute_components(sorted({x for p in linked for x in p}), linked)
+    assert len(rows) == len(dict(rows))
+    assert blocks.components(table.where("a IS NULL")).count() == 0
+
+
+def test_large_groups_read_each_text_once(spark, monkeypatch, tmp_path):
+    """Groups of both kinds are there; what makes a full set of a text runs once for it."""
+    monkeypatch.setattr(blocks, "BLOCK", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    base = [f"w{i}" for i in range(300)]
+    texts = [" ".join([*base[:150], f"x{i}", *base[150:]]) for i in range(40)] + [" ".join(f"{i}y{j}" for j in range(80)) for i in (1, 1, 2, 3)]
+    texts[-3] += " more"
+    spark.createDataFrame([(i, t, str(tmp_path)) for i, t in enumerate(texts)], "doc_id long, text string, path string").write.parquet(str(tmp_path / "docs"))
+    seen = []
+    monkeypatch.setattr(near_dedup, "edges_within", lambda *a: seen.append(a) or blocks.edges_within(*a))
+    got = {r.doc_id: r.component_id for r in near_dedup.groups(spark.read.parquet(str(tmp_path / "docs")), width=3, share=(85, 100)).collect()}
+    assert got == {i: 0 for i in range(40)} | {40: 40, 41: 40, 42: 42, 43: 43}
+    for args in seen:  # rows of groups are scanned from a table, not made for each kind of group
+        plan = args[0](F.lit(True))._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "MapInPandas" not in plan
+
+
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
