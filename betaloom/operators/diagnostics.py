@@ -11,6 +11,7 @@ from betaloom.functions.columns import clipped
 from betaloom.functions.quantiles import grouped_quantiles
 from betaloom.operators.components import principal_components  # noqa: F401
 from betaloom.operators.quality import SAMPLE
+from betaloom.tables import materialize
 
 
 def dispersions(values: DataFrame, bins: int = 20) -> DataFrame:
@@ -27,6 +28,7 @@ def dispersions(values: DataFrame, bins: int = 20) -> DataFrame:
     scored = moments.select(
         "probe_id", F.log1p(mean).alias("mean"), F.when(ratio > 0, F.log(ratio)).alias("dispersion")
     )
+    scored = materialize(scored, "dispersions")
     ends = scored.agg(F.struct(F.min("mean").alias("lo"), F.max("mean").alias("hi")).alias("ends")).scalar()
     place = F.ceil(F.try_divide(F.col("mean") - ends["lo"], ends["hi"] - ends["lo"]) * bins)
     binned = scored.withColumn("bin", F.coalesce(F.greatest(place, F.lit(1)), F.lit(1)).cast("int"))

@@ -16,7 +16,8 @@ def explained(values: DataFrame, samples: DataFrame, top_n: int = 5_000, k: int
     """(factor, fraction) for project and portion over the first ``k`` components."""
     chosen = materialize(dg.highly_variable(values, top_n).select("probe_id"), "variable-probes")
     k = min(k, chosen.count())
-    scaled = dg.standardize(values.join(chosen, "probe_id", "left_semi"))
+    # every step of the iteration reads it twice
+    scaled = materialize(dg.standardize(values.join(chosen, "probe_id", "left_semi")), "scaled")
     scores = dg.principal_components(scaled, k)
     factors = samples.select(*SAMPLE, portion(F.col("batch_id")).alias("portion"))
     scores = materialize(scores.join(factors, SAMPLE), "scores")

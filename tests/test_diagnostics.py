@@ -109,3 +109,21 @@ def test_components_need_all_cells_and_convergence(spark, matrix):
     wide = np.random.default_rng(3).normal(size=(80, 90))
     with pytest.raises(ArithmeticError, match="converged"):
         dg.principal_components(long_cells(spark, wide), 3, most_steps=1)
+
+
+def test_report_iterates_over_a_stored_matrix(spark, monkeypatch):
+    """The standardized matrix and the probes' dispersions are scanned, not made for every read of them."""
+    from betaloom.plans import batch_report
+
+    rng = np.random.default_rng(4)
+    cells = [(f"P{i % 2}", str(i), f"p{j}", float(rng.normal(j, 1))) for i in range(20) for j in range(6)]
+    values = spark.createDataFrame(cells, "project_id string, sample_id string, probe_id string, value double")
+    samples = spark.createDataFrame([(f"P{i % 2}", str(i), f"b{i % 3}-x") for i in range(20)], "project_id string, sample_id string, batch_id string")
+    plans, real = [], dg.principal_components
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(batch_report.dg, "principal_components", lambda v, k: plans.append(plan(v)) or real(v, k))
+    rows = {r.factor: r.fraction for r in batch_report.explained(values, samples, top_n=4, k=2).collect()}
+    assert set(rows) == {"project_id", "portion"} and all(0 <= v < 2 for v in rows.values())
+    assert len(plans) == 1 and "FileScan" in plans[0] and "Join" not in plans[0] and "Aggregate" not in plans[0]
+    scored = plan(dg.dispersions(values))
+    assert "expm1" not in scored.lower() and "FileScan" in scored
