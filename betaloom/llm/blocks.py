@@ -92,7 +92,10 @@ def _with_pivots(members: DataFrame, pivots: DataFrame, rows: DataFrame, key: st
 
 
 def _joined_to_main(key: str, work: Callable[[pd.DataFrame], pd.DataFrame | None]) -> Callable[[pd.DataFrame], pd.DataFrame | None]:
-    """``work`` on a unit, with the key and whether the edge's first end is in one component with a pivot of the main one."""
+    """``work`` on a unit, with the key and whether the edge's first end is in one component with a pivot of the main one.
+
+    Members of such a component are linked with its pivot alone, so that units that share the pivots give the same edges.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame | None:
         edges = work(frame)
@@ -108,11 +111,11 @@ def _joined_to_main(key: str, work: Callable[[pd.DataFrame], pd.DataFrame | None
 
         for a, b in zip(edges["a"], edges["b"], strict=True):
             root[find(a)] = find(b)
-        pivots = frame.loc[frame["main"], "class"]
-        main = {find(x): x for x in pivots}
+        main = {find(x): x for x in sorted(frame.loc[frame["main"], "class"], reverse=True)}
         ends = list(dict.fromkeys([*edges["a"], *edges["b"]]))
         near = [x for x in ends if find(x) in main]
-        out = pd.concat([edges.assign(main=False), pd.DataFrame({"a": near, "b": [main[find(x)] for x in near], "main": True})], ignore_index=True)
+        apart = edges[[find(x) not in main for x in edges["a"]]]
+        out = pd.concat([apart.assign(main=False), pd.DataFrame({"a": near, "b": [main[find(x)] for x in near], "main": True})], ignore_index=True)
         out.insert(0, key, [frame[key].iloc[0]] * len(out))
         return out
 
@@ -218,6 +221,20 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
+def stars(linked: np.ndarray, names: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """Edges (member, the least name of its component) of a symmetric boolean matrix.
+
+    Groups that share members mostly share the least of them too, and so give the same edges.
+    """
+    linked = linked.copy()
+    np.fill_diagonal(linked, False)
+    order = np.argsort(names, kind="stable")
+    up = list(range(len(linked)))
+    for child, parent in forest(linked[np.ix_(order, order)]):  # a parent comes before its children
+        up[child] = up[parent]
+    return [(names[order[i]], names[order[j]]) for i, j in enumerate(up) if i != j]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """The least node each node of (a, b) is connected with: columns node, root.
 

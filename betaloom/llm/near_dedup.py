@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from betaloom.llm.blocks import BLOCK, components, edges_within, forest, overlaps
+from betaloom.llm.blocks import BLOCK, components, edges_within, overlaps, stars
 from betaloom.llm.tokens import SpanHash, code_points, mix64, text_batches, tidy
 from betaloom.tables import materialize
 
@@ -109,12 +109,8 @@ def distinct_lists(lists: DataFrame) -> DataFrame:
 
 
 def _edges(frame: pd.DataFrame, linked: np.ndarray) -> pd.DataFrame | None:
-    np.fill_diagonal(linked, False)
-    pairs = forest(linked)
-    if not pairs:
-        return None
-    names = frame["class"].to_numpy()
-    return pd.DataFrame({"a": [names[u] for u, _ in pairs], "b": [names[v] for _, v in pairs]})
+    pairs = stars(linked, frame["class"].to_numpy())
+    return pd.DataFrame(pairs, columns=["a", "b"]) if pairs else None
 
 
 def _read_twice(rows: DataFrame, largest: int, label: str) -> DataFrame:

@@ -157,6 +157,24 @@ def test_rows_dealt_for_a_near_copy_group_grow_with_its_members(spark):
     assert units.groupBy("unit").count().agg(F.max("count")).first()[0] < 2 * blocks.BLOCK
 
 
+def test_lists_of_one_group_give_the_same_edges(spark, monkeypatch):
+    """Lists that share most members link each with few others, whatever the number of lists."""
+    monkeypatch.setattr(blocks, "BLOCK", 64)
+    monkeypatch.setattr(blocks, "PIVOTS", 8)
+    rng = np.random.default_rng(4)
+    n, share = 300, {"small": 50, "large": 270}
+    names = [bytes(x) for x in rng.integers(0, 256, (n, 16), np.uint8)]
+    for many in share.values():
+        rows = [(f"{k}", names[i], many, 0.0) for k in range(24) for i in rng.choice(n, many, replace=False)]
+        table = spark.createDataFrame(rows, "key string, class binary, many long, x double")
+        found = blocks.edges_within(lambda wanted, t=table: t.where(wanted), "key", "many", ["x"], lambda f: near_dedup._edges(f, np.ones((len(f), len(f)), bool)), many)
+        edges = {tuple(sorted((bytes(r.a), bytes(r.b)))) for r in found.where("a <> b").collect()}
+        linked = {x for pair in edges for x in pair}
+        assert set(brute_components(sorted(linked), edges).values()) == {min(linked)}
+        assert len(edges) <= 8 * n
+    assert len(linked) == n and len(edges) <= 4 * n
+
+
 def test_components_of_paths_cycles_and_repeated_edges(spark):
     rng = np.random.default_rng(8)
     pairs = [(i, i + 1) for i in range(40)] + [(100 + i, 100 + (i * 7 + 3) % 30) for i in range(30)] + [(200, 200 + i) for i in range(60)] * 2
