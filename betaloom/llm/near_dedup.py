@@ -63,6 +63,11 @@ def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
             yield np.unique(rolled[size - 1][a : b - size + 1]) if size else words[:0]
 
 
+def release_spans() -> None:
+    """Drop the hash's tables after a task: some 50 MB that an idle worker would keep."""
+    _spans.clear()
+
+
 def class_of(shingles: np.ndarray) -> bytes | None:
     return hashlib.md5(shingles.tobytes(), usedforsecurity=False).digest() if len(shingles) else None
 
@@ -75,6 +80,7 @@ def sketches(docs: DataFrame, width: int, k: int) -> DataFrame:
             out = pd.DataFrame(rows, columns=["class", "n_shingles", "sketch"])
             out.insert(0, "doc_id", frame["doc_id"].to_numpy())
             yield out
+        release_spans()
 
     # ids go as strings: pandas would make a column with nulls a float
     found = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(tidy(run), SKETCHES)
@@ -159,6 +165,7 @@ def groups(docs: DataFrame, width: int = 5, share: tuple[int, int] = (80, 100),
             out = frame.loc[own, ["class", "cluster", "many"]].copy()
             out["shingles"] = [s.view(np.int64) for s, keep in zip(sets, own, strict=True) if keep]
             yield out
+        release_spans()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = texts.join(members, texts["doc_id"].eqNullSafe(members["first_id"])).select("class", "cluster", "many", "text")

@@ -209,6 +209,29 @@ def test_large_groups_read_each_text_once(spark, monkeypatch, tmp_path):
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def test_passages_are_cut_in_one_worker_of_a_task(spark):
+    """The filter on what is left reads the texts that were cut; it doesn't cut them again."""
+    lines = [(i, f"own {i}. " + " ".join(f"w{j}" for j in range(60)) + ".", "en", "s", 1) for i in range(4)]
+    done = corpus_pipeline.repeated_lines(spark, spark.createDataFrame(lines, COLUMNS), "")
+    assert done._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [len(r.text) < 10 for r in done.orderBy("doc_id").collect()] == [False, True, True, True]
+
+
+def test_tables_of_the_span_hash_go_with_the_task(spark):
+    from pyspark.sql import functions as F
+
+    table = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c d "), F.col("id")).alias("text"))
+    assert near_dedup.groups(table.repartition(1), width=3, share=(85, 100)).count() == 40
+
+    def held(frames):
+        import pandas as pd
+
+        for frame in frames:
+            yield pd.DataFrame({"n": [len(near_dedup._spans)] * len(frame)})
+
+    assert {r.n for r in spark.range(64).repartition(8).mapInPandas(held, "n long").collect()} == {0}
+
+
 def test_the_whole_pipeline_on_planted_rows(spark, tmp_path):
     rng = np.random.default_rng(3)
     words = {"en": "the of and that with this from have they were which their".split(), "de": "der die und das nicht mit sich auf für eine auch nach".split()}
