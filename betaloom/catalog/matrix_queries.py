@@ -35,7 +35,7 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 # --- A ---
 
 
-def _write_raw(fx: Fixtures) -> str:
+def _write_raw_projects(fx: Fixtures) -> str:
     """Tab-separated files in one folder per project, missing values spelled NA."""
     path = fx.scratch("raw")
     fx.beta.select(
@@ -49,7 +49,7 @@ def _write_raw(fx: Fixtures) -> str:
 @query("A1 A2", """
 SELECT project_id AS file_id, probe_id, round(value, 6) AS beta_value FROM fx_beta""")
 def read_raw_beta(fx: Fixtures) -> DataFrame:
-    rows = store.read_raw(fx.spark, _write_raw(fx))
+    rows = store.read_raw(fx.spark, _write_raw_projects(fx))
     return rounded(rows.select("file_id", "probe_id", "beta_value"), "beta_value")
 
 

@@ -1,5 +1,8 @@
 """Every registered query over the smallest tables, against its SQL in DuckDB."""
 
+import ast
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -37,3 +40,10 @@ def test_every_inventory_id_is_covered():
     ids = {i for q in catalog.load().values() for i in q.covers.split()}
     sizes = {"A": 9, "B": 21, "C": 7, "D": 10, "E": 4, "F": 17, "G": 9, "H": 11}
     assert ids == {f"{group}{n}" for group, count in sizes.items() for n in range(1, count + 1)}
+
+
+def test_catalog_modules_define_each_name_once():
+    """A second function of a name would take the place of the first in the queries that call it."""
+    for path in Path(catalog.__file__).parent.glob("*.py"):
+        names = [node.name for node in ast.parse(path.read_text()).body if isinstance(node, (ast.FunctionDef, ast.ClassDef))]
+        assert len(names) == len(set(names)), path.name
