@@ -7,17 +7,38 @@ from pyspark.sql import functions as F
 
 from betaloom import schemas
 from betaloom.functions.columns import parsed_number
-from betaloom.sources import ledger
+from betaloom.sources import folders, ledger
+from betaloom.tables import materialize
 
+FILE = ["file_id", "file_name"]
 
-def read_raw(spark: SparkSession, raw_dir: str) -> DataFrame:
+
+def read_raw(spark: SparkSession, raw_dir: str, only: DataFrame | None = None) -> DataFrame:
     """All ``<raw_dir>/<file_id>/<file_name>`` tables as ``(file_id, file_name, probe_id, beta_value)``.
 
-    One scan over every file; header names are ignored and text that is no number becomes NULL.
-    Folders are listed by the executors when there are many.
+    Header names are ignored and text that is no number becomes NULL. Tasks list the folders and open the files; ``only`` may name the files
+    (``file_id``, ``file_name``) that are wanted, others aren't opened then. Where Arrow can't open the store, or files are packed by a
+    codec it hasn't, one scan of Spark's reader goes over all files, which the driver lists.
     """
-    reader = spark.read.schema(schemas.RAW_BETA).option("recursiveFileLookup", True)
-    return located(reader.csv(raw_dir, sep="\t", header=True, enforceSchema=True), raw_dir)
+    files = _listed(spark, raw_dir)
+    if files is None or not files.where(F.col("file_name").rlike(folders.CODECS)).isEmpty():
+        reader = spark.read.schema(schemas.RAW_BETA).option("recursiveFileLookup", True)
+        rows = located(reader.csv(raw_dir, sep="\t", header=True, enforceSchema=True), raw_dir)
+        return rows if only is None else rows.join(only, FILE, "left_semi")
+    if only is not None:
+        files = materialize(files.join(only, FILE, "left_semi"), "wanted-files")
+    fields = F.from_csv("line", schemas.RAW_BETA.toDDL(), {"sep": "\t"})
+    rows = folders.lines_of(files).select(*FILE, fields.alias("row"))
+    return rows.select(*FILE, "row.probe_id", parsed_number(F.col("row.beta_value")).alias("beta_value"))
+
+
+def _listed(spark: SparkSession, raw_dir: str) -> DataFrame | None:
+    """The files below a folder or pattern with their ids, or ``None`` where Arrow can't list them. A folder ``file_id=<id>``, as Spark's writers
+    name it, is read as its id."""
+    roots = folders.roots(spark, raw_dir)
+    if roots is None:
+        return None
+    return folders.listed(spark, roots).withColumn("file_id", F.regexp_replace("folder", "^file_id=", ""))
 
 
 def located(rows: DataFrame, raw_dir: str) -> DataFrame:
@@ -27,8 +48,11 @@ def located(rows: DataFrame, raw_dir: str) -> DataFrame:
 
 def raw_files(spark: SparkSession, raw_dir: str) -> DataFrame:
     """(file_id, file_name) of the raw files that exist; no file is opened."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir).select("path")
-    return _placed(listed, raw_dir, "path").select("file_id", "file_name")
+    files = _listed(spark, raw_dir)
+    if files is None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(raw_dir).select("path")
+        files = _placed(listed, raw_dir, "path")
+    return files.select(*FILE)
 
 
 def _placed(rows: DataFrame, raw_dir: str, path: str) -> DataFrame:
@@ -48,10 +72,13 @@ def _placed(rows: DataFrame, raw_dir: str, path: str) -> DataFrame:
     )
 
 
+def _pending(audit: DataFrame) -> DataFrame:
+    return audit.where((F.col("downloaded") == 1) & F.col("parquet_path").isNull()).select(*FILE)
+
+
 def pending_rows(raw: DataFrame, audit: DataFrame) -> DataFrame:
     """Rows of files that were downloaded but not yet stored."""
-    pending = audit.where((F.col("downloaded") == 1) & F.col("parquet_path").isNull())
-    return raw.join(pending.select("file_id", "file_name"), ["file_id", "file_name"], "left_semi")
+    return raw.join(_pending(audit), FILE, "left_semi")
 
 
 def write_store(beta: DataFrame, path: str, batch: str | None = None) -> str:
@@ -84,9 +111,10 @@ def clean_data(spark: SparkSession, raw_dir: str, audit: DataFrame, store_path:
     """Add pending raw files that the store lacks and return the audit table with their paths."""
     from betaloom.operators.control import update_paths
 
-    fresh = pending_rows(read_raw(spark, raw_dir), audit)
-    add_files(fresh.drop("file_name").withColumn("project_id", F.lit(project_id)), store_path)
-    pending = audit.where((F.col("downloaded") == 1) & F.col("parquet_path").isNull())
+    pending = _pending(audit)
+    lacked = pending.join(stored_files(spark, store_path, [project_id]), "file_id", "left_anti")
+    fresh = read_raw(spark, raw_dir, lacked)
+    write_store(fresh.drop("file_name").withColumn("project_id", F.lit(project_id)), store_path)
     stored = stored_files(spark, store_path, [project_id])
     missing = pending.join(stored, "file_id", "left_anti").select("file_id").take(1)
     if missing:

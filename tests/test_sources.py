@@ -1,3 +1,8 @@
+import bz2
+import gzip
+import io
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +189,72 @@ def test_raw_files_of_a_query_are_written_one_a_sample(spark, rows, tmp_path):
     assert sorted(int(r.file_id) for r in raw_files(spark, str(tmp_path / "raw")).collect()) == list(range(50))
     got = {(int(r.file_id), r.probe_id, r.beta_value) for r in read_raw(spark, str(tmp_path / "raw")).collect()}
     assert got == {(s, p, None if v == "NA" else float(v)) for s, p, v in cells}
+
+
+ODD_FILES = {
+    "plain/a.txt": b"h\tv\ncg1\t0.5\ncg2\tNA\n",
+    "crlf/a b+c%20.txt": b"h\tv\r\ncg1\t0.5\r\n\r\ncg2\t 0.25 \r\n",
+    "cr/\u00e4.txt": b"h\tv\rcg1\t0.5\rcg2\t1e-2",
+    "bom/a.txt": b"\xef\xbb\xbf\nh\tv\ncg1\t0.5\n",
+    "blank/a.txt": b"\n  \t \nh\tv\n\n \ncg1\t0.5\n\t\n",
+    "quotes/a.txt": b'h\tv\n"cg1"\t"0.5"\n"cg\t2"\t0.1\n"cg3\t0.1\n"c""g"\t0.2\n"a\\"b"\t0.3\n""\t0.7\n',
+    "widths/a.txt": b"h\tv\ncg1\ncg2\t0.5\tmore\n\t0.7\ncg3\t\n#cg4\t0.1\n cg5 \t0.1\n\x00cg6\t0.1\n",
+    "bytes/a.txt": b"h\tv\ncg\xff\xe41\t0.5\ncg\xc3\xa42\t0.25\n\xe2\x80\xa8x\x0by\x1cz\t0.1\n",
+    "empty/a.txt": b"",
+    "header/a.txt": b"h\tv",
+    "gz/a.txt.gz": gzip.compress(b"h\tv\ncg1\t0.5\n") + gzip.compress(b"cg2\t0.25\n"),
+    "two/a.txt": b"h\tv\ncg1\t0.5\n",
+    "two/b.txt": b"h\tv\ncg1\t0.6\n",
+    "deep/logs/a.txt": b"h\tv\ncg1\t0.5\n",
+    "shallow.txt": b"h\tv\ncg1\t0.5\n",
+    "hidden/.a.txt": b"h\tv\ncg1\t0.5\n",
+    "hidden/_a.txt": b"h\tv\ncg1\t0.5\n",
+    "hidden/_a=1.txt": b"h\tv\ncg1\t0.5\n",
+    "hidden/a._COPYING_": b"h\tv\ncg1\t0.5\n",
+    "_hidden/a.txt": b"h\tv\ncg1\t0.5\n",
+    "file_id=7/a.txt": b"h\tv\ncg1\t0.5\n",
+}
+
+
+def by_sparks_reader(monkeypatch, read):
+    with monkeypatch.context() as patch:
+        patch.setattr(bt.folders, "roots", lambda *_: None)
+        return Counter(tuple(r) for r in read().collect())
+
+
+@pytest.mark.parametrize("root", ["ra w%41+", "r*"])
+def test_tasks_list_and_read_what_sparks_readers_do(spark, tmp_path, monkeypatch, root):
+    for name, content in ODD_FILES.items():
+        path = tmp_path / "ra w%41+" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+    (tmp_path / "ra w%41+" / "plain" / "gone.txt").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "r.txt").write_text("h\tv\ncg1\t0.5\n")
+    folder = str(tmp_path / root)
+    for read in (lambda: bt.raw_files(spark, folder), lambda: bt.read_raw(spark, folder)):
+        assert Counter(tuple(r) for r in read().collect()) == by_sparks_reader(monkeypatch, read)
+
+
+def test_packed_files_that_tasks_cannot_read_are_left_to_spark(spark, tmp_path):
+    write_raw(tmp_path / "raw", "f-1", "a.txt", [("cg1", "0.5")])
+    (tmp_path / "raw" / "f-2").mkdir()
+    (tmp_path / "raw" / "f-2" / "b.txt.bz2").write_bytes(bz2.compress(b"h\tv\ncg1\t0.25\n"))
+    assert cells(bt.read_raw(spark, str(tmp_path / "raw"))) == {("f-1", "cg1"): 0.5, ("f-2", "cg1"): 0.25}
+
+
+def test_lines_are_cut_alike_wherever_a_block_ends(monkeypatch):
+    content = b"\r\n \r\nhead\r\ncg1\t0.5\rcg2\t1\r\n\r\r\n\ncg3\n\rcg4\r"
+    for size in range(1, len(content) + 2):
+        monkeypatch.setattr(bt.folders, "BLOCK", size)
+        found = [line for part in bt.folders._file_lines(io.BytesIO(content)) for line in part]
+        assert found == [b"cg1\t0.5", b"cg2\t1", b"cg3", b"cg4"], size
+
+
+def test_raw_files_are_not_listed_by_the_driver(spark, rows, raw_dir, tmp_path):
+    """A reader of Spark's keeps every file of the folder in the driver's memory; files that nobody waits for aren't opened either."""
+    (raw_dir / "f-3" / "c.txt").write_bytes(b"h\tv\n" + b"not opened")
+    for df in (bt.raw_files(spark, str(raw_dir)), bt.read_raw(spark, str(raw_dir), rows([("f-1", "level 3+a.txt")], "file_id string, file_name string"))):
+        assert not [f for f in df.inputFiles() if f.startswith(raw_dir.as_uri())]
+    bt.clean_data(spark, str(raw_dir), audit_of(rows), str(tmp_path / "store"), "P")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "csv" not in plan.replace("from_csv", "") and {r.file_id for r in df.collect()} == {"f-1"}
