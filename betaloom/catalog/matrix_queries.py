@@ -23,7 +23,7 @@ from betaloom.sources import beta as store
 from betaloom.sources import layout
 from betaloom.sources.control import read_table, write_table
 from betaloom.sources.matrix import load_datasets, save_dataset
-from betaloom.tables import materialize
+from betaloom.tables import materialize, spread
 
 CELL = ("project_id", "sample_id", "probe_id")
 
@@ -452,5 +452,5 @@ def project_from_raw_files(fx: Fixtures) -> DataFrame:
     run, inputs = fx.scratch("run"), _project_inputs(fx)
     prepare_project(fx.spark, run, inputs, timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp"))
     ds, audit = prepare_project(fx.spark, run, inputs)
-    values = ds.values.join(audit.select(F.col("file_id").alias("sample_id"), "qc_pass"), "sample_id")
+    values = ds.values.join(spread(audit.select(F.col("file_id").alias("sample_id"), "qc_pass")), "sample_id")
     return rounded(values.select("sample_id", "probe_id", "value", "qc_pass"), "value")

@@ -12,7 +12,7 @@ from betaloom.operators import control, matrix
 from betaloom.settings import ManifestRequest
 from betaloom.sources.annotation import check_key
 from betaloom.sources.beta import read_store, stored_files
-from betaloom.tables import materialize
+from betaloom.tables import materialize, spread
 
 
 @dataclass(frozen=True)
@@ -43,12 +43,12 @@ def register_files(
     ``hits`` are the metadata responses, ``cases`` the specimen responses, ``landed`` the files
     that exist raw or stored.
     """
-    status = materialize(control.download_status(manifest, landed, attempts, timestamp), "status-log")
-    audit = control.initialize_audit_table(manifest, status)
-    metadata = materialize(control.build_metadata(audit, hits), "metadata")
-    metadata = control.attach_barcodes(metadata, control.build_biospecimen(cases, metadata))
-    metadata = materialize(metadata, "metadata-barcodes")
-    return ControlTables(manifest, status, metadata, control.update_metadata(audit, metadata))
+    status = materialize(control.download_status(manifest, spread(landed), attempts, timestamp), "status-log")
+    audit = control.initialize_audit_table(manifest, spread(status))
+    metadata = materialize(control.build_metadata(audit, spread(hits)), "metadata")
+    barcodes = materialize(control.build_biospecimen(cases, spread(metadata)), "barcodes")
+    metadata = materialize(control.attach_barcodes(metadata, spread(barcodes)), "metadata-barcodes")
+    return ControlTables(manifest, status, metadata, control.update_metadata(audit, spread(metadata)))
 
 
 def load_raw_project(
@@ -57,9 +57,10 @@ def load_raw_project(
     """The stored beta values of one project as a dataset, aligned with its metadata by file id."""
     check_key(platform, reference_genome)
     beta = read_store(spark, store_path, [project_id]).drop("project_id")
-    values = matrix.assemble(beta, metadata, project_id)
+    values = matrix.assemble(beta, spread(metadata.select("file_id", "status")), project_id)
     ready = metadata.where(F.col("status") == "success").withColumn("project_id", F.lit(project_id))
-    samples = ready.join(stored_files(spark, store_path, [project_id]), "file_id", "left_semi").withColumnRenamed("file_id", "sample_id")
+    stored = spread(stored_files(spark, store_path, [project_id]).select("file_id"))
+    samples = ready.join(stored, "file_id", "left_semi").withColumnRenamed("file_id", "sample_id")
     probes = values.select("project_id", "probe_id").distinct()
     own = spark.createDataFrame([(project_id,)], "project_id string")
     return Dataset(values, samples, probes, matrix.dataset_row(own, F.lit(platform), F.lit(reference_genome)))

@@ -16,7 +16,7 @@ from betaloom.dataset import Dataset, log_step
 from betaloom.functions.columns import m_value
 from betaloom.operators import control, matrix, preprocess as prep, quality as qc
 from betaloom.settings import ProjectOptions
-from betaloom.tables import materialize
+from betaloom.tables import materialize, spread
 
 
 def sample_qc(ds: Dataset, options: ProjectOptions = ProjectOptions()) -> Dataset:
@@ -24,8 +24,8 @@ def sample_qc(ds: Dataset, options: ProjectOptions = ProjectOptions()) -> Datase
     verdicts = materialize(
         qc.sample_verdicts(stats, options.sample_missing_threshold, options.outlier_threshold), "sample-verdicts"
     )
-    kept = verdicts.where("passed").select(*qc.SAMPLE, "missing_rate", "mean")
-    samples = ds.samples.drop("missing_rate", "mean").join(kept, qc.SAMPLE)
+    kept = spread(verdicts.where("passed").select(*qc.SAMPLE, "missing_rate", "mean"))
+    samples = spread(ds.samples.drop("missing_rate", "mean"), verdicts).join(kept, qc.SAMPLE)
     return ds.replaced(values=qc.keep_samples(ds.values, kept), samples=samples).logged("sample_qc")
 
 
@@ -33,13 +33,14 @@ def _measured(ds: Dataset, annotation: DataFrame | None, options: ProjectOptions
     """Probe statistics over the current samples, for the probes the annotation lets through."""
     values = ds.values
     if annotation is not None:
-        values = qc.align_to_annotation(values, qc.usable_probes(annotation, options))
+        usable = materialize(qc.usable_probes(annotation, options), "usable-probes")
+        values = qc.align_to_annotation(values, spread(usable))
     return materialize(qc.probe_stats(values, qc.sample_counts(ds.samples)), "probe-stats")
 
 
 def _kept(ds: Dataset, stats: DataFrame) -> Dataset:
     known = stats.select(*qc.PROBE, "missing_rate", "mean", "variance")
-    return ds.replaced(values=qc.keep_probes(ds.values, stats), probes=known)
+    return ds.replaced(values=qc.keep_probes(ds.values, spread(stats.select(*qc.PROBE))), probes=known)
 
 
 def probe_qc(ds: Dataset, annotation: DataFrame, options: ProjectOptions = ProjectOptions()) -> Dataset:
@@ -63,7 +64,7 @@ def quality_control(
 def _audited(audit: DataFrame | None, before: Dataset, after: Dataset) -> DataFrame | None:
     if audit is None:
         return None
-    ids = lambda ds: ds.samples.select(F.col("sample_id").alias("file_id"))
+    ids = lambda ds: spread(ds.samples.select(F.col("sample_id").alias("file_id")), audit)
     return control.update_qc(audit, ids(before), ids(after))
 
 
@@ -73,7 +74,7 @@ def _finished(ds: Dataset, stats: DataFrame, options: ProjectOptions) -> Dataset
     values, probes = ds.values, ds.probes
     if options.impute:
         table = prep.imputation_table(stats)
-        probes = probes.join(table, qc.PROBE)
+        probes = probes.join(spread(table), qc.PROBE)
         if not complete:
             values = prep.impute(matrix.densify(values, ds.samples, stats), table)
     if options.convert_to_mval:

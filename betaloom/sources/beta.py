@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from betaloom import schemas
 from betaloom.functions.columns import parsed_number
 from betaloom.sources import folders, ledger
-from betaloom.tables import materialize
+from betaloom.tables import materialize, spread
 
 FILE = ["file_id", "file_name"]
 
@@ -112,10 +112,11 @@ def clean_data(spark: SparkSession, raw_dir: str, audit: DataFrame, store_path:
     from betaloom.operators.control import update_paths
 
     pending = _pending(audit)
-    lacked = pending.join(stored_files(spark, store_path, [project_id]), "file_id", "left_anti")
+    held = spread(stored_files(spark, store_path, [project_id]).select("file_id"))
+    lacked = spread(pending.join(held, "file_id", "left_anti"), audit)
     fresh = read_raw(spark, raw_dir, lacked)
     write_store(fresh.drop("file_name").withColumn("project_id", F.lit(project_id)), store_path)
-    stored = stored_files(spark, store_path, [project_id])
+    stored = spread(stored_files(spark, store_path, [project_id]).select("file_id", "batch"))
     missing = pending.join(stored, "file_id", "left_anti").select("file_id").take(1)
     if missing:
         raise FileNotFoundError(f"no raw file for downloaded file {missing[0].file_id}")

@@ -36,3 +36,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, bound: DataFrame | None = None) -> DataFrame:
+    """``df`` as a join partner that is shuffled, not broadcast, if its rows may take more memory than the session broadcasts.
+
+    The planner takes a stored table's bytes on disk for its size. Columns of few values are stored in a hundredth of what they take in memory, so
+    a table of a row per file, sample or probe would be gathered on the driver long after it outgrew that. Rows are counted, in the footers of
+    a stored table; ``bound`` may be a stored table of about as many.
+    """
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    width = df._jdf.schema().defaultSize() + 8 * (len(df.columns) + 1)
+    return df.hint("merge") if 0 <= most < (df if bound is None else bound).count() * width else df

@@ -83,3 +83,39 @@ def test_tables_of_a_dataset_appear_together(spark, inputs, tmp_path, monkeypatc
     assert load_dataset(spark, path).values.count() == 3 and len(versions.versions(spark, path)) == 2
     with pytest.raises(FileNotFoundError):
         load_dataset(spark, str(tmp_path / "none"))
+
+
+def test_tables_of_a_row_per_file_are_not_broadcast(spark, tmp_path):
+    """Columns of few values are stored in a hundredth of what they take in memory, so by its files such a table is small enough for the driver."""
+    from betaloom.plans.intake import load_raw_project, register_files
+    from betaloom.tables import materialize, spread
+
+    want = ManifestRequest("P")
+    file_id = F.concat(F.lit("f-"), F.col("id").cast("string"))
+    specimen = F.struct(F.lit(want.sample_type).alias("sample_type"), F.lit(None).cast(schemas._SAMPLE["portions"].dataType).alias("portions"))
+    case = F.struct(F.lit("C").alias("submitter_id"), F.struct(F.lit("P").alias("project_id")).alias("project"), F.array(specimen).alias("samples"))
+    known = {"file_id": file_id, "cases": F.array(case)}
+    hits = spark.range(30_000).select(*[known.get(f.name, F.lit("x")).cast(f.dataType).alias(f.name) for f in schemas.FILE_HIT.fields])
+    hits = materialize(hits, "hits")
+    manifest = hits.select("file_id", "file_name")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        assert "BroadcastHashJoin" in plan(manifest.join(hits, "file_id", "left")), "by its files the table is small"
+        marked = spread(hits)
+        for side in (marked, marked.where("file_id <> 'x'").select("file_id", "access"), marked.select("file_id").distinct().withColumn("there", F.lit(True))):
+            assert "SortMergeJoin" in plan(manifest.join(side, "file_id", "left"))
+        assert "SortMergeJoin" in plan(manifest.join(spread(hits.join(manifest, "file_id", "left_semi"), hits), "file_id"))
+        few = hits.where("file_id < 'f-1000'")
+        assert "BroadcastHashJoin" in plan(manifest.join(spread(few), "file_id", "left"))
+        found = register_files(manifest, hits, spark.createDataFrame([], schemas.CASE), manifest, F.lit(1), F.lit("2024-01-01").cast("timestamp"))
+        assert "SortMergeJoin" in plan(found.audit) and "BroadcastHashJoin" not in plan(found.audit)
+        bt.write_store(hits.select("file_id", F.lit("cg1").alias("probe_id"), F.lit(0.5).alias("beta_value"), F.lit("P").alias("project_id")), str(tmp_path / "store"))
+        ds = load_raw_project(spark, str(tmp_path / "store"), found.metadata, "P", want.platform, "GRCh38")
+        assert "BroadcastHashJoin" not in plan(ds.values) and "BroadcastHashJoin" not in plan(ds.samples)
+        assert ds.values.count() == ds.samples.count() == found.audit.where("downloaded = 1 AND metadata_fetched = 1").count() == 30_000
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert spread(hits) is hits
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
