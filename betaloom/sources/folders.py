@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from betaloom.tables import materialize
 
-FOLDERS_A_TASK = 1000
-FILES_A_TASK = 1000
-BYTES_A_TASK = 64 << 20
+# Of a task at most, and enough for one more task as long as the session has cores for it.
+MOST_FILES, MOST_BYTES = 1000, 64 << 20
+SOME_FILES, SOME_BYTES = 20, 1 << 20
 BATCH_ROWS = 10_000
 BLOCK = 1 << 22
 
@@ -101,16 +101,17 @@ def _files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _chunks(found(), "root", "folder", "file_name", "size")
 
 
-def _tasks(spark: SparkSession, wanted: int) -> int:
-    return max(1, spark.sparkContext.defaultParallelism, wanted)
+def _tasks(spark: SparkSession, n: int, size: int = 0) -> int:
+    """Tasks for ``n`` files or folders of ``size`` bytes in all."""
+    at_once = min(spark.sparkContext.defaultParallelism, max(n // SOME_FILES, size // SOME_BYTES))
+    return max(1, at_once, -(-n // MOST_FILES), -(-size // MOST_BYTES))
 
 
 def listed(spark: SparkSession, uris: list[str]) -> DataFrame:
     """A row for every file with content in a folder of the roots: ``root``, ``folder``, ``file_name`` and ``size``, stored."""
-    tops = spark.createDataFrame([(uri,) for uri in uris], "root string")
+    tops = spark.createDataFrame([(uri,) for uri in uris], "root string").coalesce(len(uris))
     folders = materialize(tops.mapInArrow(_folders, FOLDERS), "folders")
-    tasks = _tasks(spark, -(-folders.count() // FOLDERS_A_TASK))
-    return materialize(folders.repartition(tasks).mapInArrow(_files, FILES), "files")
+    return materialize(folders.repartition(_tasks(spark, folders.count())).mapInArrow(_files, FILES), "files")
 
 
 @contextmanager
@@ -178,5 +179,4 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def lines_of(files: DataFrame) -> DataFrame:
     """(file_id, file_name, line) for every line that isn't blank, headers left out, of the listed files with their ``file_id``."""
     n, size = files.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    tasks = _tasks(files.sparkSession, max(-(-n // FILES_A_TASK), -(-size // BYTES_A_TASK)))
-    return files.select("root", "folder", "file_name", "file_id").repartition(tasks).mapInArrow(_lines, LINES)
+    return files.select("root", "folder", "file_name", "file_id").repartition(_tasks(files.sparkSession, n, size)).mapInArrow(_lines, LINES)
